@@ -43,3 +43,18 @@ def bounded_sample(df: DataFrame, key: str, limit: int) -> list:
     """At most ``limit`` rows, the same ones whatever the partitioning: those with the smallest
     hash of ``key``.  For fitting a model only; a TakeOrdered, so ``limit`` bounds the driver."""
     return df.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(limit).collect()
+
+
+#: ASCII white space, as the word patterns of this package take it.
+SPACE = " \t\n\x0b\f\r"
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it: lambda variables
+    are bound to values, while columns may be inlined into each place."""
+    return F.transform(F.array(value), use)[0]
+
+
+def words(text: Column) -> Column:
+    """The runs of characters other than ASCII white space; none for null."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")

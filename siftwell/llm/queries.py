@@ -50,7 +50,25 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(docs, quality_ftrl.score(docs, weights), 4, 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_byte_bpe, op3_toxicity, op5_quality_classifier)}
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwell.llm import quality_rules
+
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwell.llm import decontam
+
+    return decontam.flags(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwell.llm import secrets
+
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_byte_bpe, op3_toxicity, op5_quality_classifier, op6_quality_rules, op8_benchmark_decontamination, op10_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -62,7 +80,7 @@ WITH RECURSIVE words AS (
     SELECT doc_id, list_distinct(CASE
         WHEN len(w) = 0 THEN []
         WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) END) AS s
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
     FROM words
 ), classes AS (
     SELECT min(doc_id) AS id, len(s) AS n, s FROM (SELECT doc_id, list_sort(s) AS s FROM shingles WHERE len(s) > 0) GROUP BY s

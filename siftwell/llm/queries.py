@@ -42,6 +42,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(docs, toxicity.score(docs, model), 3, 1)
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwell.llm import html_extract
+
+    return html_extract.extract(table(spark, sf_dir, "pages"), html_extract.train())
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwell.llm import quality_ftrl
 
@@ -56,19 +62,33 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwell.llm import warc
+
+    archive = warc.write(table(spark, sf_dir, "pages"), least=0)
+    return warc.read(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwell.llm import decontam
 
     return decontam.flags(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each line of every document."""
+    from siftwell.llm import token_counts
+
+    return token_counts.count(table(spark, sf_dir, "documents"), ranks_path())
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwell.llm import secrets
 
     return secrets.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_byte_bpe, op3_toxicity, op5_quality_classifier, op6_quality_rules, op8_benchmark_decontamination, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_byte_bpe, op3_toxicity, op4_html_extraction, op5_quality_classifier, op6_quality_rules, op7_warc, op8_benchmark_decontamination, op9_token_counts, op10_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {}
 

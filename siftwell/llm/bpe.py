@@ -3,12 +3,12 @@
 A token sequence is what the merges give for a byte string exactly when every two neighbours stay
 apart when only their own bytes are merged, and every token merges back to itself.  That is a
 regular condition, so encoding is a transducer: a configuration is (last complete token, node of
-the trie of tokens reached since, tokens not yet written).  Reading one byte moves every
-configuration down the trie and, where a token ends there that may follow the last one, forks it.
-Subset construction makes this deterministic; it is done lazily, a transition when it is first
-taken.  What all configurations agree on is written at once, so output lags input by no more than
-the longest disagreement, which the longest token bounds.  At the end of the input exactly one
-configuration is complete.
+the trie of tokens reached since), with the tokens not yet written in a register.  Reading one byte moves
+every configuration down the trie and, where a token ends there that may follow the last one, forks
+it.  Subset construction makes this deterministic; it is done lazily, a transition when it is first
+taken.  Registers stay out of the states, so that states are few and used again.  When one
+configuration is left, what it holds is written; how far output lags input is bounded by how long
+several stay possible.  At the end of the input exactly one configuration is complete.
 
 Decoding writes each token's bytes through an incremental UTF-8 state machine that holds back at
 most three bytes, so text can be streamed although tokens cut characters.
@@ -30,8 +30,10 @@ from pyspark.sql import DataFrame
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 ROOT = 0
+#: So many tokens below a node are weighed one by one.
+FEW = 8
 #: Entries that a worker keeps of words, pieces, states and pairs; full caches start anew.
-WORDS_KEPT, PIECES_KEPT, STATES_KEPT, PAIRS_KEPT = 300_000, 200_000, 200_000, 500_000
+WORDS_KEPT, PIECES_KEPT, STATES_KEPT, PAIRS_KEPT = 400_000, 400_000, 300_000, 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -59,22 +61,50 @@ class MergeTransducer:
                     self.inner[node] = True
                 node = nxt
             self.token_at[node] = i
+        self.few = self._few()
+        self.seen: dict[int, tuple] = {}
         self.edges: dict[int, tuple[list, list] | None] = {}
+        self.halves: dict[bytes, list[bytes]] = {}
         self.pairs: dict[int, bool] = {}
         self._reset()
 
+    def _few(self) -> list[tuple[int, ...] | None]:
+        """For each node the tokens strictly below it, or None if they are more than FEW."""
+        few: list[tuple[int, ...] | None] = [()] * len(self.token_at)
+        for at, child in sorted(self.children.items(), key=lambda x: -x[1]):  # children have larger numbers
+            node, own = at >> 8, few[child]
+            if self.token_at[child] >= 0 and own is not None:
+                own = (*own, self.token_at[child])
+            mine = few[node]
+            few[node] = None if own is None or mine is None or len(own) + len(mine) > FEW else mine + own
+        return few
+
+    def _kept(self, node: int, last: int) -> tuple[int, ...] | int:
+        """What a configuration has to remember of its last token: where few tokens lie below the
+        node, only which of them may follow; so configurations without a future go, and those with
+        the same one are the same."""
+        few = self.few[node]
+        if few is None:
+            return last
+        found = self.seen.get(node << 32 | last)
+        if found is None:
+            if len(self.seen) >= PAIRS_KEPT:
+                self.seen.clear()
+            found = self.seen[node << 32 | last] = tuple([t for t in few if self.follows(last, t)])
+        return found
+
     def _reset(self) -> None:
         self.number: dict[tuple, int] = {}
         self.state: list[tuple] = []
-        self.step: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self.last: list[tuple[int, ...]] = []
-        self._add(((ROOT, -1, ()),))
+        self.step: list[dict[int, tuple[int, tuple]]] = []
+        self.done: list[int] = []  # the complete configuration's place in the state
+        self._add(((ROOT, -1),))
 
     def _add(self, key: tuple) -> int:
         n = self.number[key] = len(self.state)
         self.state.append(key)
         self.step.append({})
-        self.last.append(next((p for node, _, p in key if node == ROOT), ()))
+        self.done.append(0 if key[0][0] == ROOT else -1)
         return n
 
     def merge(self, data: bytes, until: int = 1) -> list[bytes]:
@@ -102,8 +132,10 @@ class MergeTransducer:
                 out.append((part, ends))
                 if len(part) == 1:
                     break
-                two = self.merge(part, 2)
-                if len(two) != 2 or two[0] + two[1] not in self.ranks:
+                two = self.halves.get(part)
+                if two is None:
+                    two = self.halves[part] = self.merge(part, 2)
+                if len(two) != 2:
                     self.edges[token] = None
                     return None
                 part, ends = two[side], self.ranks[part]
@@ -140,46 +172,43 @@ class MergeTransducer:
             self.pairs[a << 32 | b] = ok
         return ok
 
-    def advance(self, s: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Determinise one transition: (next state, tokens written)."""
+    def advance(self, s: int, byte: int) -> tuple[int, tuple | None]:
+        """Determinise one transition: (next state, for each of its configurations the place of the
+        one that it comes from and the token that it completes, or -1)."""
         out = []
-        child_of, token_at, inner, pairs = self.children.get, self.token_at, self.inner, self.pairs.get
-        for node, last, pending in self.state[s]:
+        child_of, token_at, few = self.children.get, self.token_at, self.few
+        for place, (node, last) in enumerate(self.state[s]):
             child = child_of(node << 8 | byte)
             if child is None:
                 continue
-            if inner[child]:
-                out.append((child, last, pending))
             token = token_at[child]
-            if token >= 0:
-                ok = pairs(last << 32 | token) if last >= 0 else None
-                if ok or ok is None and self.follows(last, token):
-                    out.append((ROOT, token, (*pending, token)))
-        agreed = out[0][2]
-        if agreed:
-            for _, _, pending in out:
-                n = 0
-                for x, y in zip(agreed, pending):
-                    if x != y:
-                        break
-                    n += 1
-                agreed = agreed[:n]
-                if not n:
-                    break
-        if n := len(agreed):
-            out = [(a, b, p[n:]) for a, b, p in out]
-        out.sort()
-        key = tuple(out)
+            if type(last) is int:
+                ends = token >= 0 and (last < 0 or self.follows(last, token))
+                rest = self._kept(child, last) if last >= 0 else few[child] if few[child] is not None else -1
+            else:
+                ends = token in last
+                below = few[child]
+                rest = tuple([t for t in last if t in below]) if len(last) > ends else ()
+            if rest != ():
+                out.append((child, rest, place, -1))
+            if ends:
+                out.append((ROOT, token, place, token))
+        out.sort(key=lambda c: c[0])
+        key = tuple([(node, last) for node, last, _, _ in out])
         to = self.number.get(key)
         if to is None:
             to = self._add(key)
-        found = self.step[s][byte] = (to, agreed)
+        moves: tuple | None = tuple([(place, token) for _, _, place, token in out])
+        if moves == tuple((k, -1) for k in range(len(self.state[s]))):
+            moves = None  # every register stays
+        found = self.step[s][byte] = (to, moves)
         return found
 
     def encode(self, data: bytes) -> list[int]:
         if len(self.state) >= STATES_KEPT:
             self._reset()
-        s, out, step = 0, [], self.step
+        s, written, step = 0, [], self.step
+        held: list = [None]  # each configuration's register: (tokens before, token)
         for byte in data:
             move = step[s].get(byte)
             if move is None:
@@ -189,11 +218,29 @@ class MergeTransducer:
                     step = self.step
                     s = self.number[here] if here in self.number else self._add(here)
                 move = self.advance(s, byte)
-            s, wrote = move
-            if wrote:
-                out.extend(wrote)
-        out.extend(self.last[s])
-        return out
+            s, moves = move
+            if moves is None:
+                continue
+            if len(moves) == 1:  # all agree: write
+                ((place, token),) = moves
+                if held[place] is not None:
+                    self._write(held[place], written)
+                if token >= 0:
+                    written.append(token)
+                held = [None]
+            else:
+                held = [held[place] if token < 0 else (held[place], token) for place, token in moves]
+        if (register := held[self.done[s]]) is not None:
+            self._write(register, written)
+        return written
+
+    @staticmethod
+    def _write(register: tuple | None, written: list[int]) -> None:
+        tail = []
+        while register is not None:
+            register, token = register
+            tail.append(token)
+        written.extend(reversed(tail))
 
 
 class Utf8Stream:
@@ -229,6 +276,7 @@ class ByteBpe:
         self.after_space = regex.compile(r" \s").search if pattern == PATTERN else None
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         size = max(self.ranks.values()) + 1
         self.bytes_of = [b""] * size
         for b, i in self.ranks.items():
@@ -248,13 +296,11 @@ class ByteBpe:
         return ids
 
     def word(self, word: str) -> tuple[int, ...]:
-        ids = self.words.get(word)
+        ids = self.older.get(word)
         if ids is None:
             ids = tuple(chain.from_iterable(map(self.piece, self.pieces_of(word))))
-            if len(word) <= 64:
-                if len(self.words) >= WORDS_KEPT:
-                    self.words.clear()
-                self.words[word] = ids
+        if len(word) <= 64:
+            self.words[word] = ids
         return ids
 
     def parts(self, text: str) -> Iterator[tuple[int, ...]]:
@@ -266,12 +312,15 @@ class ByteBpe:
         """
         if self.after_space is None or self.after_space(text):
             return map(self.piece, self.pieces_of(text))
+        if len(self.words) >= WORDS_KEPT:  # words of the older generation that are met again come back
+            self.older, self.words = self.words, {}
         first, *rest = text.split(" ")
-        get, word = self.words.get, self.word
-        return chain(
-            (word(first),) if first else (),
-            (ids if (ids := get(w)) is not None else word(w) for w in (" " + x for x in rest)),
-        )
+        rest = [" " + x for x in rest]
+        out = [self.word(first) if first else (), *map(self.words.get, rest)]
+        if None in out:
+            word = self.word
+            out[1:] = [word(w) if ids is None else ids for w, ids in zip(rest, out[1:])]
+        return iter(out)
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(self.parts(text)))

@@ -10,17 +10,19 @@ A document's set holds the 64-bit hashes of its distinct 4-word shingles.  Two d
    group that has tokens gives a key (a hash of its tokens); linked sets share a key.  A document
    with so many empty groups that the shared one might be empty is hashed again with another seed,
    and at last routed by its smallest tokens (prefix filter).  Nothing linked is missed.
-3. *Hubs.*  Within a key's bucket each member is tried against the smallest members that it meets
-   most often (two tries at most), and components are formed of what links.
+3. *Hubs.*  Each member is tried against the smallest member of the buckets that it shares most
+   often with one, and components are formed of what links.
 4. *R-trees.*  Buckets that still hold several components are searched in full: members are points
    (counts of their tokens in 128 hash groups) of an R-tree; pairs of nodes are left out when the
-   sum of coordinate minima can't reach the overlap that a link needs; surviving pairs of different
-   components are verified on the sets.  Large buckets are dealt out as tiles of bounded size.
+   sum of coordinate minima can't reach the overlap that a link needs.  Of the pairs of different
+   components that survive, a spanning forest is verified on the sets, in rounds (with more forests
+   each time) until no untried pair is left; pairs that could only tie what is tied are not made.
+   Large buckets are dealt out as tiles of bounded size.
 
 An R-tree over the whole corpus would need every task to see every other one's nodes, and in that
 many dimensions prunes little; so keys route points to small trees, and exactness is kept.
 
-Everything but steps 2 and 5's R-tree and verification is DataFrame code.  Intermediate tables are
+Everything but shingling, routing, the R-trees and verification is DataFrame code.  Intermediate tables are
 written to the shared folder, so lost executors cost little.  Defined cases: null or empty texts
 have an empty set (n_shingles 0) and link with nothing; rows that repeat a doc_id are one document
 for reachability and each keep their row; extra columns are ignored.
@@ -44,6 +46,9 @@ NUM, DEN = 85, 100
 GRAM = 4
 #: Dimensions of the count vectors, points in a leaf, members in a tile.
 DIMS, LEAF, TILE = 128, 16, 512
+#: Rows of a group of tiles.
+SLOT = 4096
+FULL = 65535
 SMALLEST, SEEDS = 6, 6  # smaller sets link only when equal
 WORDS_KEPT = 300_000
 
@@ -132,7 +137,7 @@ def keys(tokens: np.ndarray) -> np.ndarray:
 
 
 def counts(tokens: np.ndarray) -> np.ndarray:
-    return np.bincount((mix(tokens + _M2) >> np.uint64(40)).astype(np.int64) % DIMS, minlength=DIMS).astype(np.uint32)
+    return np.bincount((mix(tokens + _M2) >> np.uint64(40)).astype(np.int64) % DIMS, minlength=DIMS)
 
 
 def needed(a: int | np.ndarray, b: int | np.ndarray):
@@ -167,7 +172,7 @@ class RTree:
         self.nodes.append((top, least, most, below, rows))
         return len(self.nodes) - 1
 
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         stack = [(self.root, self.root)] if self.root >= 0 else []
         while stack:
             x, y = stack.pop()
@@ -176,11 +181,12 @@ class RTree:
                 continue
             if rx is not None and ry is not None:
                 bound = np.minimum(self.points[rx][:, None, :], self.points[ry][None, :, :]).sum(2)
-                ok = bound >= needed(self.sizes[rx][:, None], self.sizes[ry][None, :])
+                spare = bound - needed(self.sizes[rx][:, None], self.sizes[ry][None, :])
+                ok = spare >= 0
                 if x == y:
                     ok &= np.arange(len(rx))[:, None] < np.arange(len(ry))[None, :]
                 i, j = np.nonzero(ok)
-                yield rx[i], ry[j]
+                yield rx[i], ry[j], spare[i, j]
             elif x == y:
                 stack += [(bx[0], bx[0]), (bx[1], bx[1]), (bx[0], bx[1])]
             elif rx is None and (ry is not None or mx >= my):
@@ -260,48 +266,88 @@ def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         shingle = Shingler()
         for batch in small_batches(batches, 256):
             sets = [shingle(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([counts(s).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "point", "size", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.minimum(counts(s), FULL).astype(np.uint16).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "point", "size", "tokens"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, point binary, size long, tokens binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link."""
+    """(a, b, linked) of the pairs (a, b)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 256):
             ok = [links(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], ["a", "b", "linked"])
 
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"), F.col("size").alias("nx"))
-    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"), F.col("size").alias("ny"))
-    sized = (F.col("nx") * DEN >= F.col("ny") * NUM) & (F.col("ny") * DEN >= F.col("nx") * NUM)
-    joined = pairs.join(left, "a").join(right, "b").where(sized)
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
+    judged = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
+    return judged.groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
-def _tree_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket that the count vectors don't rule out.
-    members(key, id, component, point, size); tiles hold 2 * TILE members or so."""
-    per_key = members.groupBy("key").agg(F.count("*").alias("n_members"))
-    blocks = F.ceil(F.col("n_members") / TILE).cast("int")
-    dealt = members.join(per_key, "key").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", "id", "component", "point", "size", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("blocks") > 1).alias("split"))
+def _forests(pairs: np.ndarray, slack: np.ndarray, component: np.ndarray, count: int) -> np.ndarray:
+    """``count`` spanning forests of the components, of the pairs with most slack that are left."""
+    left, out = np.argsort(-slack, kind="stable"), []
+    for _ in range(count):
+        up: dict[int, int] = {}
 
-    def search(tile: pd.DataFrame) -> pd.DataFrame:
-        tile = tile.drop_duplicates(["id", "point"])
-        points = np.stack([np.frombuffer(p, np.uint32) for p in tile["point"]]).astype(np.int64)
-        ids, component = tile["id"].to_numpy(), tile["component"].to_numpy()
-        a, b = [], []
-        for i, j in RTree(points, tile["size"].to_numpy()).pairs():
-            apart = component[i] != component[j]
-            a.append(ids[i[apart]])
-            b.append(ids[j[apart]])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        def root(c: int) -> int:
+            while up.setdefault(c, c) != c:
+                up[c] = c = up[up[c]]
+            return c
 
-    return dealt.groupBy("key", "i", "j").applyInPandas(search, "a long, b long").distinct()
+        apart, rest = len(np.unique(component[pairs[left]])) - 1 if len(left) else 0, []
+        for n, k in enumerate(left):
+            if not apart:
+                rest.extend(left[n:])
+                break
+            a, b = root(int(component[pairs[k, 0]])), root(int(component[pairs[k, 1]]))
+            if a == b:
+                rest.append(k)
+            else:
+                up[a] = b
+                apart -= 1
+                out.append(k)
+        left = np.array(rest, np.int64)
+    return pairs[out]
+
+
+def _tree_pairs(members: DataFrame, slots: int, forests: int) -> DataFrame:
+    """Pairs of different components in one bucket that the count vectors don't rule out, as many as
+    ``forests`` spanning forests of the tile's components hold; none only if no untried one is left.
+    members(key, n_members, id, component, point, size, failed); a tile has 2 * TILE members or so."""
+    blocks = F.ceil(F.col("n_members") / TILE).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "id", "component", "point", "size", "failed")
+    dealt = dealt.withColumn("slot", F.pmod("tile", F.lit(slots)))
+
+    def search(slot: pd.DataFrame) -> pd.DataFrame:
+        """All tiles of one slot; a slot saves small tiles the cost of a call each."""
+        slot = slot.drop_duplicates(["tile", "id", "point"]).sort_values("tile", kind="stable")
+        points = np.frombuffer(b"".join(slot["point"]), np.uint16).reshape(-1, DIMS).astype(np.int64)
+        points[points == FULL] = 1 << 40  # counts that didn't fit may be any
+        ids, component, sizes, tile = (slot[c].to_numpy() for c in ("id", "component", "size", "tile"))
+        bounds = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1], True]) if len(tile) else [0]
+        failed = {(int(i), int(x)) for i, xs in zip(ids, slot["failed"]) if xs is not None for x in xs}
+        found = [np.zeros((0, 2), np.int64)]
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            own, pairs, slack = component[low:high], [], []
+            for i, j, s in RTree(points[low:high], sizes[low:high]).pairs():
+                apart = own[i] != own[j]
+                if apart.any():
+                    pairs.append(np.stack([i[apart], j[apart]], 1))
+                    slack.append(s[apart])
+            if pairs:
+                pairs, slack = np.concatenate(pairs), np.concatenate(slack)
+                if failed:
+                    new = [(int(ids[low + i]), int(ids[low + j])) not in failed for i, j in pairs]
+                    pairs, slack = pairs[new], slack[new]
+                found.append(ids[low + _forests(pairs, slack, own, forests)].reshape(-1, 2))
+        pairs = np.unique(np.sort(np.concatenate(found), 1), axis=0)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return dealt.groupBy("slot").applyInPandas(search, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,15 +369,31 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     often = Window.partitionBy("a").orderBy(F.desc("shared"), "b")
     tries = met.where("id <> hub").groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg(F.count("*").alias("shared"))
-    tries = tries.withColumn("nth", F.row_number().over(often)).where("nth <= 2").select("a", "b")
-    first = stored(_verified(tries, sets), "links")
-    known = components(first)
-
-    named = met.select("key", "id").join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = named.withColumn("low", F.min("component").over(same_key)).withColumn("high", F.max("component").over(same_key)).where("low < high").select("key", "id", "component")
-    members = mixed.join(sets.select("id", "point", "size"), "id")
-    second = _verified(_tree_pairs(members), sets)
-    final = components(first.unionByName(second))
+    tries = tries.withColumn("nth", F.row_number().over(often)).where("nth = 1").select("a", "b")
+    judged = stored(_verified(tries, sets), "judged")
+    final = components(judged.where("linked"))
+
+    forests = 1
+    while True:
+        named = met.select("key", "id").join(final.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        mixed = named.withColumn("low", F.min("component").over(same_key)).withColumn("high", F.max("component").over(same_key)).where("low < high").select("key", "id", "component")
+        # buckets with the same members are searched once
+        mixed = stored(mixed, "mixed")
+        content = mixed.groupBy("key").agg(F.count("*").alias("n_members"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("xor"))
+        once = content.groupBy("n_members", "sum", "xor").agg(F.min("key").alias("key")).select("key", "n_members")
+        members = stored(mixed.join(once, "key"), "members")
+        slots = max(1, members.agg(F.sum(F.ceil(F.col("n_members") / TILE))).first()[0] or 0) // SLOT + 1
+        fails = judged.where("not linked").select(F.col("a").alias("id"), F.col("b").alias("other"))
+        fails = fails.union(fails.select("other", "id")).groupBy("id").agg(F.collect_list("other").alias("failed"))
+        members = members.join(sets.select("id", "point", "size"), "id").join(fails, "id", "left")
+        pairs = stored(_tree_pairs(members, slots, forests), "pairs")
+        if pairs.isEmpty():
+            break
+        more = stored(_verified(pairs, sets), "judged")
+        judged = judged.unionByName(more)
+        if not more.where("linked").isEmpty():
+            final = components(judged.where("linked"))
+        forests *= 4
 
     rep = profiles.join(classes.select("digest", "id"), "digest", "left").withColumn("id", F.coalesce("id", "doc_id"))
     ids = final.withColumnRenamed("node", "id")

@@ -6,11 +6,12 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DoubleType
 
 from siftwell.functions.company import jaccard, plain_name
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)], dtype="float64")
 

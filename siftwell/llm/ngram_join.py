@@ -48,7 +48,7 @@ GRAM = 4
 DIMS, LEAF, TILE = 128, 16, 512
 #: Rows of a group of tiles.
 SLOT = 4096
-FULL = 65535
+FULL = 255
 SMALLEST, SEEDS = 6, 6  # smaller sets link only when equal
 WORDS_KEPT = 300_000
 
@@ -266,7 +266,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         shingle = Shingler()
         for batch in small_batches(batches, 256):
             sets = [shingle(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.minimum(counts(s), FULL).astype(np.uint16).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "point", "size", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.minimum(counts(s), FULL).astype(np.uint8).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "point", "size", "tokens"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, point binary, size long, tokens binary")
 
@@ -313,24 +313,25 @@ def _forests(pairs: np.ndarray, slack: np.ndarray, component: np.ndarray, count:
 
 
 def _tree_pairs(members: DataFrame, slots: int, forests: int) -> DataFrame:
-    """Pairs of different components in one bucket that the count vectors don't rule out, as many as
+    """(key, a, b): pairs of different components in one bucket that the count vectors don't rule out, as many as
     ``forests`` spanning forests of the tile's components hold; none only if no untried one is left.
     members(key, n_members, id, component, point, size, failed); a tile has 2 * TILE members or so."""
     blocks = F.ceil(F.col("n_members") / TILE).cast("int")
     dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "id", "component", "point", "size", "failed")
+    dealt = dealt.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("tile"), "key", "id", "component", "point", "size", "failed")
     dealt = dealt.withColumn("slot", F.pmod("tile", F.lit(slots)))
 
     def search(slot: pd.DataFrame) -> pd.DataFrame:
         """All tiles of one slot; a slot saves small tiles the cost of a call each."""
         slot = slot.drop_duplicates(["tile", "id", "point"]).sort_values("tile", kind="stable")
-        points = np.frombuffer(b"".join(slot["point"]), np.uint16).reshape(-1, DIMS).astype(np.int64)
+        points = np.frombuffer(b"".join(slot["point"]), np.uint8).reshape(-1, DIMS).astype(np.int64)
         points[points == FULL] = 1 << 40  # counts that didn't fit may be any
         ids, component, sizes, tile = (slot[c].to_numpy() for c in ("id", "component", "size", "tile"))
         bounds = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1], True]) if len(tile) else [0]
         failed = {(int(i), int(x)) for i, xs in zip(ids, slot["failed"]) if xs is not None for x in xs}
-        found = [np.zeros((0, 2), np.int64)]
+        keys = slot["key"].to_numpy()
+        found = [np.zeros((0, 3), np.int64)]
         for low, high in zip(bounds[:-1], bounds[1:]):
             own, pairs, slack = component[low:high], [], []
             for i, j, s in RTree(points[low:high], sizes[low:high]).pairs():
@@ -343,11 +344,12 @@ def _tree_pairs(members: DataFrame, slots: int, forests: int) -> DataFrame:
                 if failed:
                     new = [(int(ids[low + i]), int(ids[low + j])) not in failed for i, j in pairs]
                     pairs, slack = pairs[new], slack[new]
-                found.append(ids[low + _forests(pairs, slack, own, forests)].reshape(-1, 2))
-        pairs = np.unique(np.sort(np.concatenate(found), 1), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+                chosen = np.sort(ids[low + _forests(pairs, slack, own, forests)].reshape(-1, 2), 1)
+                found.append(np.column_stack([np.full(len(chosen), keys[low]), chosen]))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pd.DataFrame({"key": pairs[:, 0], "a": pairs[:, 1], "b": pairs[:, 2]})
 
-    return dealt.groupBy("slot").applyInPandas(search, "a long, b long").distinct()
+    return dealt.groupBy("slot").applyInPandas(search, "key long, a long, b long")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -389,8 +391,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         pairs = stored(_tree_pairs(members, slots, forests), "pairs")
         if pairs.isEmpty():
             break
-        more = stored(_verified(pairs, sets), "judged")
+        more = stored(_verified(pairs.select("a", "b").distinct(), sets), "judged")
         judged = judged.unionByName(more)
+        # a bucket without an untried pair stays so: components only grow together
+        met = stored(met.join(pairs.select("key").distinct(), "key", "left_semi"), "met")
         if not more.where("linked").isEmpty():
             final = components(judged.where("linked"))
         forests *= 4

@@ -49,6 +49,8 @@ DIMS, LEAF, TILE = 128, 16, 512
 #: Rows of a group of tiles.
 SLOT = 4096
 FULL = 255
+#: Ids (of 8 bytes) that may be broadcast.
+BROADCAST = 200_000
 SMALLEST, SEEDS = 6, 6  # smaller sets link only when equal
 WORDS_KEPT = 300_000
 
@@ -279,6 +281,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ok = [links(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], ["a", "b", "linked"])
 
+    # where few sets are asked for, the others don't move
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked")
+    if ids.count() <= BROADCAST:
+        sets = sets.join(F.broadcast(ids), "id", "left_semi")
     left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
     judged = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
@@ -372,10 +378,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     often = Window.partitionBy("a").orderBy(F.desc("shared"), "b")
     tries = met.where("id <> hub").groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg(F.count("*").alias("shared"))
     tries = tries.withColumn("nth", F.row_number().over(often)).where("nth = 1").select("a", "b")
-    judged = stored(_verified(tries, sets), "judged")
+    judged = stored(_verified(stored(tries, "tries"), sets), "judged")
     final = components(judged.where("linked"))
 
-    forests = 1
+    forests = 2
     while True:
         named = met.select("key", "id").join(final.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = named.withColumn("low", F.min("component").over(same_key)).withColumn("high", F.max("component").over(same_key)).where("low < high").select("key", "id", "component")
@@ -391,13 +397,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         pairs = stored(_tree_pairs(members, slots, forests), "pairs")
         if pairs.isEmpty():
             break
-        more = stored(_verified(pairs.select("a", "b").distinct(), sets), "judged")
+        more = stored(_verified(stored(pairs.select("a", "b").distinct(), "asked"), sets), "judged")
         judged = judged.unionByName(more)
         # a bucket without an untried pair stays so: components only grow together
         met = stored(met.join(pairs.select("key").distinct(), "key", "left_semi"), "met")
         if not more.where("linked").isEmpty():
             final = components(judged.where("linked"))
-        forests *= 4
+        forests *= 8
 
     rep = profiles.join(classes.select("digest", "id"), "digest", "left").withColumn("id", F.coalesce("id", "doc_id"))
     ids = final.withColumnRenamed("node", "id")

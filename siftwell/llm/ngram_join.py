@@ -263,32 +263,39 @@ def _routes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(run, "key long, doc_id long")
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _sets(docs: DataFrame) -> DataFrame:
+    """docs(doc_id, text, hub, is_hub)."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler()
         for batch in small_batches(batches, 256):
             sets = [shingle(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.minimum(counts(s), FULL).astype(np.uint8).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "point", "size", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.minimum(counts(s), FULL).astype(np.uint8).tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), batch.column(2), batch.column(3)], ["id", "point", "size", "tokens", "hub", "is_hub"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, point binary, size long, tokens binary")
+    return docs.select("doc_id", "text", "hub", "is_hub").mapInArrow(run, "id long, point binary, size long, tokens binary, hub long, is_hub boolean")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, linked) of the pairs (a, b)."""
+def _judged(pairs: DataFrame) -> DataFrame:
+    """(a, b, linked) of the pairs (a, b) with their sets (x, y)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 256):
             ok = [links(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], ["a", "b", "linked"])
 
+    judged = pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
+    return judged.groupBy("a", "b").agg(F.max("linked").alias("linked"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, linked) of the pairs (a, b)."""
     # where few sets are asked for, the others don't move
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "asked")
     if ids.count() <= BROADCAST:
         sets = sets.join(F.broadcast(ids), "id", "left_semi")
     left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    judged = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
-    return judged.groupBy("a", "b").agg(F.max("linked").alias("linked"))
+    return _judged(pairs.join(left, "a").join(right, "b"))
 
 
 def _forests(pairs: np.ndarray, slack: np.ndarray, component: np.ndarray, count: int) -> np.ndarray:
@@ -372,13 +379,24 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     met = met.withColumn("hub", F.min("id").over(same_key)).withColumn("far", F.max("id").over(same_key)).where("hub < far").select("key", "id", "hub")
     met = stored(met, "met")
 
-    wanted = met.select(F.col("id").alias("doc_id")).distinct()
-    sets = stored(_sets(docs.join(wanted, "doc_id", "left_semi"), "doc_id", "text").dropDuplicates(["id", "tokens"]), "sets")
-
     often = Window.partitionBy("a").orderBy(F.desc("shared"), "b")
     tries = met.where("id <> hub").groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg(F.count("*").alias("shared"))
-    tries = tries.withColumn("nth", F.row_number().over(often)).where("nth = 1").select("a", "b")
-    judged = stored(_verified(stored(tries, "tries"), sets), "judged")
+    tries = stored(tries.withColumn("nth", F.row_number().over(often)).where("nth = 1").select("a", "b"), "tries")
+
+    # sets carry their hub, so that they move to it straight from where they are made
+    wanted = met.select(F.col("id").alias("doc_id")).distinct().join(tries.select(F.col("a").alias("doc_id"), F.col("b").alias("hub")), "doc_id", "left")
+    hubs = tries.select(F.col("b").alias("doc_id"), F.lit(True).alias("is_hub")).distinct()
+    asked = docs.join(stored(wanted.join(hubs, "doc_id", "left").withColumn("is_hub", F.coalesce("is_hub", F.lit(False))), "wanted"), "doc_id")
+    again = stored(profiles.groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    if again.isEmpty():
+        sets = _sets(asked)
+    else:  # of rows that repeat an id, equal sets are kept once
+        sets = _sets(asked.join(again, "doc_id", "left_anti")).unionByName(_sets(asked.join(again, "doc_id", "left_semi")).dropDuplicates(["id", "tokens"]))
+    sets = stored(sets, "sets")
+
+    left = sets.where("hub is not null").select(F.col("id").alias("a"), F.col("hub").alias("b"), F.col("tokens").alias("x"))
+    right = sets.where("is_hub").select(F.col("id").alias("b"), F.col("tokens").alias("y"))
+    judged = stored(_judged(left.join(right, "b")), "judged")
     final = components(judged.where("linked"))
 
     forests = 2

@@ -19,6 +19,7 @@ Memory: the trie and the vocabulary (a few MB) plus caches of bounded size in ea
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -350,6 +351,15 @@ def loaded(path: str) -> ByteBpe:
     return _loaded[path]
 
 
+def unload() -> None:
+    """Forget the encoders of this process.  A Python worker serves later stages too, and those that
+    don't encode need the memory (about 0.4 GB a worker)."""
+    if _loaded:
+        _loaded.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

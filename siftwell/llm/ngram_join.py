@@ -39,7 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from siftwell.llm.bpe import small_batches
+from siftwell.llm.bpe import small_batches, unload
 from siftwell.llm.common import stored
 
 NUM, DEN = 85, 100
@@ -229,6 +229,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
         shingle = Shingler()
         for batch in small_batches(batches, 2048):
             n, digest = [], []
@@ -245,6 +246,7 @@ def _routes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(key, doc_id); of equal sets in one batch only the smallest id is routed."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
         shingle = Shingler()
         for batch in small_batches(batches, 2048):
             first: dict[bytes, tuple[int, np.ndarray]] = {}
@@ -267,6 +269,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text, hub, is_hub)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
         shingle = Shingler()
         for batch in small_batches(batches, 256):
             sets = [shingle(t) for t in batch.column(1).to_pylist()]

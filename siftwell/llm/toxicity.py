@@ -23,7 +23,7 @@ import pyarrow as pa
 import zstandard as zs
 from pyspark.sql import DataFrame, functions as F
 
-from siftwell.llm.bpe import small_batches
+from siftwell.llm.bpe import small_batches, unload
 from siftwell.llm.common import bounded_sample, fold_of
 
 #: Words in a window, words from one window to the next, most bytes in a window.
@@ -180,6 +180,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of about 25 kB
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
         scorer = shared.value.open()
         for batch in small_batches(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([scorer.score(t) for t in batch.column(1).to_pylist()], pa.float64())], [id_col, "score"])
@@ -193,6 +194,7 @@ def keep_clean(docs: DataFrame, model: Model, limit: float = 0.7) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
         scorer = shared.value.open()
         for batch in small_batches(batches):
             yield batch.filter(pa.array([scorer.score(t) < limit for t in batch.column(at).to_pylist()], pa.bool_()))

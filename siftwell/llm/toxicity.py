@@ -7,7 +7,9 @@ holds something of toxic text; the largest savings of a document, through a cali
 curve, are its score.
 
 Training runs on the driver, on at most ``sample`` labelled rows of each kind (those whose ids hash
-smallest), so its cost doesn't grow with the corpus.  Scoring is one narrow pass over whole texts:
+smallest), so its cost doesn't grow with the corpus.  In the curve's fit a sampled row counts for the
+labelled rows of its kind that it stands for, so scores have the labels' class ratio whatever part of
+a kind was read.  Scoring is one narrow pass over whole texts:
 no shuffle, memory bounded by one document.
 """
 
@@ -134,20 +136,22 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(self.features(text) @ self.weights, -30, 30))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """``counts`` says how many rows each row counts for."""
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+        step = np.linalg.solve((x * (counts * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (counts * (y - p)) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-9:
             break
     return w
 
 
-def fit(toxic_texts: list[str], ordinary_texts: list[str]) -> Model:
-    """Train both dictionaries and the curve.  Texts that repeat count once.  With no toxic text the
-    score is about the share of toxic ones for every document."""
+def fit(toxic_texts: list[str], ordinary_texts: list[str], behind: tuple[float, float] = (1.0, 1.0)) -> Model:
+    """Train both dictionaries and the curve.  Texts that repeat count once in the dictionaries.
+    ``behind`` is the number of labelled rows that a toxic and an ordinary text stand for.  With no
+    toxic text the score is about the share of toxic ones for every document."""
     toxic = [_prepared(t) for t in dict.fromkeys(toxic_texts)]
     ordinary = [_prepared(t) for t in dict.fromkeys(ordinary_texts)]
     cut = [d[int(a) : int(a + n)] for d in ordinary for a, n in windows(d)]
@@ -158,21 +162,25 @@ def fit(toxic_texts: list[str], ordinary_texts: list[str]) -> Model:
     scorer = model.open()
     x = np.array([scorer.features(t) for t in [*toxic_texts, *ordinary_texts]] or [[1.0, 0, 0, 0, 0]])
     y = np.array([1.0] * len(toxic_texts) + [0.0] * len(ordinary_texts) or [0.0])
-    model.weights = _logistic(x, y)
+    counts = np.where(y == 1, *behind)
+    model.weights = _logistic(x, y, counts * len(y) / counts.sum())
     return model
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, parts: int = 3, held: int = 1) -> Model:
     """Fit on labelled documents whose crc32(doc_id) mod ``parts`` isn't ``held``; at most ``sample``
-    of either kind.  Null labels, labels without a document and empty texts are passed over."""
-    usable = labels.select("doc_id", "toxic").where(F.col("toxic").isin(0, 1) & (fold_of(F.col("doc_id"), parts) != held))
-    picked = {r.doc_id: r.toxic for kind in (1, 0) for r in bounded_sample(usable.where(F.col("toxic") == kind).distinct(), "doc_id", sample)}
+    of either kind, weighted by the number of all of that kind.  Null labels, labels without a document and empty texts are passed over."""
+    usable = labels.select("doc_id", "toxic").where(F.col("toxic").isin(0, 1) & (fold_of(F.col("doc_id"), parts) != held)).distinct()
+    rows = {kind: bounded_sample(usable.where(F.col("toxic") == kind), "doc_id", sample) for kind in (1, 0)}
+    picked = {r.doc_id: kind for kind in (1, 0) for r in rows[kind]}
     if not picked:
         return fit([], [])
+    total = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
+    behind = tuple(total[kind] / len(rows[kind]) if rows[kind] else 1.0 for kind in (1, 0))
     ids = docs.sparkSession.createDataFrame([(i,) for i in picked], "doc_id long")
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").collect()  # 2 * sample ids at most
-    texts = sorted(((r.doc_id, r.text) for r in rows if r.text), key=lambda r: (r[0], r[1]))
-    return fit([t for i, t in texts if picked[i] == 1], [t for i, t in texts if picked[i] == 0])
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").collect()  # 2 * sample ids at most
+    texts = sorted(((r.doc_id, r.text) for r in found if r.text), key=lambda r: (r[0], r[1]))
+    return fit([t for i, t in texts if picked[i] == 1], [t for i, t in texts if picked[i] == 0], behind)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

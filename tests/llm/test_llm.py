@@ -141,6 +141,27 @@ def test_classifiers_on_odd_rows(spark):
     assert toxicity.keep_clean(docs, toxicity.train(docs, none)).columns == docs.columns
 
 
+def test_toxicity_keeps_the_class_ratio(spark):
+    """Three times the labels, of which the sample then bounds only the ordinary ones: the same scores, nearly."""
+    r = random.Random(5)
+    usual, bad = [f"word{k}" for k in range(300)], [f"nasty{k}" for k in range(5)]
+    base = []
+    for k in range(480):
+        words = r.choices(usual, k=20)
+        if r.random() < (0.5 if k % 8 == 0 else 0.06):  # some 54 of 100 that hold one are toxic
+            words.insert(5, r.choice(bad))
+        base.append((" ".join(words), int(k % 8 == 0)))
+
+    def scores(rows, sample):
+        table = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+        scorer = toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"), sample).open()
+        return [scorer.score(t) for t, _ in base]
+
+    few, many = scores(base, 120), scores(base * 3, 120)  # about 40 and 280, then 120 and 840 labels in the folds
+    assert abs(sum(few) / len(base) - 1 / 8) < 0.04 and abs(sum(many) / len(base) - 1 / 8) < 0.04
+    assert sum((a >= 0.7) != (b >= 0.7) for a, b in zip(few, many)) <= 0.02 * len(base)
+
+
 def test_toxicity_windows_cover_the_text():
     for data in (b"", b"a", b"a" * 1000, b"ab " * 500, b"x" * 300 + b" y " + b"z" * 500):
         seen = set()

@@ -1,10 +1,11 @@
 """Toxicity by compression distance.
 
-Two Zstandard dictionaries share the same ordinary text; one of them also holds what recurs in
-toxic documents and hardly ever in ordinary ones.  Every window of a text (a few words, with
-overlap) is compressed with both.  Where the toxic dictionary makes a window shorter, the window
-holds something of toxic text; the largest savings of a document, through a calibrated logistic
-curve, are its score.
+One Zstandard dictionary is trained on the windows of ordinary texts (a few words each, with
+overlap), one on those of toxic texts, and every window of a text is compressed with both: the mean
+saving of a window by the toxic one takes in all of its text.  A toxic document is mostly ordinary
+text, though, so a third dictionary, the ordinary one with the word beginnings and endings that recur
+in toxic documents and hardly ever in ordinary ones, finds single windows: a document's largest
+savings by it are taken.  A calibrated logistic curve makes the score of both.
 
 Training runs on the driver, on at most ``sample`` labelled rows of each kind (those whose ids hash
 smallest), so its cost doesn't grow with the corpus.  In the curve's fit a sampled row counts for the
@@ -16,6 +17,7 @@ no shuffle, memory bounded by one document.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -30,8 +32,10 @@ from siftwell.llm.common import bounded_sample, fold_of
 
 #: Words in a window, words from one window to the next, most bytes in a window.
 WORDS, HOP, MOST = 6, 5, 192
-#: Bytes of the ordinary dictionary, lengths of the segments that are weighed, rounds of choosing.
-ORDINARY_BYTES, LENGTHS, ROUNDS = 24576, (6, 7, 8, 9, 10), 4
+#: Bytes of either trained dictionary, lengths of the segments that are weighed, rounds of choosing.
+TRAINED_BYTES, LENGTHS, ROUNDS = 24576, (6, 7, 8, 9, 10), 4
+#: Parts of the sample; a part's mean savings, for the curve, are by dictionaries of the other parts.
+FOLDS = 5
 #: Labelled rows of each kind that training reads at most.
 SAMPLE = 1500
 _space = re.compile(r"\s+")
@@ -71,6 +75,17 @@ def _trained(samples: list[bytes], size: int) -> bytes:
         return b" ".join(samples)[-size:] or b" the "
 
 
+def _dictionary(texts: list[bytes]) -> bytes:
+    return _trained([d[int(a) : int(a + n)] for d in texts for a, n in windows(d)], TRAINED_BYTES)
+
+
+def _lengths(data: bytes, w: np.ndarray, compressors: list[zs.ZstdCompressor]) -> list[np.ndarray]:
+    """The compressed lengths of the windows by each compressor."""
+    held = zs.BufferWithSegments(data, w.tobytes())
+    packed = [c.multi_compress_to_buffer(held, threads=1) for c in compressors]
+    return [np.fromiter((len(p[i]) for i in range(len(w))), np.int64, len(w)) for p in packed]
+
+
 def _segments(data: bytes) -> set[bytes]:
     out = set()
     for word in set(data.split(b" ")):
@@ -110,6 +125,7 @@ def _toxic_segments(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
 class Model:
     ordinary: bytes
     toxic: bytes
+    marked: bytes
     weights: np.ndarray
 
     def open(self) -> "Scorer":
@@ -118,19 +134,19 @@ class Model:
 
 class Scorer:
     def __init__(self, model: Model):
-        self.ordinary, self.toxic, self.weights = _compressor(model.ordinary), _compressor(model.toxic), model.weights
+        self.compressors = [_compressor(raw) for raw in (model.ordinary, model.toxic, model.marked)]
+        self.weights = model.weights
 
     def features(self, text: str | None) -> np.ndarray:
         data = _prepared(text)
         w = windows(data)
-        top = np.zeros(4)
+        top, mean = np.zeros(4), 0.0
         if len(w):
-            held = zs.BufferWithSegments(data, w.tobytes())
-            a, b = (c.multi_compress_to_buffer(held, threads=1) for c in (self.ordinary, self.toxic))
-            saved = np.fromiter((len(a[i]) - len(b[i]) for i in range(len(w))), np.int64, len(w))
-            most = np.sort(np.clip(saved, 0, 8))[-4:][::-1]
+            ordinary, toxic, marked = _lengths(data, w, self.compressors)
+            most = np.sort(np.clip(ordinary - marked, 0, 8))[-4:][::-1]
             top[: len(most)] = most
-        return np.array([1.0, top[0], top[0] + top[1], top.sum(), np.log1p(len(w))])
+            mean = (ordinary - toxic).mean()
+        return np.array([1.0, top[0], top[0] + top[1], top.sum(), mean, np.log1p(len(w))])
 
     def score(self, text: str | None) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.features(text) @ self.weights, -30, 30))))
@@ -149,19 +165,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray, ridge: float = 1
 
 
 def fit(toxic_texts: list[str], ordinary_texts: list[str], behind: tuple[float, float] = (1.0, 1.0)) -> Model:
-    """Train both dictionaries and the curve.  Texts that repeat count once in the dictionaries.
+    """Train the dictionaries and the curve.  Texts that repeat count once in the dictionaries.
     ``behind`` is the number of labelled rows that a toxic and an ordinary text stand for.  With no
     toxic text the score is about the share of toxic ones for every document."""
     toxic = [_prepared(t) for t in dict.fromkeys(toxic_texts)]
     ordinary = [_prepared(t) for t in dict.fromkeys(ordinary_texts)]
-    cut = [d[int(a) : int(a + n)] for d in ordinary for a, n in windows(d)]
-    base = _trained(cut[:: max(1, len(cut) // 60_000)], ORDINARY_BYTES)
+    base, other = _dictionary(ordinary), _dictionary(toxic)
     chosen = _toxic_segments(toxic, ordinary)
     more = b" " + b" ".join(reversed(chosen)) + b" " if chosen else b""
-    model = Model(base, base + more, np.zeros(5))
+    model = Model(base, other, base + more, np.zeros(6))
     scorer = model.open()
-    x = np.array([scorer.features(t) for t in [*toxic_texts, *ordinary_texts]] or [[1.0, 0, 0, 0, 0]])
+    x = np.array([scorer.features(t) for t in [*toxic_texts, *ordinary_texts]] or [[1.0, 0, 0, 0, 0, 0]])
     y = np.array([1.0] * len(toxic_texts) + [0.0] * len(ordinary_texts) or [0.0])
+    data = [_prepared(t) for t in [*toxic_texts, *ordinary_texts]]
+    part = lambda d: zlib.crc32(d) % FOLDS
+    for k in range(FOLDS):  # a dictionary saves more on texts that it was trained on than on others
+        rest = [_compressor(_dictionary([d for d in texts if part(d) != k])) for texts in (ordinary, toxic)]
+        for row, d in enumerate(data):
+            if part(d) == k and len(w := windows(d)):
+                without, by_toxic = _lengths(d, w, rest)
+                x[row, 4] = (without - by_toxic).mean()
     counts = np.where(y == 1, *behind)
     model.weights = _logistic(x, y, counts * len(y) / counts.sum())
     return model
@@ -185,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, parts: int =
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row; a null or empty text has the score of a text without windows."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of about 25 kB
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # three dictionaries of about 25 kB
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unload()

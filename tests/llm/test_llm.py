@@ -162,6 +162,18 @@ def test_toxicity_keeps_the_class_ratio(spark):
     assert sum((a >= 0.7) != (b >= 0.7) for a, b in zip(few, many)) <= 0.02 * len(base)
 
 
+def test_toxic_text_is_in_a_dictionary():
+    """Toxic phrases of ordinary, short words, which no word by itself tells."""
+    r = random.Random(6)
+    words = "go to me if he so we am is at up or in on it us my by do no".split()
+    phrases = [r.sample(words, 6) for _ in range(60)]
+    toxic = [" ".join(w for p in r.sample(phrases, 4) for w in p) for _ in range(200)]
+    ordinary = [" ".join(r.choices(words, k=24)) for _ in range(200)]
+    scorer = toxicity.fit(toxic[:150], ordinary[:150]).open()
+    scores = pd.Series([scorer.score(t) for t in [*toxic[150:], *ordinary[150:]]])
+    assert auc(scores, pd.Series([1] * 50 + [0] * 50)) > 0.9
+
+
 def test_toxicity_windows_cover_the_text():
     for data in (b"", b"a", b"a" * 1000, b"ab " * 500, b"x" * 300 + b" y " + b"z" * 500):
         seen = set()

@@ -10,6 +10,9 @@ response and the others are revisits that refer to it; smaller ones are all resp
 repeat that page_id are responses.  Null html is the empty payload; a null url an empty one; control
 characters can't enter a header.  Extra columns are ignored.
 
+A page_id may repeat with different payloads: what is stored goes by page_id and address.  Reading
+fails where a record's payload is missing.
+
 Only addresses are aggregated and joined with headers (a group of copies is one address, combined
 before the shuffle); payload bytes move once, to drop those that are stored already, and not at all
 when the list of those is small enough to broadcast.
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from siftwell.llm.common import let, shared_dir, stored
 
 DATE = "2000-01-01T00:00:00Z"
-#: Rows (of 8 bytes) that may be broadcast.
+#: Rows (of a page_id and an address) that may be broadcast.
 BROADCAST = 200_000
 
 
@@ -83,10 +86,11 @@ def write(pages: DataFrame, least: int = 0, path: str | None = None) -> Archive:
     known.select("page_id", "url", "address", let(http, header).alias("header")).write.option("compression", "zstd").parquet(archive.headers)
 
     # payloads of rows that another row of the same address stores are left out
-    spare = stored(known.where(F.col("page_id") < F.col("response_id")).select("page_id").distinct(), "spare")
+    spare = stored(known.where(F.col("page_id") < F.col("response_id")).select("page_id", "address").distinct(), "spare")
     if spare.count() <= BROADCAST:
         spare = F.broadcast(spare)
-    kept = rows.join(spare, "page_id", "left_anti").select(F.sha2("payload", 256).alias("address"), "payload")
+    addressed = rows.select("page_id", F.sha2("payload", 256).alias("address"), "payload")
+    kept = addressed.join(spare, ["page_id", "address"], "left_anti").select("address", "payload")
     kept.write.option("compression", "zstd").parquet(archive.payloads)
     return archive
 
@@ -112,13 +116,18 @@ def read_headers(spark: SparkSession, archive: Archive) -> DataFrame:
     )
 
 
+def _held(found: Column, value: Column) -> Column:
+    """``value`` where the record's payload was found; the read fails where it wasn't."""
+    return F.when(found.isNotNull(), value).otherwise(F.raise_error(F.concat(F.lit("no payload is stored under the address "), F.col("address"))))
+
+
 def read(spark: SparkSession, archive: Archive) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of every record; length
     and digest are those of the stored payload's bytes."""
     facts = verified_payloads(spark, archive).select("address", F.octet_length("payload").cast("long").alias("payload_bytes"), base32(F.sha1("payload")).alias("payload_digest")).distinct()
-    found = read_headers(spark, archive).join(facts, "address")
+    found = read_headers(spark, archive).join(facts, "address", "left")
     same = F.when(F.col("payload_digest") == F.col("header_digest"), F.col("payload_digest")).otherwise(F.raise_error(F.lit("a record's digest is not its payload's")))
-    return found.select("page_id", "url", "payload_bytes", same.alias("payload_digest"), "record_type", "refers_to")
+    return found.select("page_id", "url", "payload_bytes", _held(F.col("payload_digest"), same).alias("payload_digest"), "record_type", "refers_to")
 
 
 def records(spark: SparkSession, archive: Archive) -> DataFrame:
@@ -126,4 +135,4 @@ def records(spark: SparkSession, archive: Archive) -> DataFrame:
     header alone.  Each record ends with two line ends, as in a WARC file."""
     payloads = verified_payloads(spark, archive).dropDuplicates(["address"])
     block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return read_headers(spark, archive).join(payloads, "address").select("page_id", F.concat("header", block, F.lit(b"\r\n\r\n")).alias("record"))
+    return read_headers(spark, archive).join(payloads, "address", "left").select("page_id", F.concat("header", _held(F.col("payload"), block), F.lit(b"\r\n\r\n")).alias("record"))

@@ -243,6 +243,24 @@ def test_warc_notices_a_wrong_payload(spark):
         warc.read(spark, archive).collect()
 
 
+def test_warc_page_ids_repeat_with_other_payloads(spark):
+    rows = [(5, "u", None), (5, "v", "real"), (9, "w", None), (5, "x", "other"), (7, "y", "other")]
+    archive = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = sorted((r.page_id, r.url, r.payload_bytes, r.record_type, r.refers_to or 0) for r in warc.read(spark, archive).collect())
+    assert got == [(5, "u", 0, "revisit", 9), (5, "v", 4, "response", 0), (5, "x", 5, "revisit", 7), (7, "y", 5, "response", 0), (9, "w", 0, "response", 0)]
+    assert warc.records(spark, archive).count() == len(rows)
+    assert warc.verified_payloads(spark, archive).count() == 3
+
+
+def test_warc_notices_a_missing_payload(spark):
+    archive = warc.write(spark.createDataFrame([(1, "u", "text"), (2, "v", "more")], "page_id long, url string, html string"))
+    one = [tuple(r) for r in warc.verified_payloads(spark, archive).limit(1).collect()]
+    spark.createDataFrame(one, "address string, payload binary").write.mode("overwrite").parquet(archive.payloads)
+    for found in (warc.read, warc.records):
+        with pytest.raises(Exception, match="no payload is stored"):
+            found(spark, archive).collect()
+
+
 def brute_overlaps(text, items):
     w, found = [x.lower() for x in re.findall(r"[^\x20\x09-\x0D]+", text or "")], set()
     for i, y in items:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import html
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 # Marker words, keywords and signatures that results must agree on.
 FR_MARKERS = [" le ", " la ", " les ", " de ", " des ", " et ", " pour ", " avec ", " une ", " un "]
@@ -33,7 +36,6 @@ LEGAL_TERMS = ["privacy policy", "cookie policy", "personal data", "data protect
 NAV_SIGNS = ["go to **", "skip to main content", "change location", "main navigation", "secondary menu", "header persistent"]
 NOISE = r"(?i)cookie policy|privacy policy|terms of (?:use|service)|all rights reserved|subscribe to our newsletter|click here to|read more|share this article|follow us on|©\s*\d{4}|javascript is (?:disabled|required)|select your country|new articles\s*:|top \d+ articles|← previous|next →|\(current\)"
 COUNTRY_LINES = "Algeria|Angola|Benin|Botswana|Burkina Faso|Cameroon|Central African Republic|Congo|Côte d'Ivoire|Djibouti|Egypt|Ethiopia|Gabon|Ghana|Guinea|Kenya|Liberia|Madagascar|Malawi|Mali|Mauritius|Morocco|Mozambique|Namibia|Niger|Nigeria|Senegal|Somalia|South Africa|Tanzania|Togo|Tunisia|Uganda|Afrique"
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 
 
 def blank(c: Column) -> Column:
@@ -136,9 +138,10 @@ def page_status(c: Column) -> Column:
     )
 
 
-def unescape(c: Column) -> Column:
-    """The common named character references; an ampersand last, so nothing is decoded twice."""
-    return reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), ENTITIES, c)
+@F.pandas_udf(StringType())
+def unescape(c: pd.Series) -> pd.Series:
+    """All named and numeric character references, once; null stays null."""
+    return c.map(html.unescape, na_action="ignore")
 
 
 def keep_line(line: Column) -> Column:

@@ -1,5 +1,6 @@
 """Every query with SQL against DuckDB, on the smallest tables; some functions on written cases."""
 
+import html
 import os
 
 import duckdb
@@ -54,6 +55,13 @@ def test_clean_for_nlp(spark):
     assert one(spark, text.clean_for_nlp(F.col("t")), t=None) == ""
 
 
+def test_all_character_references(spark):
+    raw = "Soci&eacute;t&eacute; g&eacute;n&eacute;rale &rsquo;&euro;&#233;&#xe9;&#X1F600; &amp;lt; &copy &notit; &#128; &unknown; &Aacute;&frac12;&NotEqualTilde;"
+    assert one(spark, text.unescape(F.col("t")), t=raw) == html.unescape(raw)
+    assert one(spark, text.unescape(F.lit(None).cast("string"))) is None
+    assert one(spark, text.clean_for_nlp(F.col("t")), t="Soci&eacute;t&eacute; g&#233;n&#xe9;rale, l&rsquo;avenir &agrave; 5&nbsp;&euro;") == "Société générale, l’avenir à 5\u00a0€"
+
+
 @pytest.mark.parametrize("raw,value", [("1 234 567 €", 1234567.0), ("22,5 M€", 22500000.0), ("430M", 430000000.0), ("n/a", None), ("1.234.567", 1234.567), ("", None)])
 def test_amount(spark, raw, value):
     got = one(spark, company.amount(F.col("t")), t=raw)

@@ -58,7 +58,33 @@ def technologies(pages: DataFrame, rules: DataFrame, implied: DataFrame | None =
     return found.unionByName(more.withColumn("confidence", F.lit(0.75)))
 
 
-def ecommerce(found: DataFrame, weights: DataFrame, flag: float = 15.0) -> DataFrame:
-    """(page_id, score, is_ecommerce): weights (tech, weight) times confidences, capped at 100."""
-    s = found.join(F.broadcast(weights), "tech").groupBy("page_id").agg(F.round(F.least(F.lit(100.0), F.sum(F.col("weight") * F.col("confidence"))), 1).alias("score"))
-    return s.withColumn("is_ecommerce", F.col("score") >= flag)
+#: Points of a pattern in a page's html, whatever its case, and the signal's name.
+SHOP_PATTERNS = [
+    (r'"@type":\s*"Product"', 20, "schema:Product"),
+    (r'"@type":\s*"Offer"', 15, "schema:Offer"),
+    (r'"@type":\s*"ItemList"', 10, "schema:ItemList"),
+    (r"add[_-]to[_-]cart", 10, "pattern:add-to-cart"),
+    (r"data-product-id|product[_-]id", 8, "pattern:product-id"),
+    (r"/cart\b|/checkout\b", 8, "pattern:cart-url"),
+    (r'"sku"\s*:', 6, "pattern:sku"),
+    (r'"price"\s*:\s*[\d"]', 6, "pattern:price"),
+    (r"type=[\"']number[\"'].*quantit", 5, "pattern:quantity-input"),
+    (r"free.shipping|livraison.gratuite", 4, "pattern:free-shipping"),
+    (r"in.stock|out.of.stock|en.stock", 4, "pattern:stock"),
+]
+
+
+def ecommerce(pages: DataFrame, found: DataFrame, weights: DataFrame, flag: float = 15.0, most: int = 12) -> DataFrame:
+    """(page_id, score, is_ecommerce, signals) of every page: weights (tech, weight) times confidences of
+    its technologies, and the points of its patterns, capped at 100.  ``signals`` are the first ``most``
+    names, technologies before patterns.  ``found`` is as ``technologies`` gives it, implied ones too."""
+    holds = [F.coalesce(F.col("html").rlike(f"(?iUd){p}"), F.lit(False)).alias(f"p{k}") for k, (p, _, _) in enumerate(SHOP_PATTERNS)]
+    held = pages.select("page_id", *holds).groupBy("page_id").agg(*[F.bool_or(f"p{k}").alias(f"p{k}") for k in range(len(holds))])
+    techs = found.join(F.broadcast(weights), "tech").groupBy("page_id").agg(F.sum(F.col("weight") * F.col("confidence")).alias("of_techs"), F.sort_array(F.collect_list("tech")).alias("techs"))
+    points, names = F.coalesce("of_techs", F.lit(0.0)), []
+    for k, (_, n, name) in enumerate(SHOP_PATTERNS):
+        points += F.when(F.col(f"p{k}"), float(n)).otherwise(0.0)
+        names.append(F.when(F.col(f"p{k}"), name))
+    signals = F.slice(F.concat(F.coalesce("techs", F.array().cast("array<string>")), F.array_compact(F.array(*names))), 1, most)
+    s = held.join(techs, "page_id", "left").select("page_id", F.round(F.least(F.lit(100.0), points), 1).alias("score"), signals.alias("signals"))
+    return s.select("page_id", "score", (F.col("score") >= flag).alias("is_ecommerce"), "signals")

@@ -314,7 +314,10 @@ SELECT page_id, CAST(round(least(100, sum(weight * confidence)), 1) AS DOUBLE) A
 def ecommerce_scores(spark, sf_dir):
     rules = spark.createDataFrame(RULES, "tech string, pattern string, confidence double")
     weights = spark.createDataFrame([("Tracker", 12.0), ("Inline style", 5.0)], "tech string, weight double")
-    return matching.ecommerce(matching.technologies(_t(spark, sf_dir, "pages").select("page_id", "html"), rules), weights)
+    implied = spark.createDataFrame([("Tracker", "Analytics")], "tech string, implies string")
+    pages = _t(spark, sf_dir, "pages").select("page_id", "html")
+    scores = matching.ecommerce(pages, matching.technologies(pages, rules, implied), weights)
+    return scores.where("score > 0").drop("signals")  # the SQL has no row for a page without points
 
 
 @query("""

@@ -4,12 +4,13 @@ A seed is a fixed mask over SPAN successive words that reads some positions and
 so a hash of what it reads survives substitutions at ignored positions.  The hashes of all windows of
 the benchmark and of the documents are joined; around each hit the document's and the item's words
 are compared along the diagonal, and an overlap is a run of RUN words of which NEED agree (of the
-whole item, if it is shorter).
+whole item, if it is shorter).  Items of fewer than SPAN words have seeds of their own length, made
+only for lengths that the benchmark has.  The masks leave out no overlap that the rule accepts.
 
 The benchmark's hashes are broadcast while they are at most BROADCAST rows and joined by shuffle
 beyond; likewise what was hit.  Documents are exploded into windows by codegen and only hits leave
 that stage, so a hot document, source or passage doesn't gather anywhere.  Defined cases: null or
-empty texts and items have no windows; items of fewer than SPAN words aren't searched; repeated rows
+empty texts and items have no windows; an item of a few words is an overlap wherever it is; repeated rows
 of either table give the same verdict for each; columns of other names are ignored.
 """
 
@@ -20,8 +21,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from siftwell.llm.common import let, stored, words
 
 SPAN = 10
-MASKS = ["1110010101", "1010111001", "1101001011"]
+MASKS = ["1110010101", "1010111001", "1101001011", "0111011010"]
 RUN, NEED = 13, 11
+#: Words beyond either end of a document that windows take in: as many as a run may lack.
+BEYOND = RUN - NEED
 #: Rows of fixed width that may be broadcast: 200,000 * 32 bytes.
 BROADCAST = 200_000
 
@@ -30,12 +33,23 @@ def _tokens(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(F.lower(w)))
 
 
-def _windows(df: DataFrame, keep: list[str]) -> DataFrame:
-    """(keep, seed, at): a row for every mask and window of the word hashes in column w."""
-    n = F.size("w") - (SPAN - 1)
-    rows = F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("at"), *[F.slice("w", i + 1, n).alias(f"w{i}") for i in range(SPAN)])
-    rows = df.where(F.size("w") >= SPAN).select(*keep, F.inline(rows))
-    seeds = [F.xxhash64(F.lit(k), *[F.col(f"w{i}") for i, c in enumerate(mask) if c == "1"]) for k, mask in enumerate(MASKS)]
+def masks_of(span: int) -> list[str]:
+    """The masks for items of ``span`` words, or of SPAN and more.  A shorter item must agree whole, or
+    but for one word: then each mask ignores a third of it."""
+    if span == SPAN:
+        return MASKS
+    if -(-span * NEED // RUN) == span:
+        return ["1" * span]
+    return ["".join("0" if 3 * i // span == k else "1" for i in range(span)) for k in range(3)]
+
+
+def _windows(df: DataFrame, keep: list[str], span: int = SPAN) -> DataFrame:
+    """(keep, seed, at): a row for every mask and window of ``span`` of the word hashes in column w."""
+    n = F.size("w") - (span - 1)
+    rows = F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("at"), *[F.slice("w", i + 1, n).alias(f"w{i}") for i in range(span)])
+    rows = df.where(F.size("w") >= span).select(*keep, F.inline(rows))
+    tag = 0 if span == SPAN else 3 * span + len(MASKS)
+    seeds = [F.xxhash64(F.lit(tag + k), *[F.col(f"w{i}") for i, c in enumerate(mask) if c == "1"]) for k, mask in enumerate(masks_of(span))]
     return rows.select(*keep, "at", F.explode(F.array(*seeds)).alias("seed"))
 
 
@@ -47,9 +61,18 @@ def _small(df: DataFrame) -> DataFrame:
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, shift): diagonals on which some seed agrees."""
     items = benchmark.select("item_id", _tokens(F.col("text")).alias("w"))
-    seeds = stored(_windows(items, ["item_id"]).select("item_id", F.col("at").alias("item_at"), "seed").distinct(), "seeds")
-    found = _windows(docs.select("doc_id", _tokens(F.col("text")).alias("w")), ["doc_id"])
-    return found.join(_small(seeds), "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    length = F.least(F.size("w"), F.lit(SPAN))
+    spans = sorted(x.n for x in items.select(length.alias("n")).where("n > 0").distinct().collect())  # SPAN rows at most
+    ends = F.array_repeat(F.lit(0).cast("long"), BEYOND)
+    padded = docs.select("doc_id", F.concat(ends, _tokens(F.col("text")), ends).alias("w"))
+    out = None
+    for span in spans or [SPAN]:
+        own = _windows(items.where(length == span), ["item_id"], span)
+        seeds = stored(own.select("item_id", F.col("at").alias("item_at"), "seed").distinct(), "seeds")
+        found = _windows(padded, ["doc_id"], span).join(_small(seeds), "seed")
+        found = found.select("doc_id", "item_id", (F.col("at") - F.col("item_at") - BEYOND).alias("shift"))
+        out = found if out is None else out.unionByName(found)
+    return out.distinct()
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

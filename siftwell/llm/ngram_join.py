@@ -432,6 +432,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The row of the smallest doc_id of each component, all columns as they were."""
+    """The row of the smallest doc_id of each component, all columns as they were.  Rows without a
+    doc_id can't be told apart by it and are all kept."""
     found = join(docs).where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").select(*docs.columns)
+    kept = docs.where("doc_id is not null").join(found, "doc_id", "left_semi").select(*docs.columns)
+    return kept.unionByName(docs.where("doc_id is null"))

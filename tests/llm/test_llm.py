@@ -98,6 +98,13 @@ def test_ngram_join_equals_brute_force(spark):
     assert ngram_join.join(docs.limit(0)).count() == 0
 
 
+def test_keep_one_keeps_rows_without_an_id(spark):
+    text = "one two three four five six seven"
+    docs = spark.createDataFrame([(1, text), (2, text), (None, text), (None, "clean words of its own here"), (None, None), (3, None)], "doc_id long, text string")
+    got = collections.Counter((r.doc_id, r.text) for r in ngram_join.keep_one(docs).collect())
+    assert got == collections.Counter((i, t) for i, t in [(1, text), (None, text), (None, "clean words of its own here"), (None, None), (3, None)])
+
+
 def test_keys_and_bounds_miss_nothing():
     r, shingle = random.Random(3), ngram_join.Shingler(1)
     for _ in range(300):

@@ -1,40 +1,47 @@
 """Byte-level BPE as a lazily determinised finite-state transducer.
 
 A token sequence is what the merges give for a byte string exactly when every two neighbours stay
-apart when only their own bytes are merged, and every token merges back to itself.  That is a
-regular condition, so encoding is a transducer: a configuration is (last complete token, node of
-the trie of tokens reached since), with the tokens not yet written in a register.  Reading one byte moves
-every configuration down the trie and, where a token ends there that may follow the last one, forks
-it.  Subset construction makes this deterministic; it is done lazily, a transition when it is first
-taken.  Registers stay out of the states, so that states are few and used again.  When one
-configuration is left, what it holds is written; how far output lags input is bounded by how long
-several stay possible.  At the end of the input exactly one configuration is complete.
-
-Decoding writes each token's bytes through an incremental UTF-8 state machine that holds back at
-most three bytes, so text can be streamed although tokens cut characters.
-
-Memory: the trie and the vocabulary (a few MB) plus caches of bounded size in each Python worker.
+apart when only their own bytes are merged, and every token merges back to itself.  So the merges are
+compiled into a trie of tokens, which an automaton reads in a loop, and a relation of which token may
+follow which.  The automaton may be at several nodes of the trie at once, one for each place where
+the current token may have begun; subset construction makes it deterministic, lazily, a transition
+when it is first taken.  A state writes which tokens may end at the byte read.  A string has one
+encoding, so exactly one of them may follow the token that ends where it begins; it goes to a
+register.  What all places where the current token may have begun have in common is final and is
+written: output lags input by a few tokens on the texts that the tests try, periodic ones included.
+
+Decoding runs each token's bytes through an incremental UTF-8 state machine that holds back at most
+three bytes, so text can be streamed although tokens cut characters.
+
+A batch's new pieces of text are read side by side, one byte of each at a time, with the transitions
+and the relation in arrays; single and very long ones are read as a stream.
+
+Memory: the trie and the vocabulary (some 50 MB) plus tables and caches of bounded size in each
+Python worker, and a batch's distinct words.
 """
 
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+from siftwell.llm.common import held, small_batches
 
 ROOT = 0
-#: So many tokens below a node are weighed one by one.
-FEW = 8
-#: Entries that a worker keeps of words, pieces, states and pairs; full caches start anew.
-WORDS_KEPT, PIECES_KEPT, STATES_KEPT, PAIRS_KEPT = 400_000, 400_000, 300_000, 1_000_000
+#: Words and pieces that a worker keeps (twice that while old ones are met again), states, pairs of
+#: tokens of which it is known whether they may follow; full tables start anew.
+WORDS_KEPT, PIECES_KEPT, STATES_KEPT, PAIRS_KEPT = 100_000, 100_000, 30_000, 1 << 19
+#: Bytes read before what is final is written.
+BLOCK = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,10 +54,13 @@ class MergeTransducer:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.bytes_of = {i: b for b, i in ranks.items()}
+        size = max(ranks.values()) + 1
+        self.bytes_of = [b""] * size
+        for b, i in ranks.items():
+            self.bytes_of[i] = b
+        self.size_of = [len(b) for b in self.bytes_of]
         self.children: dict[int, int] = {}  # node * 256 + byte -> node
-        self.token_at: list[int] = [-1]
-        self.inner = [True]  # has the node children?
+        self.token_at, self.depth = array("i", [-1]), array("i", [0])
         for token, i in ranks.items():
             node = ROOT
             for byte in token:
@@ -58,56 +68,46 @@ class MergeTransducer:
                 if nxt is None:
                     nxt = self.children[node << 8 | byte] = len(self.token_at)
                     self.token_at.append(-1)
-                    self.inner.append(False)
-                    self.inner[node] = True
+                    self.depth.append(self.depth[node] + 1)
                 node = nxt
             self.token_at[node] = i
-        self.few = self._few()
-        self.seen: dict[int, tuple] = {}
-        self.edges: dict[int, tuple[list, list] | None] = {}
-        self.halves: dict[bytes, list[bytes]] = {}
-        self.pairs: dict[int, bool] = {}
+        self.sizes = np.array([*self.size_of, 0], np.int64)
+        self.start = size  # what the first token follows
+        self.edges: dict[int, tuple[tuple, tuple] | None] = {}
         self._reset()
-
-    def _few(self) -> list[tuple[int, ...] | None]:
-        """For each node the tokens strictly below it, or None if they are more than FEW."""
-        few: list[tuple[int, ...] | None] = [()] * len(self.token_at)
-        for at, child in sorted(self.children.items(), key=lambda x: -x[1]):  # children have larger numbers
-            node, own = at >> 8, few[child]
-            if self.token_at[child] >= 0 and own is not None:
-                own = (*own, self.token_at[child])
-            mine = few[node]
-            few[node] = None if own is None or mine is None or len(own) + len(mine) > FEW else mine + own
-        return few
-
-    def _kept(self, node: int, last: int) -> tuple[int, ...] | int:
-        """What a configuration has to remember of its last token: where few tokens lie below the
-        node, only which of them may follow; so configurations without a future go, and those with
-        the same one are the same."""
-        few = self.few[node]
-        if few is None:
-            return last
-        found = self.seen.get(node << 32 | last)
-        if found is None:
-            if len(self.seen) >= PAIRS_KEPT:
-                self.seen.clear()
-            found = self.seen[node << 32 | last] = tuple([t for t in few if self.follows(last, t)])
-        return found
+        self._forget_pairs()
 
     def _reset(self) -> None:
-        self.number: dict[tuple, int] = {}
-        self.state: list[tuple] = []
-        self.step: list[dict[int, tuple[int, tuple]]] = []
-        self.done: list[int] = []  # the complete configuration's place in the state
-        self._add(((ROOT, -1),))
-
-    def _add(self, key: tuple) -> int:
-        n = self.number[key] = len(self.state)
-        self.state.append(key)
-        self.step.append({})
-        self.done.append(0 if key[0][0] == ROOT else -1)
+        self.number: dict[int, int] = {}  # the deepest node -> state; the others are its suffixes
+        self.state: list[tuple[int, ...]] = []
+        self.step = np.full((1024, 256), -1, np.int32)  # state and byte -> state
+        self.ending: list[tuple[tuple[int, int], ...]] = []  # (size, token) of what may end in a state
+        self.endings = np.zeros((1024, 1, 2), np.int64)  # the same, filled up with zeros
+        self._add((ROOT,))
+
+    def _add(self, nodes: tuple[int, ...]) -> int:
+        n = self.number[nodes[0]] = len(self.state)
+        self.state.append(nodes)
+        ends = tuple([(self.depth[x], self.token_at[x]) for x in nodes if self.token_at[x] >= 0])
+        self.ending.append(ends)
+        if n == len(self.step):
+            self.step = np.concatenate([self.step, np.full_like(self.step, -1)])
+            self.endings = np.concatenate([self.endings, np.zeros_like(self.endings)])
+        if len(ends) > self.endings.shape[1]:
+            self.endings = np.pad(self.endings, ((0, 0), (0, len(ends) - self.endings.shape[1]), (0, 0)))
+        self.endings[n, : len(ends)] = np.array(ends, np.int64).reshape(-1, 2)
         return n
 
+    def advance(self, s: int, byte: int) -> int:
+        """Determinise one transition."""
+        to = [child for x in self.state[s] if (child := self.children.get(x << 8 | byte)) is not None]
+        to.append(ROOT)
+        found = self.number.get(to[0])
+        if found is None:
+            found = self._add(tuple(to))
+        self.step[s, byte] = found
+        return found
+
     def merge(self, data: bytes, until: int = 1) -> list[bytes]:
         """The merges as they are defined: the lowest rank first, the leftmost of equals.  Used on
         single tokens only, while the transducer is compiled."""
@@ -121,150 +121,247 @@ class MergeTransducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def spine(self, token: int) -> tuple[list, list] | None:
+    def spine(self, token: int) -> tuple[tuple, tuple] | None:
         """The parts at the left and the right edge of a token while it is merged, each with the
         rank of the merge that ends it; None if its bytes don't merge to it."""
         if token in self.edges:
             return self.edges[token]
-        found: list[list] = []
-        for side in (0, -1):
-            part, ends, out = self.bytes_of[token], 1 << 59, []
-            while True:
-                out.append((part, ends))
-                if len(part) == 1:
-                    break
-                two = self.halves.get(part)
-                if two is None:
-                    two = self.halves[part] = self.merge(part, 2)
-                if len(two) != 2:
-                    self.edges[token] = None
-                    return None
-                part, ends = two[side], self.ranks[part]
-                if self.ranks[part] >= ends:
-                    raise ValueError("a merge ranks below one of its parts")
-            found.append(out)
-        self.edges[token] = (found[0], found[1])
-        return self.edges[token]
+        whole, found = self.bytes_of[token], None
+        if len(whole) == 1:
+            found = (((whole, 1 << 59),),) * 2
+        else:
+            two = self.merge(whole, 2)
+            if any(len(x) > 1 and self.ranks[x] >= token for x in two):
+                raise ValueError("a merge ranks below one of its parts")
+            below = [self.spine(self.ranks[x]) for x in two]
+            if len(two) == 2 and None not in below:
+                found = tuple(((whole, 1 << 59), (two[side], token), *below[side][side][1:]) for side in (0, 1))
+        self.edges[token] = found
+        return found
 
     def follows(self, a: int, b: int) -> bool:
-        """May token ``b`` stand after token ``a`` (-1: at the start)?
+        """May token ``b`` stand after token ``a`` (``start``: at the start)?
 
         Merging the bytes of both goes on inside each as it would alone, unless a merge across the
         border comes first: of a part at the right edge of ``a`` and one at the left edge of ``b``,
         at a rank before what ends the first, and not after what ends the second (of equal ranks
         the left one is merged first).
         """
-        right = self.spine(b)
-        if right is None or a < 0:
-            return right is not None
-        ok = self.pairs.get(a << 32 | b)
-        if ok is None:
-            if len(self.pairs) >= PAIRS_KEPT:
-                self.pairs.clear()
-            rank, ok = self.ranks.get, True
+        left, ok = self.spine(b), True
+        if left is None:
+            ok = False
+        elif a != self.start:
+            rank = self.ranks.get
             for x, ends_x in self.spine(a)[1]:
-                for y, ends_y in right[0]:
+                for y, ends_y in left[0]:
                     r = rank(x + y)
                     if r is not None and r < ends_x and r <= ends_y:
                         ok = False
                         break
                 if not ok:
                     break
-            self.pairs[a << 32 | b] = ok
         return ok
 
-    def advance(self, s: int, byte: int) -> tuple[int, tuple | None]:
-        """Determinise one transition: (next state, for each of its configurations the place of the
-        one that it comes from and the token that it completes, or -1)."""
-        out = []
-        child_of, token_at, few = self.children.get, self.token_at, self.few
-        for place, (node, last) in enumerate(self.state[s]):
-            child = child_of(node << 8 | byte)
-            if child is None:
-                continue
-            token = token_at[child]
-            if type(last) is int:
-                ends = token >= 0 and (last < 0 or self.follows(last, token))
-                rest = self._kept(child, last) if last >= 0 else few[child] if few[child] is not None else -1
-            else:
-                ends = token in last
-                below = few[child]
-                rest = tuple([t for t in last if t in below]) if len(last) > ends else ()
-            if rest != ():
-                out.append((child, rest, place, -1))
-            if ends:
-                out.append((ROOT, token, place, token))
-        out.sort(key=lambda c: c[0])
-        key = tuple([(node, last) for node, last, _, _ in out])
-        to = self.number.get(key)
-        if to is None:
-            to = self._add(key)
-        moves: tuple | None = tuple([(place, token) for _, _, place, token in out])
-        if moves == tuple((k, -1) for k in range(len(self.state[s]))):
-            moves = None  # every register stays
-        found = self.step[s][byte] = (to, moves)
-        return found
+    def _forget_pairs(self) -> None:
+        self.known, self.says, self.n_known = np.full(2 * PAIRS_KEPT, -1, np.int64), np.zeros(2 * PAIRS_KEPT, bool), 0
+
+    def follow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``follows`` of many pairs; what is asked for the first time is kept in a hash table."""
+        key = a << 24 | b
+        ok, left, mask = np.zeros(len(key), bool), np.arange(len(key)), len(self.known) - 1
+        at = (key * 0x9E3779B97F4A7C1 >> 20) & mask
+        new = []
+        while len(left):
+            there = self.known[at]
+            found = there == key[left]
+            ok[left[found]] = self.says[at[found]]
+            new.append(left[there < 0])
+            more = ~found & (there >= 0)
+            left, at = left[more], at[more] + 1 & mask
+        new = np.concatenate(new) if new else left
+        if len(new):
+            keys, back = np.unique(key[new], return_inverse=True)
+            if self.n_known + len(keys) > PAIRS_KEPT:
+                self._forget_pairs()
+            says = np.array([self.follows(k >> 24, k & 0xFFFFFF) for k in keys.tolist()])
+            ok[new] = says[back]
+            for k, at, x in zip(keys.tolist(), ((keys * 0x9E3779B97F4A7C1 >> 20) & mask).tolist(), says.tolist()):
+                while self.known[at] >= 0:
+                    at = at + 1 & mask
+                self.known[at], self.says[at] = k, x
+            self.n_known += len(keys)
+        return ok
 
-    def encode(self, data: bytes) -> list[int]:
+    def encode_many(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets): the ids of piece k are ids[offsets[k]:offsets[k + 1]]."""
+        size = np.array([len(p) for p in pieces], np.int64)
+        order = np.argsort(-size, kind="stable")
+        size, most = size[order], int(size.max(initial=0))
+        data = np.frombuffer(b"".join([pieces[k].ljust(most, b"\0") for k in order.tolist()]), np.uint8).reshape(len(pieces), most)
+        ends = np.full((len(pieces), most + 1), self.start, np.int64)
         if len(self.state) >= STATES_KEPT:
             self._reset()
-        s, written, step = 0, [], self.step
-        held: list = [None]  # each configuration's register: (tokens before, token)
+        s = np.zeros(len(pieces), np.int64)
+        for k in range(most):
+            n = np.searchsorted(-size, -k)  # so many are longer
+            s, byte = s[:n], data[:n, k]
+            to = self.step[s, byte]
+            for x in np.unique((s << 8 | byte)[to < 0]).tolist():
+                self.advance(x >> 8, x & 255)
+            s = self.step[s, byte].astype(np.int64) if (to < 0).any() else to.astype(np.int64)
+            left, j = np.arange(n), 0
+            while len(left):  # exactly one of the tokens that may end here follows the one before it
+                length, token = self.endings[s[left], j].T
+                ok = self.follow(ends[left, k + 1 - length], token)
+                if not length.all():
+                    raise ValueError("no token ends at some byte")
+                ends[left[ok], k + 1] = token[ok]
+                left, j = left[~ok], j + 1
+        # back from the ends, all side by side
+        found, at, rows = [], size.copy(), np.flatnonzero(size)
+        count = np.zeros(len(pieces), np.int64)
+        while len(rows):
+            token = ends[rows, at[rows]]
+            found.append((rows, token))
+            count[rows] += 1
+            at[rows] -= self.sizes[token]
+            rows = rows[at[rows] > 0]
+        offsets = np.zeros(len(pieces) + 1, np.int64)
+        offsets[order + 1] = count
+        offsets = np.cumsum(offsets)
+        ids = np.zeros(offsets[-1], np.int32)
+        for j, (rows, token) in enumerate(found):
+            ids[offsets[order[rows] + 1] - 1 - j] = token
+        return ids, offsets
+
+    def run(self, s: int, data: bytes, ends: list[int]) -> int:
+        """Read ``data`` from state ``s``; notes in ``ends`` the token that ends at each byte."""
+        k = len(ends)
         for byte in data:
-            move = step[s].get(byte)
-            if move is None:
-                if len(self.state) >= 2 * STATES_KEPT:  # within one very long piece: keep this state alone
-                    here = self.state[s]
-                    self._reset()
-                    step = self.step
-                    s = self.number[here] if here in self.number else self._add(here)
-                move = self.advance(s, byte)
-            s, moves = move
-            if moves is None:
-                continue
-            if len(moves) == 1:  # all agree: write
-                ((place, token),) = moves
-                if held[place] is not None:
-                    self._write(held[place], written)
-                if token >= 0:
-                    written.append(token)
-                held = [None]
+            to = int(self.step[s, byte])
+            s = to if to >= 0 else self.advance(s, byte)
+            for size, token in self.ending[s]:
+                if self.follows(ends[k - size], token):
+                    ends.append(token)
+                    break
             else:
-                held = [held[place] if token < 0 else (held[place], token) for place, token in moves]
-        if (register := held[self.done[s]]) is not None:
-            self._write(register, written)
-        return written
-
-    @staticmethod
-    def _write(register: tuple | None, written: list[int]) -> None:
-        tail = []
-        while register is not None:
-            register, token = register
-            tail.append(token)
-        written.extend(reversed(tail))
+                raise ValueError(f"no token ends at byte {byte:#x}")
+            k += 1
+        return s
 
-
-class Utf8Stream:
+    def encode(self, data: bytes) -> list[int]:
+        if len(data) > BLOCK:
+            stream = TokenStream(self)
+            return stream.feed(data) + stream.end()
+        ends = [self.start]
+        self.run(0, data, ends)
+        return self.back(ends, len(data), 0)
+
+    def back(self, ends: list[int], at: int, until: int) -> list[int]:
+        """The tokens between two places; ends[k] is the token that ends at place k."""
+        out, size = [], self.size_of
+        while at > until:
+            token = ends[at]
+            out.append(token)
+            at -= size[token]
+        out.reverse()
+        return out
+
+
+class TokenStream:
+    """The transducer fed part by part: ids are given as soon as they are final."""
+
+    def __init__(self, fst: MergeTransducer):
+        self.fst, self.state, self.ends = fst, 0, [fst.start]
+
+    def feed(self, data: bytes) -> list[int]:
+        out: list[int] = []
+        for at in range(0, len(data), BLOCK):
+            self.state = self.fst.run(self.state, data[at : at + BLOCK], self.ends)
+            settled = self.settled()
+            out += self.fst.back(self.ends, settled, 0)
+            del self.ends[:settled]
+        return out
+
+    def settled(self) -> int:
+        """Up to where the tokens are the same wherever the current one began."""
+        size, n = self.fst.size_of, len(self.ends) - 1
+        begins = {n - self.fst.depth[x] for x in self.fst.state[self.state] if self.fst.depth[x] <= n}
+        while len(begins) > 1:
+            furthest = max(begins)
+            begins.remove(furthest)
+            begins.add(furthest - size[self.ends[furthest]])
+        return begins.pop()
+
+    def end(self) -> list[int]:
+        out = self.fst.back(self.ends, len(self.ends) - 1, 0)
+        self.__init__(self.fst)
+        return out
+
+
+def _utf8_moves() -> list[list[int]]:
+    """next state by state and byte: 0 a character is complete, 1 to 3 so many bytes follow, 4 to 7 the
+    same where the second byte is restricted (after E0, ED, F0, F4), -1 wrong."""
+    moves = [[-1] * 256 for _ in range(8)]
+    first = [(0x00, 0x7F, 0), (0xC2, 0xDF, 1), (0xE0, 0xE0, 4), (0xE1, 0xEC, 2), (0xED, 0xED, 5), (0xEE, 0xEF, 2), (0xF0, 0xF0, 6), (0xF1, 0xF3, 3), (0xF4, 0xF4, 7)]
+    after = [(1, 0x80, 0xBF, 0), (2, 0x80, 0xBF, 1), (3, 0x80, 0xBF, 2), (4, 0xA0, 0xBF, 1), (5, 0x80, 0x9F, 1), (6, 0x90, 0xBF, 2), (7, 0x80, 0x8F, 2)]
+    for state, low, high, to in [(0, *x) for x in first] + after:
+        moves[state][low : high + 1] = [to] * (high + 1 - low)
+    return moves
+
+
+class Utf8Machine:
     """Incremental UTF-8: feed bytes, get the text that is complete.  Wrong bytes become U+FFFD,
     one for each maximal wrong part, as the Unicode standard recommends."""
 
+    MOVES = _utf8_moves()
+
     def __init__(self) -> None:
-        self.held = b""
+        self.state = self.value = 0
 
     def feed(self, data: bytes, final: bool = False) -> str:
-        data = self.held + data
-        keep = 0
-        if not final:
-            for back in range(1, min(3, len(data)) + 1):
-                lead = data[-back]
-                if lead >= 0xC0:
-                    width = 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
-                    keep = back if width > back else 0
-                    break
-                if lead < 0x80:
-                    break
-        self.held = data[len(data) - keep :] if keep else b""
-        return (data[: len(data) - keep] if keep else data).decode("utf-8", "replace")
+        if not self.state and data.isascii():  # the machine would stay where it is
+            return data.decode("ascii")
+        out, state, value = [], self.state, self.value
+        for byte in data:
+            to = self.MOVES[state][byte]
+            if to < 0 and state:  # the character breaks off, and this byte begins another
+                out.append("\ufffd")
+                state = 0
+                to = self.MOVES[0][byte]
+            if to < 0:
+                out.append("\ufffd")
+                state = 0
+                continue
+            value = value << 6 | byte & 0x3F if state else byte if byte < 0x80 else byte & (0x1F if byte < 0xE0 else 0x0F if byte < 0xF0 else 0x07)
+            state = to
+            if not state:
+                out.append(chr(value))
+        if final and state:
+            out.append("\ufffd")
+            state = 0
+        self.state, self.value = state, value
+        return "".join(out)
+
+
+class Recent:
+    """What was asked for lately: up to ``kept`` entries, and as many older ones until they are asked
+    for again.  Keys of over 64 characters are not kept."""
+
+    def __init__(self, kept: int):
+        self.kept, self.now, self.older = kept, {}, {}
+
+    def get(self, keys: Iterable, make: Callable[[list], list]) -> dict:
+        """{key: value}; ``make`` gives the values of those that aren't there."""
+        found = {k: v for k in keys if (v := self.now.get(k) or self.older.get(k)) is not None}
+        missing = [k for k in keys if k not in found]
+        found.update(zip(missing, make(missing)))
+        if len(self.now) + len(found) > self.kept:
+            self.older, self.now = self.now, {}
+        self.now.update(found if len(found) <= self.kept else {})
+        for k in [k for k in missing if len(k) > 64]:
+            self.now.pop(k, None)
+        return found
 
 
 class ByteBpe:
@@ -273,97 +370,108 @@ class ByteBpe:
     def __init__(self, path: str, pattern: str = PATTERN):
         self.ranks = read_ranks(path)
         self.fst = MergeTransducer(self.ranks)
+        self.bytes_of = self.fst.bytes_of
         self.pieces_of = regex.compile(pattern).findall
         self.after_space = regex.compile(r" \s").search if pattern == PATTERN else None
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-        size = max(self.ranks.values()) + 1
-        self.bytes_of = [b""] * size
-        for b, i in self.ranks.items():
-            self.bytes_of[i] = b
-        self.decimal = [str(i) for i in range(size)]
-
-    def piece(self, piece: str) -> tuple[int, ...]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            data = piece.encode("utf-8", "replace")
-            whole = self.ranks.get(data)
-            ids = (whole,) if whole is not None else tuple(self.fst.encode(data))
-            if len(piece) <= 64:
-                if len(self.pieces) >= PIECES_KEPT:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
-        return ids
-
-    def word(self, word: str) -> tuple[int, ...]:
-        ids = self.older.get(word)
-        if ids is None:
-            ids = tuple(chain.from_iterable(map(self.piece, self.pieces_of(word))))
-        if len(word) <= 64:
-            self.words[word] = ids
-        return ids
-
-    def parts(self, text: str) -> Iterator[tuple[int, ...]]:
-        """The ids of each part of the text, in order.
+        self.ids = self.form(lambda ids, cut: [ids[a:b].tobytes() for a, b in cut], b"")
+
+    def encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of pieces."""
+        data = [p.encode("utf-8", "replace") for p in pieces]
+        long = [k for k, d in enumerate(data) if len(d) > BLOCK]
+        ids, offsets = self.fst.encode_many([d if len(d) <= BLOCK else b"" for d in data])
+        if long:
+            parts = np.split(ids, offsets[1:-1])
+            for k in long:
+                whole = self.ranks.get(data[k])
+                parts[k] = np.array([whole] if whole is not None else self.fst.encode(data[k]), np.int32)
+            ids, offsets = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+        return ids, offsets
+
+    def form(self, of: Callable, joint: bytes) -> Callable[[list[str]], list[list[bytes]]]:
+        """A function that gives, for each of some texts, the forms of its parts in order.  ``of`` makes
+        the forms of several lists of ids, given as one array and where to cut it; ``joint`` is what
+        stands between the forms of two lists in the form of both.
 
         No match of the pattern goes on from a character that isn't white space into a space, and
-        none looks further than that; so where no space has white space after it, the text may be
+        none looks further than that; so where no space has white space after it, a text may be
         cut before each space and the parts matched one by one, which lets them be cached.
         """
-        if self.after_space is None or self.after_space(text):
-            return map(self.piece, self.pieces_of(text))
-        if len(self.words) >= WORDS_KEPT:  # words of the older generation that are met again come back
-            self.older, self.words = self.words, {}
-        first, *rest = text.split(" ")
-        rest = [" " + x for x in rest]
-        out = [self.word(first) if first else (), *map(self.words.get, rest)]
-        if None in out:
-            word = self.word
-            out[1:] = [word(w) if ids is None else ids for w, ids in zip(rest, out[1:])]
-        return iter(out)
+        pieces, words = Recent(PIECES_KEPT), Recent(WORDS_KEPT)
+
+        def new_pieces(some: list[str]) -> list[bytes]:
+            ids, offsets = self.encoded(some)
+            offsets = offsets.tolist()
+            return of(ids, zip(offsets, offsets[1:]))
+
+        def new_words(some: list[str]) -> list[bytes]:
+            cut = [self.pieces_of(" " + word) for word in some]
+            forms = pieces.get(dict.fromkeys(chain.from_iterable(cut)), new_pieces)
+            return [joint.join(map(forms.__getitem__, x)) for x in cut]
+
+        def parts(texts: list[str]) -> list[list[bytes]]:
+            first, rest = [], []
+            for text in texts:
+                if self.after_space is None or self.after_space(text):
+                    first.append(self.pieces_of(text))
+                    rest.append([])
+                else:
+                    start, *more = text.split(" ")
+                    first.append(self.pieces_of(start))
+                    rest.append(more)
+            forms = words.get(set().union(*rest), new_words)
+            starts = pieces.get(dict.fromkeys(chain.from_iterable(first)), new_pieces)
+            return [[*map(starts.__getitem__, x), *map(forms.__getitem__, y)] for x, y in zip(first, rest)]
+
+        return parts
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.parts(text)))
+        return np.frombuffer(b"".join(self.ids([text])[0]), np.int32).tolist()
 
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
     def decode(self, ids: Iterable[int]) -> str:
-        return Utf8Stream().feed(self.decode_bytes(ids), final=True)
+        return "".join(self.decode_stream(ids))
 
     def decode_stream(self, ids: Iterable[int]) -> Iterator[str]:
-        stream = Utf8Stream()
+        machine = Utf8Machine()
         for i in ids:
-            if text := stream.feed(self.bytes_of[i]):
+            if text := machine.feed(self.bytes_of[i]):
                 yield text
-        if text := stream.feed(b"", final=True):
+        if text := machine.feed(b"", final=True):
             yield text
 
 
-_loaded: dict[str, ByteBpe] = {}
+class Decimal:
+    """Texts as decimal ids, joined by commas, and such lists back to text."""
 
+    def __init__(self, bpe: ByteBpe):
+        self.bpe = bpe
+        names = [str(i) for i in range(len(bpe.bytes_of))]
+        self.parts = bpe.form(lambda ids, cut: [",".join([names[i] for i in some]).encode() for all_ids in [ids.tolist()] for a, b in cut for some in [all_ids[a:b]]], b",")
+        self.texts = Recent(WORDS_KEPT)
 
-def loaded(path: str) -> ByteBpe:
-    """One encoder for each worker process."""
-    if path not in _loaded:
-        _loaded[path] = ByteBpe(path)
-    return _loaded[path]
+    def _texts(self, parts: list[bytes]) -> list[str]:
+        """The text of each part, if the UTF-8 machine is at a character's end after it; else empty."""
+        out, machine = [], Utf8Machine()
+        for part in parts:
+            text = machine.feed(self.bpe.decode_bytes(map(int, part.split(b","))))
+            out.append("" if machine.state else text)
+            machine.state = 0
+        return out
 
+    def decode(self, lists: list[list[bytes]]) -> list[str]:
+        texts = self.texts.get(set(chain.from_iterable(lists)), self._texts)
+        if "" not in texts.values():
+            return ["".join(map(texts.__getitem__, parts)) for parts in lists]
+        # somewhere a character goes on from one part to the next
+        return [self.bpe.decode(int(i) for part in parts for i in part.split(b",")) for parts in lists]
 
-def unload() -> None:
-    """Forget the encoders of this process.  A Python worker serves later stages too, and those that
-    don't encode need the memory (about 0.4 GB a worker)."""
-    if _loaded:
-        _loaded.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
 
-
-def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+def loaded(path: str) -> ByteBpe:
+    """One encoder for each worker process."""
+    return held(("bpe", path), lambda: ByteBpe(path))
 
 
 def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -373,7 +481,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(ranks_path)
         for batch in small_batches(batches):
-            ids = [bpe.encode(t or "") for t in batch.column(1).to_pylist()]
+            ids = [np.frombuffer(b"".join(x), np.int32) for x in bpe.ids([t or "" for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
 
     kind = dict(docs.dtypes)[id_col]
@@ -403,15 +511,13 @@ def digests(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col:
     time are held.  A null or empty text has 0 tokens and the digest of no bytes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(ranks_path)
-        decimal = bpe.decimal.__getitem__
+        decimal = held(("decimal", ranks_path), lambda: Decimal(loaded(ranks_path)))
+        sha = lambda data: hashlib.sha256(data).hexdigest()
         for batch in small_batches(batches):
-            counts, sums, back = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = bpe.encode(text or "")
-                counts.append(len(ids))
-                sums.append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
-                back.append(hashlib.sha256(bpe.decode_bytes(ids)).hexdigest())
+            parts = decimal.parts([t or "" for t in batch.column(1).to_pylist()])
+            ids = [b",".join(x) for x in parts]
+            counts = [x.count(b",") + 1 if x else 0 for x in ids]
+            sums, back = [*map(sha, ids)], [sha(t.encode()) for t in decimal.decode(parts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.string()), pa.array(back, pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = dict(docs.dtypes)[id_col]

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -58,3 +61,38 @@ def let(value: Column, use) -> Column:
 def words(text: Column) -> Column:
     """The runs of characters other than ASCII white space; none for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+
+_held: dict = {}
+
+
+def held(key, make: Callable):
+    """What a Python worker keeps from one batch to the next; made once."""
+    if key not in _held:
+        _held[key] = make()
+        gc.collect()
+        gc.freeze()  # large and lasting: the collector needn't walk it again
+    return _held[key]
+
+
+def unload() -> None:
+    """Forget what this process holds.  A Python worker serves later stages too, and those that hold
+    nothing need the memory."""
+    if _held:
+        _held.clear()
+        gc.unfreeze()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
+def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 512, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, and of ``size`` bytes or one row."""
+    for batch in batches:
+        todo = [batch.slice(at, rows) for at in range(0, batch.num_rows, rows)][::-1]
+        while todo:
+            part = todo.pop()
+            if part.num_rows > 1 and part.nbytes > size:
+                half = part.num_rows // 2
+                todo += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part

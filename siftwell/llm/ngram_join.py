@@ -39,8 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from siftwell.llm.bpe import small_batches, unload
-from siftwell.llm.common import stored
+from siftwell.llm.common import small_batches, stored, unload
 
 NUM, DEN = 85, 100
 GRAM = 4

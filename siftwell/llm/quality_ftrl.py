@@ -17,8 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from siftwell.llm.bpe import small_batches
-from siftwell.llm.common import bounded_sample, fold_of
+from siftwell.llm.common import bounded_sample, fold_of, small_batches
 
 BITS = 18
 #: Labelled rows that training reads at most, and passes over them.

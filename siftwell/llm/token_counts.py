@@ -22,7 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siftwell.llm.bpe import ByteBpe, loaded, small_batches
+from siftwell.llm.bpe import ByteBpe, loaded
+from siftwell.llm.common import held, small_batches
 
 RULES = ("start", "end", "largest", "share")
 
@@ -39,11 +40,23 @@ def paragraphs(data: bytes) -> np.ndarray:
     return at[[k == 0 or data[x - 2 : x] == b"\n\n" for k, x in enumerate(at)]] if len(at) else at
 
 
-def spans(bpe: ByteBpe, data: bytes, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(start, end) of the tokens, in bytes."""
-    size = np.fromiter(map(len, map(bpe.bytes_of.__getitem__, ids)), np.int64, len(ids))
-    end = np.cumsum(size)
-    return end - size, end
+class Spans:
+    """texts -> (start, end) of their tokens, in bytes."""
+
+    def __init__(self, bpe: ByteBpe):
+        size = bpe.fst.sizes.astype(np.uint8 if bpe.fst.sizes.max() < 256 else np.uint32)
+        self.kind = size.dtype
+        self.parts = bpe.form(lambda ids, cut: [size[ids[a:b]].tobytes() for a, b in cut], b"")
+
+    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for parts in self.parts(texts):
+            size = np.frombuffer(b"".join(parts), self.kind)
+            end = np.cumsum(size, dtype=np.int64)
+            yield end - size, end
+
+
+def _spans(ranks_path: str) -> Spans:
+    return held(("spans", ranks_path), lambda: Spans(loaded(ranks_path)))
 
 
 def characters(data: bytes, at: np.ndarray) -> np.ndarray:
@@ -81,15 +94,15 @@ def count(docs: DataFrame, ranks_path: str, cut: Callable[[bytes], np.ndarray] =
         raise ValueError(f"rule: one of {RULES}")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(ranks_path)
+        spans = _spans(ranks_path)
         for batch in small_batches(batches):
             total, n_sections, crossing, each = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                data = (text or "").encode("utf-8", "replace")
-                ids = bpe.encode(text or "")
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for text, (start, end) in zip(texts, spans(texts)):
+                data = text.encode("utf-8", "replace")
                 sections = cut(data)
-                tokens, n = allocate(*spans(bpe, data, ids), sections, len(data), rule)
-                total.append(len(ids))
+                tokens, n = allocate(start, end, sections, len(data), rule)
+                total.append(len(start))
                 n_sections.append(len(sections))
                 crossing.append(n)
                 each.append(tokens)
@@ -105,18 +118,15 @@ def fields(docs: DataFrame, ranks_path: str, columns: list[str], joint: str = "\
     as one document; the joint belongs to the field before it.  Null fields are empty."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(ranks_path)
+        spans = _spans(ranks_path)
         for batch in small_batches(batches):
             rows = zip(*(batch.column(k + 1).to_pylist() for k in range(len(columns))))
+            split = [[(x or "") + (joint if k < len(row) - 1 else "") for k, x in enumerate(row)] for row in rows]
             total, each = [], []
-            for row in rows:
-                parts = [(x or "") + (joint if k < len(row) - 1 else "") for k, x in enumerate(row)]
-                text = "".join(parts)
-                data = text.encode("utf-8", "replace")
-                at = np.cumsum([0] + [len(p.encode("utf-8", "replace")) for p in parts])[:-1]
-                ids = bpe.encode(text)
-                tokens, _ = allocate(*spans(bpe, data, ids), at, len(data), rule)
-                total.append(len(ids))
+            for parts, (start, end) in zip(split, spans(["".join(x) for x in split])):
+                at = np.cumsum([0] + [len(p.encode("utf-8", "replace")) for p in parts])
+                tokens, _ = allocate(start, end, at[:-1], int(at[-1]), rule)
+                total.append(len(start))
                 each.append(tokens)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), *(pa.array([float(x[k]) for x in each], pa.float64()) for k in range(len(columns)))], [id_col, "n_tokens", *(f"{c}_tokens" for c in columns)])
 

@@ -27,8 +27,7 @@ import pyarrow as pa
 import zstandard as zs
 from pyspark.sql import DataFrame, functions as F
 
-from siftwell.llm.bpe import small_batches, unload
-from siftwell.llm.common import bounded_sample, fold_of
+from siftwell.llm.common import bounded_sample, fold_of, small_batches, unload
 
 #: Words in a window, words from one window to the next, most bytes in a window.
 WORDS, HOP, MOST = 6, 5, 192

@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pandas as pd
 import pytest
 import tiktoken
@@ -46,11 +47,35 @@ def test_bpe_equals_the_library(encoder):
 
 def test_bpe_pairs_follow_the_merges(encoder):
     r = random.Random(2)
-    tokens = sorted(encoder.ranks.values())
-    for _ in range(3000):
-        a, b = r.choice(tokens), r.choice(tokens)
-        merged = encoder.fst.merge(encoder.fst.bytes_of[a] + encoder.fst.bytes_of[b])
-        assert encoder.fst.follows(a, b) == ([encoder.ranks[x] for x in merged] == [a, b])
+    tokens, fst = sorted(encoder.ranks.values()), encoder.fst
+    pairs = [(r.choice(tokens), r.choice(tokens)) for _ in range(3000)]
+    for a, b in pairs:
+        merged = fst.merge(fst.bytes_of[a] + fst.bytes_of[b])
+        assert fst.follows(a, b) == ([encoder.ranks[x] for x in merged] == [a, b])
+    a, b = map(np.array, zip(*pairs))
+    for _ in range(2):  # made, and from the table
+        assert list(fst.follow(a, b)) == [fst.follows(*x) for x in pairs]
+
+
+def test_bpe_lookahead_is_bounded(encoder):
+    for unit in ["ab", "xyz", "abc", "日本", "a", "aab", "the", "🎉", "ing", "=-", "é"]:
+        data, stream, ids, most = (unit * 800).encode(), bpe.TokenStream(encoder.fst), [], 0
+        for k in range(len(data)):
+            ids += stream.feed(data[k : k + 1])
+            most = max(most, len(stream.ends) - 1)
+        ids += stream.end()
+        assert most <= 12 and encoder.decode_bytes(ids) == data
+        assert ids == encoder.fst.encode(data)
+
+
+def test_utf8_machine():
+    r = random.Random(3)
+    some = bytes([0x41, 0x80, 0xBF, 0xA0, 0x9F, 0x8F, 0x90, 0xC2, 0xC1, 0xE0, 0xE1, 0xED, 0xEF, 0xF0, 0xF1, 0xF4, 0xF5, 0xFF])
+    for _ in range(5000):
+        data = bytes(r.choice(some) for _ in range(r.randint(0, 8)))
+        machine = bpe.Utf8Machine()
+        parts = [machine.feed(data[k : k + 1]) for k in range(len(data))]
+        assert "".join([*parts, machine.feed(b"", True)]) == bpe.Utf8Machine().feed(data, True) == data.decode("utf-8", "replace")
 
 
 def test_bpe_frames(spark):
@@ -353,6 +378,21 @@ def test_secrets(spark):
     assert secrets.redact(docs).columns == docs.columns
 
 
+def test_token_counts_against_the_library(spark, encoder):
+    library = tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=encoder.ranks, special_tokens={})
+    docs = odd_docs(spark, ["a\nbc \n\n d\u00e9f\n", "\n", "one two\r\n\tthree"])
+    got = {r.doc_id: r for r in token_counts.count(docs, queries.ranks_path()).collect()}
+    for r in docs.collect():
+        line, each = 0, collections.Counter()
+        for piece in library.decode_tokens_bytes(library.encode_ordinary(r.text or "")):
+            each[line] += 1
+            line += piece.count(b"\n")
+        lines = re.findall(r"[^\n]*\n|[^\n]+", r.text or "")
+        assert (got[r.doc_id].n_tokens, got[r.doc_id].n_sections) == (sum(each.values()), len(lines))
+        assert [int(x) for x in got[r.doc_id].section_tokens] == [each[k] for k in range(got[r.doc_id].n_sections)]
+    assert token_counts.count(docs.limit(0), queries.ranks_path()).count() == 0
+
+
 def test_token_counts(spark, encoder):
     docs = odd_docs(spark, ["one\ntwo three\n\nfour", "\n\n\n"])
     for rule in token_counts.RULES:

@@ -33,6 +33,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for file in df.inputFiles()[:1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -123,6 +124,76 @@ def test_ngram_join_equals_brute_force(spark):
     assert ngram_join.join(docs.limit(0)).count() == 0
 
 
+def near_copies(r, groups, copies):
+    """Texts of a few words around the size where links end, many of them close to each other."""
+    words, out = [f"v{i}" for i in range(300)], []
+    for _ in range(groups):
+        base = [r.choice(words) for _ in range(40)]
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(r.randint(0, 3)):
+                w[r.choice([0, 1, 20, 38, 39])] = r.choice(words)
+            out.append(" ".join(w))
+    return out
+
+
+def test_ngram_join_in_small_blocks_and_tiles(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE", 3)
+    monkeypatch.setattr(ngram_join, "BROADCAST", 0)
+    texts = near_copies(random.Random(6), 3, 30)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {tuple(x) for x in ngram_join.join(docs).collect()} == brute_components(list(enumerate(texts)))
+
+
+def test_tiles_bring_all_pairs_of_components_together(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE", 4)
+    r = random.Random(7)
+    rows = [(key, key * 1000 + k, 5000 + (k if k % 5 == 0 else key), b"", 9) for key, n in [(1, 3), (2, 30), (3, 17)] for k in range(n)]
+    n = collections.Counter(key for key, *_ in rows)
+    r.shuffle(rows)
+    members = spark.createDataFrame([(key, n[key], *rest) for key, *rest in rows], "key long, n long, class long, component long, point binary, size long")
+    tiles = collections.defaultdict(list)
+    for x in ngram_join._tiles(members, True).collect():
+        tiles[x.tile].append(x)
+    met = {frozenset((x["class"], y["class"])) for tile in tiles.values() for x, y in itertools.combinations(tile, 2)}
+    for (key, a, c, *_), (other, b, d, *_) in itertools.combinations(rows, 2):
+        assert key != other or c == d or frozenset((a, b)) in met
+    assert max(map(len, tiles.values())) <= 20 and len(tiles) > 5
+
+
+def test_buckets_are_streamed(spark):
+    r = random.Random(8)
+    rows = [(r.choice([1, 2, 3, 9, 10, 11]) if r.random() < 0.5 else 100 + k, r.randint(1, 60)) for k in range(3000)]
+    want = collections.defaultdict(set)
+    for key, name in rows:
+        want[key].add(name)
+    routes = spark.createDataFrame(rows, "key long, class long")
+    for size in ("7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        got = sorted(tuple(x) for x in ngram_join._met(routes).collect())
+        assert got == sorted((key, name, min(names)) for key, names in want.items() if len(names) > 1 for name in names)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_ngram_join_ties_the_texts_of_an_id(spark):
+    r = random.Random(9)
+    x, y, z = (" ".join(r.choice("abcdefghijklmnop") * 3 + str(r.randint(0, 99)) for _ in range(30)) for _ in range(3))
+    docs = spark.createDataFrame([(5, x), (5, y), (3, x), (9, y), (9, z), (7, z + " more"), (8, z), (8, None)], "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in ngram_join.join(docs).collect()}
+    assert got == {(5, 27): 3, (3, 27): 3, (9, 27): 3, (7, 28): 3, (8, 27): 3, (8, 0): 8}
+
+
+def test_shingles_of_odd_texts():
+    texts = ["", None, " ", "a", "A b", "a B", "x\x0by z w", "x y z w", "\u00c9 a b c", "\u00e9 a b c", "q" * 100, "q" * 100 + " r", " lead and trail \n"]
+    sets = ngram_join.Shingler().sets(pa.array(["zero", *texts, "last"]).slice(1, len(texts)))
+    alone = [ngram_join.Shingler()(t) for t in texts]
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(sets, alone))
+    words = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    shingles = [{tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))} if w else set() for w in words]
+    for (a, x), (b, y) in itertools.product(zip(sets, shingles), repeat=2):
+        assert len(a) == len(x) and len(np.intersect1d(a, b)) == len(x & y)
+
+
 def test_keep_one_keeps_rows_without_an_id(spark):
     text = "one two three four five six seven"
     docs = spark.createDataFrame([(1, text), (2, text), (None, text), (None, "clean words of its own here"), (None, None), (3, None)], "doc_id long, text string")

@@ -30,8 +30,8 @@ from siftwell.llm.common import small_batches
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
-HIDDEN = frozenset("script style textarea title noscript iframe template head svg math canvas object audio video select option button form input label nav menu dialog".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr".split())
+HIDDEN = frozenset("script style textarea title noscript iframe template head select option button form input nav menu dialog".split())
+INLINE = frozenset("a abbr acronym audio b bdi bdo big br canvas cite code data del dfn em font i img ins kbd label mark math mfrac mi mn mo mrow ms msqrt msub msup mtext object q ruby rb rp rt s samp small span strike strong sub sup svg time tt u var video wbr".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"), "thead": ("tr td th tbody thead", "table"), "tbody": ("tr td th tbody thead", "table")}
 TAGS = "article main section div p h1 h2 h3 h4 ul ol li table blockquote pre figure nav header footer aside form".split()
@@ -80,18 +80,20 @@ def parse(page: str) -> list[Node]:
     nodes = [Node("#root", -1, 0)]
     stack, at, size = [0], 0, len(page)
 
+    places: dict[str, list[int]] = {}  # where in the stack a tag is open
+
     def text(part: str) -> None:
         if part:
             nodes[stack[-1]].below.append(part)
 
+    def innermost(names: Iterable[str]) -> int:
+        return max((places[t][-1] for t in names if places.get(t)), default=0)
+
     def close(names: Iterable[str], scope: Iterable[str] = ()) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            tag = nodes[stack[k]].tag
-            if tag in names:
-                del stack[k:]
-                return
-            if tag in scope:
-                return
+        to = innermost(names)
+        if to and to >= innermost(scope):
+            while len(stack) > to:
+                places[nodes[stack.pop()].tag].pop()
 
     while at < size:
         m = _token.search(page, at)
@@ -119,6 +121,7 @@ def parse(page: str) -> list[Node]:
                 end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
                 at = end.end() if end else size
             elif tag not in VOID and not m[0].endswith("/>"):
+                places.setdefault(tag, []).append(len(stack))
                 stack.append(n)
     return nodes
 
@@ -160,6 +163,7 @@ def features(nodes: list[Node]) -> np.ndarray:
                 a[v.up] += a[i]
             longest[v.up], h1[v.up] = max(longest[v.up], longest[i]), max(h1[v.up], h1[i])
     out = np.zeros((n, len(NAMES)))
+    children = np.bincount([v.up for v in nodes[1:]], minlength=n)
     around = ("nav", "header", "footer", "aside", "form", "article", "main")
     base, seen_h1 = len(TAGS), 0.0
     for i, v in enumerate(nodes):
@@ -178,9 +182,8 @@ def features(nodes: list[Node]) -> np.ndarray:
         for w in v.attributes:
             if w in _BAD:
                 row[at + 1 + _BAD[w]] = 1
-        family = [x for x in nodes[v.up].below if not isinstance(x, str)] if v.up >= 0 else [i]
         c = max(chars[i], 1.0)
-        row[at + 2 + 2 * nb :] = (v.depth, 0.0, len(family), 0.0, np.log1p(chars[i]), chars[i] / max(chars[0], 1.0), np.log1p(words[i]), links[i] / c, np.log1p(chars[i] / max(tags[i], 1)), stops[i] / max(words[i], 1), paragraphs[i], in_p[i] / c, np.log1p(longest[i]), np.log1p(tags[i]), seen_h1, h1[i], items[i])
+        row[at + 2 + 2 * nb :] = (v.depth, 0.0, children[v.up] if v.up >= 0 else 1, 0.0, np.log1p(chars[i]), chars[i] / max(chars[0], 1.0), np.log1p(words[i]), links[i] / c, np.log1p(chars[i] / max(tags[i], 1)), stops[i] / max(words[i], 1), paragraphs[i], in_p[i] / c, np.log1p(longest[i]), np.log1p(tags[i]), seen_h1, h1[i], items[i])
         if v.tag == "h1":
             seen_h1 = 1.0
     place, same = NAMES.index("place"), NAMES.index("same_tag")

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -311,6 +312,24 @@ def brute_rules(t):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), again, len(cover)
 
 
+def test_extraction_of_odd_rows(spark):
+    page = "<body><nav><ul><li><a href=/>Home</a></li></ul></nav><article><h1>A title here</h1><p>Some words, <label>a label</label> and <math><mi>x</mi></math> in it. More of them follow here.</p><p>Second &amp; last paragraph, with some more words.</p></article><footer>&copy; me</footer>"
+    rows = [(1, "u", page, "x", 1), (1, "u", page, "x", 1), (None, None, None, None, None), (2, None, "", "y", 2), (3, "v", "no markup  here", "z", 3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    trees = html_extract.train(300)
+    got = sorted(map(tuple, html_extract.extract(pages, trees).collect()), key=str)
+    text = "A title here\nSome words, a label and x in it. More of them follow here.\nSecond & last paragraph, with some more words."
+    assert got == sorted([(1, "u", text, len(text))] * 2 + [(None, None, "", 0), (2, None, "", 0), (3, "v", "no markup here", 14)], key=str)
+    assert html_extract.extract(pages.limit(0), trees).count() == 0
+
+
+def test_extraction_of_large_pages():
+    trees = html_extract.train(100)
+    began = time.perf_counter()
+    html_extract.texts(["<article>" + "<p>some words here" * 60_000, "<div>" * 40_000 + "deep", "<b>x</i>" * 60_000], trees)
+    assert time.perf_counter() - began < 60
+
+
 def test_quality_rules(spark):
     docs = odd_docs(spark, list(pd.read_parquet(f"{SF}/documents.parquet").text) + ["a b c d e f g h i " * 3, "x\nx\n\n\nx y\nx"])
     texts = {r.doc_id: r.text for r in docs.collect()}
@@ -449,6 +468,51 @@ def test_secrets(spark):
     assert secrets.redact(docs).columns == docs.columns
 
 
+def brute_linked(text):
+    """All spans, every pair of parts compared."""
+    text = text or ""
+    base = [x.split(":") for x in brute_secrets(text).split(",") if x]
+    strong = [(int(a), secrets.KINDS.index(k), int(b)) for k, a, b in base]
+    found = lambda pattern, rank: [(m.start(), rank, m.end()) for m in re.finditer(pattern, text)]
+    ends = found(secrets.ENDPOINT, 4)
+    weak = [w for w in found(r"[A-Za-z0-9+/_=-]{20,}", 3) if re.search("[0-9]", text[w[0] : w[2]]) and re.search("[A-Za-z]", text[w[0] : w[2]])]
+    apart = lambda x, y: x[2] <= y[0] or y[2] <= x[0]
+    near = lambda x, y: apart(x, y) and x[0] <= y[2] + secrets.SCOPE and y[0] <= x[2] + secrets.SCOPE
+    bare = [w for w in weak if any(near(w, x) for x in [s for s in strong if s[1] == 1] + ends) and all(apart(w, s) for s in strong)]
+    kept = [e for e in ends if any(near(e, s) for s in strong + bare)]
+    return ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(strong + bare + kept))
+
+
+def test_secret_links_equal_brute_force(spark):
+    r, texts = random.Random(10), []
+    parts = ["AKIA" + "A1B2C3D4E5F6G7H8", "0123456789abcdef" * 2, "Zx9" * 8, "k" * 25, "https://h.example/p?q=1", "10.0.0.1:80", "password = hunter2hunter2", "token: Ab1" + "z" * 20, "é🎉 word", "https://Ab1" + "c" * 30, "x" * 150, "\n"]
+    for _ in range(150):
+        texts.append("".join(r.choice(parts) + r.choice(["", " ", " " * r.choice([50, 198, 199, 200, 201])]) for _ in range(r.randint(1, 14))))
+    texts.append(" ".join(r.choice(parts) for _ in range(600)))
+    docs = odd_docs(spark, texts)
+    found = {r.doc_id: r for r in secrets.digests(docs).collect()}
+    masked = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for r in docs.collect():
+        want = brute_linked(r.text)
+        assert found[r.doc_id].spans == want
+        out, at = "", 0
+        for a, b in [(int(a), int(b)) for k, a, b in (x.split(":") for x in want.split(",") if x) if k != "endpoint"]:
+            out, at = (out + r.text[at:a] + secrets.MASK if a >= at else out), max(a, at, b)
+        assert masked[r.doc_id] == (out + r.text[at:] if out else r.text)
+
+
+def test_secrets_of_large_texts_and_clashing_names(spark):
+    texts = ["http://a.example/" + "k" * 1_000_000, ("AKIA" + "A1" * 8 + " http://h.example/x ab12" + "c" * 20 + " ") * 5_000]
+    began = time.perf_counter()
+    rows = [(1, texts[0], 1, 2, 3, 4, 5), (2, texts[1], 1, 2, 3, 4, 5), (3, None, None, 2, 3, 4, 5), (3, "token=abcdefgh1", None, 2, 3, 4, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _ends int, spans int, base int, `a.b` int, _strong int")
+    got = secrets.redact(docs).collect()
+    assert secrets.redact(docs).columns == docs.columns and [tuple(x)[2:] for x in got] == [x[2:] for x in rows]
+    assert got[0].text == texts[0] and got[1].text.count(secrets.MASK) == 10_000 and got[3].text == secrets.MASK
+    assert time.perf_counter() - began < 60
+    assert secrets.digests(docs.limit(0)).count() == 0
+
+
 def test_token_counts_against_the_library(spark, encoder):
     library = tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=encoder.ranks, special_tokens={})
     docs = odd_docs(spark, ["a\nbc \n\n d\u00e9f\n", "\n", "one two\r\n\tthree"])

@@ -62,6 +62,12 @@ def headcount_label(n: Column) -> Column:
     return out.when(n.isNotNull(), "GE")
 
 
+def plain_words(c: Column) -> Column:
+    """Lower case, without punctuation."""
+    s = F.regexp_replace(F.lower(F.trim(F.coalesce(c, F.lit("")))), r"(?U)[^\w\s]", " ")
+    return F.trim(F.regexp_replace(s, r"\s+", " "))
+
+
 def plain_name(c: Column) -> Column:
     """Lower case, without legal suffixes and punctuation."""
     s = F.regexp_replace(F.coalesce(c, F.lit("")), rf"(?i)\b(?:{LEGAL_SUFFIXES})\b\.?", " ")
@@ -85,13 +91,14 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))
 
 
-def domain_score(query: Column, website: Column) -> Column:
-    """1 for the same root, .85 where one contains the other, .6 for the same brand, else 0.  (Close
-    spellings of a brand: siftwell.functions.fuzzy.)"""
+def domain_score(query: Column, website: Column, spelled: Column | None = None) -> Column:
+    """1 for the same root, .85 where one contains the other, .6 for the same brand, .4 where brands are
+    spelled alike (``spelled``, the ratio of siftwell.functions.fuzzy, over .85), else 0."""
     found = domain(website)
     q, c = root_domain(query), root_domain(found)
     brand = lambda r: F.substring_index(r, ".", 1)
-    return F.when((query == "") | (found == ""), 0.0).when(q == c, 1.0).when(found.contains(query) | query.contains(found), 0.85).when((brand(q) != "") & (brand(q) == brand(c)), 0.6).otherwise(0.0)
+    alike = spelled > 0.85 if spelled is not None else F.lit(False)
+    return F.when((query == "") | (found == ""), 0.0).when(q == c, 1.0).when(found.contains(query) | query.contains(found), 0.85).when((brand(q) != "") & (brand(q) == brand(c)), 0.6).when(alike, 0.4).otherwise(0.0)
 
 
 def sales_score(siren: Column, vat: Column, sector: Column, low: Column, leaders: Column, size_label: Column, growth: Column, margin: Column, age_: Column) -> Column:

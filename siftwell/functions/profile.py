@@ -56,6 +56,68 @@ def linkedin(c: Column) -> Column:
     return F.regexp_replace(first(c, LINKEDIN), "/+$", "")
 
 
+# Fixed values.
+ASSETS = "png|jpg|jpeg|svg|gif|webp|avif|ico"
+INNER_PATTERNS = ["about", "a-propos", "company", "entreprise", "team", "equipe", "leadership", "management", "contact", "clients", "customers", "references", "services", "solutions", "products", "investors", "investisseurs", "finance", "press", "presse", "news"]
+NO_LOGO = ["cookielaw.org", "onetrust.com", "cdn.cookielaw", "cdn.onetrust", "static/powered_by", "thumbnail", "campaign", "hero", "banner", "promo", "patient", "people", "employee", "story", "background", "movie", "video", "surf", "sport", "lifestyle", "powered_by", "static/ot_"]
+OTHER_HOSTS = "help|support|status|developer|developers|adroll|ads|tracking|analytics|newsroom|legal|app"
+
+
+def _usable(url: Column) -> Column:
+    u = F.lower(url)
+    return ~u.rlike(rf"\.(?:{ASSETS})$") & ~urls.external(u) & ~u.rlike(rf"^https?://(?:{OTHER_HOSTS})\.")
+
+
+def website(markdown: Column, hint: Column) -> Column:
+    """The company's site: a link that holds the hint (the name that its domain begins with), a bare URL
+    that does, or else the first link; files, networks and side hosts don't count."""
+    md, name = blank(markdown), F.lower(blank(hint))
+    linked = F.filter(F.regexp_extract_all(md, F.lit(r"\]\((https?://[^)]+)\)"), F.lit(1)), _usable)
+    bare = F.filter(F.regexp_extract_all(md, F.lit(r"""(https?://[a-zA-Z0-9.\-]+\.[a-z]{2,}(?:/[^\s)"'<>]*)?)"""), F.lit(1)), _usable)
+    hinted = lambda links: F.get(F.filter(links, lambda u: F.lower(u).contains(name)), F.lit(0))
+    return F.nullif(urls.site(F.coalesce(hinted(linked), hinted(bare), F.get(linked, F.lit(0)))), F.lit(""))
+
+
+def logo(markdown: Column) -> Column:
+    """The first image whose URL names a logo or brand and nothing that tells another picture."""
+    found = F.regexp_extract_all(blank(markdown), F.lit(r"(?i)!\[[^\]]*\]\((https?://[^)]+(?:logo|brand)[^)]*)\)"), F.lit(1))
+    return F.get(F.filter(found, lambda u: ~text_any(F.lower(u), NO_LOGO)), F.lit(0))
+
+
+def text_any(c: Column, words: list[str]) -> Column:
+    out = c.contains(words[0])
+    for w in words[1:]:
+        out = out | c.contains(w)
+    return out
+
+
+def inner_urls(markdown: Column, base: Column) -> Column:
+    """map of pattern -> the first link of the site whose first pattern it is."""
+    links = F.transform(F.regexp_extract_all(blank(markdown), F.lit(r"\[[^\]]*\]\((https?://[^)]+)\)"), F.lit(1)), lambda u: F.regexp_replace(F.trim(F.regexp_replace(u, r"""\s+["'].*$""", "")), r'[" ]+$', ""))
+    host = urls.host(base)
+    own = F.filter(links, lambda u: ~F.lower(u).rlike(rf"\.(?:{ASSETS})$") & ~urls.external(u) & ((host == "") | u.contains(host)))
+
+    def taken(s: Column, u: Column, p: str) -> Column:
+        return F.when(F.lower(u).contains(p) & ~F.exists(s, lambda x: x["key"] == p), F.struct(F.lit(p).alias("key"), u.alias("value")))
+
+    # a link goes to its first pattern that no link before has taken
+    step = lambda s, u: F.concat(s, F.array_compact(F.array(F.coalesce(*[taken(s, u, p) for p in INNER_PATTERNS]))))
+    return F.map_from_entries(F.aggregate(own, F.array().cast("array<struct<key:string,value:string>>"), step))
+
+
+def organisations(names: Column, own: Column, noise: list[str] = [], most: int = 25) -> Column:
+    """Names of other organisations: 4 to 60 characters, not after a digit, at most one &, neither the
+    company itself nor noise, each once, at most ``most``."""
+    me = F.lower(blank(own))
+    plain = F.filter(F.transform(names, squeeze), lambda n: F.char_length(n).between(4, 60) & ~n.rlike("^[0-9]") & (F.length(F.regexp_replace(n, "[^&]", "")) <= 1) & ~((me != "") & F.lower(n).contains(me)) & ~F.lower(n).isin(noise or [""]))
+    return F.slice(distinct_by(plain, F.upper), 1, most)
+
+
+def places(cities: Column, named: Column, most: int = 25) -> Column:
+    """Cities of a contact page, then places named elsewhere, each once whatever its case."""
+    return F.slice(distinct_by(F.filter(F.concat(F.coalesce(cities, F.array().cast("array<string>")), F.coalesce(named, F.array().cast("array<string>"))), lambda c: blank(c) != ""), F.upper), 1, most)
+
+
 def key_metrics(c: Column) -> Column:
     """struct of the first hit of each metric."""
     return F.struct(*[first(c, p).alias(name) for name, p in METRICS])

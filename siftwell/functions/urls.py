@@ -12,6 +12,7 @@ GENERIC = ["google.com", "linkedin.com", "facebook.com", "twitter.com", "instagr
 LOCALES = "fr-fr|en-us|en-gb|de-de|es-es|it-it|nl-nl|pt-br|zh-cn|ja-jp"
 UNWANTED_TOKENS = ["privacy", "cookie", "cookies", "legal", "mentions", "terms", "gdpr", "rgpd", "cgu", "cgv", "disclaimer", "impressum", "confidentialite", "politique", "sitemap", "login", "signin", "register", "cart", "panier", "checkout", "dashboard", "my-account", "mon-compte", "sav", "helpdesk", "faq"]
 UNWANTED_PARTS = ["accueil"]
+EXTERNAL = ["facebook.com", "twitter.com", "instagram.com", "youtube.com", "linkedin.com", "google.com", "apple.com", "play.google.com", "maps.google", "goo.gl", "bit.ly", "tiktok.com", "pinterest.com", "whatsapp.com", "telegram.org", "adroll.com"]
 
 
 def _strip_slashes(c: Column) -> Column:
@@ -87,5 +88,49 @@ def unwanted(text: Column, slug_: Column) -> Column:
     return F.arrays_overlap(F.split(joined, r"[\s/]+"), F.array(*[F.lit(t) for t in UNWANTED_TOKENS])) | parts[0]
 
 
+def absolute(href: Column, page: Column) -> Column:
+    """A link of a page as an absolute URL, as RFC 3986 resolves it; links of other schemes stay."""
+    h, base = F.regexp_replace(F.trim(blank(href)), "[\t\r\n]", ""), blank(page)
+    scheme, root = F.substring_index(base, ":", 1), F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
+    own = F.regexp_extract(base, r"^[^?#]*", 0)
+    folder = F.when(path(base) == "", F.concat(root, F.lit("/"))).otherwise(F.regexp_replace(own, "[^/]*$", ""))
+    rest = F.regexp_extract(h, "[?#].*$", 0)
+    to = F.regexp_replace(h, "[?#].*$", "")
+    target = F.when(to.startswith("/"), F.concat(root, to)).otherwise(F.concat(folder, to))
+    parts = F.split(F.substring(target, F.char_length(root) + 2, F.char_length(target)), "/")
+    # "." and ".." are taken out from the left; at the end they leave a slash
+    step = lambda s, p: F.when(p == ".", s).when(p == "..", F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0)))).otherwise(F.concat(s, F.array(p)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    slash = F.when(F.get(parts, F.size(parts) - 1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    resolved = F.concat(root, F.lit("/"), F.array_join(kept, "/"), slash, rest)
+    return (
+        F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+        .when(h == "", base)
+        .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
+        .when(h.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), h))
+        .when(h.startswith("?"), F.concat(own, h))
+        .otherwise(resolved)
+    )
+
+
+def is_web(url: Column) -> Column:
+    return blank(url).rlike("(?i)^https?://")
+
+
+def external(url: Column) -> Column:
+    """A social network, shop or the like."""
+    found = [F.lower(blank(url)).contains(d) for d in EXTERNAL]
+    out = found[0]
+    for f in found[1:]:
+        out = out | f
+    return out
+
+
+def company_domain(url: Column) -> Column:
+    """The domain of a company's site; empty for those that are everyone's."""
+    d = domain(url)
+    return F.when(d.isin(GENERIC), "").otherwise(d)
+
+
 def company_of_domain(d: Column) -> Column:
     return F.initcap(F.lower(F.translate(F.substring_index(blank(d), ".", 1), "-_", "  ")))

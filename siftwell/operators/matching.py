@@ -7,20 +7,27 @@ from pyspark.sql import Column, DataFrame, functions as F
 from siftwell.functions import urls
 
 
-def page_links(pages: DataFrame) -> DataFrame:
-    """(page_id, url, position, href, text): the anchors of pages, in order."""
+def page_links(pages: DataFrame, boilerplate: bool = True) -> DataFrame:
+    """(page_id, url, position, href, text): the anchors of pages that lead to web pages, in order, with
+    absolute URLs.  Without ``boilerplate`` those in nav, header and footer elements are left out."""
     pattern = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
-    pairs = F.arrays_zip(F.regexp_extract_all("html", F.lit(pattern), F.lit(1)).alias("href"), F.regexp_extract_all("html", F.lit(pattern), F.lit(2)).alias("text"))
+    html = F.col("html") if boilerplate else main_content(F.col("html"))
+    pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)).alias("href"), F.regexp_extract_all(html, F.lit(pattern), F.lit(2)).alias("text"))
     rows = pages.select("page_id", "url", F.posexplode(pairs).alias("position", "link"))
-    absolute = F.when(F.col("link.href").rlike("^https?://"), F.col("link.href")).otherwise(F.concat(urls.site(F.col("url")), F.when(F.col("link.href").startswith("/"), F.lit("")).otherwise(F.lit("/")), F.col("link.href")))
-    return rows.select("page_id", "url", "position", absolute.alias("href"), F.trim(F.regexp_replace("link.text", "<[^>]*>", "")).alias("text"))
+    rows = rows.select("page_id", "url", "position", urls.absolute(F.col("link.href"), F.col("url")).alias("href"), F.trim(F.regexp_replace("link.text", "<[^>]*>", "")).alias("text"))
+    return rows.where(urls.is_web(F.col("href")))
+
+
+def main_content(html: Column) -> Column:
+    """A page without its nav, header and footer elements."""
+    return F.regexp_replace(html, r"(?is)<(nav|header|footer)\b[^>]*>.*?</\1\s*>", "")
 
 
 def wanted_links(links: DataFrame) -> DataFrame:
     """Internal links worth following; the first of each page and URL among those accepted."""
     href = urls.normalized(F.col("href"))
     slug = urls.slug(href)
-    ok = urls.internal(href, F.col("url")) & ~urls.locale_only(href) & ~((slug == "") & (F.col("text") == "")) & ~urls.unwanted(F.col("text"), slug)
+    ok = urls.internal(href, F.col("url")) & ~urls.external(href) & ~urls.locale_only(href) & ~((slug == "") & (F.col("text") == "")) & ~urls.unwanted(F.col("text"), slug)
     kept = links.where(ok).select("page_id", "position", "text", href.alias("href"), slug.alias("slug"))
     return kept.groupBy("page_id", "href").agg(F.min_by(F.struct("text", "slug", "position"), "position").alias("x")).select("page_id", "href", "x.*")
 
@@ -31,31 +38,31 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def category_scores(vectors: DataFrame, anchors: DataFrame, top: int = 3) -> DataFrame:
-    """(vec_id, category, score): the mean of the ``top`` best cosines with a category's anchors.
-    ``anchors`` (category, anchor) is a rule table of bounded size and broadcast."""
-    pairs = vectors.join(F.broadcast(anchors)).select("vec_id", "category", cosine(F.col("embedding"), F.col("anchor")).alias("c"))
-    best = pairs.groupBy("vec_id", "category").agg(F.slice(F.sort_array(F.collect_list("c"), False), 1, top).alias("c"))
-    mean = F.aggregate("c", F.lit(0.0), lambda s, v: s + v) / F.size("c")
-    return best.select("vec_id", "category", F.round(mean, 4).alias("score"))
+    """(vec_id, scores: array<struct<category, score>>): the mean of the ``top`` best cosines with a category's
+    anchors.  ``anchors`` (category, anchor) is a rule table: it is folded into one row, and that row is
+    joined to each vector, so scores are made in the row without a shuffle of vectors."""
+    size = F.broadcast(anchors.groupBy("category").agg(F.collect_list("anchor").alias("anchors")).agg(F.sort_array(F.collect_list(F.struct("category", "anchors"))).alias("known")))
+
+    def mean(c: Column) -> Column:
+        best = F.slice(F.sort_array(F.transform(c["anchors"], lambda a: cosine(F.col("embedding"), a)), False), 1, top)
+        return F.transform(F.array(best), lambda b: F.round(F.aggregate(b, F.lit(0.0), lambda s, v: s + v) / F.size(b), 4))[0]
 
+    scores = F.transform("known", lambda c: F.struct(c["category"].alias("category"), mean(c).alias("score")))
+    return vectors.join(size).select("vec_id", scores.alias("scores"))
 
-def best_category(scores: DataFrame, margin: float = 0.04, penalty: float = 0.85, threshold: float = 0.33) -> DataFrame:
+
+def best_category(scores: DataFrame, margin: float = 0.04, penalty: float = 0.85, threshold: float = 0.33, thresholds: dict[str, float] | None = None) -> DataFrame:
     """(vec_id, category, score): the best category, penalised where the next one is close; none
-    under the threshold."""
-    listed = scores.groupBy("vec_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "category"))), 1, 2).alias("b"))
+    under the threshold, of which a category may have its own."""
+    b = F.slice(F.array_sort(F.transform("scores", lambda x: F.struct((-x["score"]).alias("s"), x["category"].alias("category")))), 1, 2)
+    listed = scores.select("vec_id", b.alias("b"))
     first, second = -F.get("b", F.lit(0))["s"], -F.get("b", F.lit(1))["s"]
     score = F.when(F.coalesce(first - second, F.lit(1.0)) < margin, F.round(first * penalty, 4)).otherwise(first)
-    return listed.select("vec_id", F.get("b", F.lit(0))["category"].alias("category"), score.alias("score")).where(F.col("score") >= threshold)
-
-
-def technologies(pages: DataFrame, rules: DataFrame, implied: DataFrame | None = None, least: float = 0.5) -> DataFrame:
-    """(page_id, tech, confidence): the best signal of each technology; implied ones at .75, one step,
-    where they aren't found by themselves.  ``rules`` (tech, pattern, confidence) is broadcast."""
-    found = pages.join(F.broadcast(rules), F.expr("html rlike pattern")).groupBy("page_id", "tech").agg(F.max("confidence").alias("confidence")).where(F.col("confidence") >= least)
-    if implied is None:
-        return found
-    more = found.join(F.broadcast(implied), "tech").select("page_id", F.col("implies").alias("tech")).distinct().join(found, ["page_id", "tech"], "left_anti")
-    return found.unionByName(more.withColumn("confidence", F.lit(0.75)))
+    out = listed.select("vec_id", F.get("b", F.lit(0))["category"].alias("category"), score.alias("score"))
+    least = F.lit(threshold)
+    for name, own in (thresholds or {}).items():
+        least = F.when(F.col("category") == name, own).otherwise(least)
+    return out.where(F.col("score") >= least)
 
 
 #: Points of a pattern in a page's html, whatever its case, and the signal's name.
@@ -77,7 +84,7 @@ SHOP_PATTERNS = [
 def ecommerce(pages: DataFrame, found: DataFrame, weights: DataFrame, flag: float = 15.0, most: int = 12) -> DataFrame:
     """(page_id, score, is_ecommerce, signals) of every page: weights (tech, weight) times confidences of
     its technologies, and the points of its patterns, capped at 100.  ``signals`` are the first ``most``
-    names, technologies before patterns.  ``found`` is as ``technologies`` gives it, implied ones too."""
+    names, technologies before patterns.  ``found`` is as ``fingerprints.detect`` gives it."""
     holds = [F.coalesce(F.col("html").rlike(f"(?iUd){p}"), F.lit(False)).alias(f"p{k}") for k, (p, _, _) in enumerate(SHOP_PATTERNS)]
     held = pages.select("page_id", *holds).groupBy("page_id").agg(*[F.bool_or(f"p{k}").alias(f"p{k}") for k in range(len(holds))])
     techs = found.join(F.broadcast(weights), "tech").groupBy("page_id").agg(F.sum(F.col("weight") * F.col("confidence")).alias("of_techs"), F.sort_array(F.collect_list("tech")).alias("techs"))

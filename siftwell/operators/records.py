@@ -45,3 +45,40 @@ def yearly_indicators(history: DataFrame, key: str, year: str, value: str) -> Da
     compound = F.when((F.col("n") >= 3) & (F.col("a.value") > 0) & (span > 0), F.round((F.pow(F.col("z.value") / F.col("a.value"), 1 / span) - 1) * 100, 1))
     signal = F.when(growth > 15, "strong growth").when(growth > 5, "growth").when(growth > -5, "stable").when(growth.isNotNull(), "decline")
     return one.select(key, F.col("z.year").alias("year"), F.col("z.value").alias("value"), growth.alias("growth_pct"), compound.alias("cagr_pct"), signal.alias("signal"))
+
+
+def pending(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """What of ``todo`` isn't done yet."""
+    return todo.join(done.select(key).distinct(), key, "left_anti").select(*todo.columns)
+
+
+def shares(df: DataFrame, group: str, item: str) -> DataFrame:
+    """(group, item, n, pct): how often each item is in its group, and its share; halves round to even."""
+    n = df.groupBy(group, item).agg(F.count("*").alias("n"))
+    every = n.groupBy(group).agg(F.sum("n").alias("every"))
+    return n.join(every, group).select(group, item, "n", F.bround(F.col("n") * 100 / F.col("every")).cast("int").alias("pct"))
+
+
+def most_frequent(df: DataFrame, item: str) -> DataFrame:
+    """(item, n): the most frequent item, the first of equals."""
+    n = df.where(F.col(item).isNotNull()).groupBy(item).agg(F.count("*").alias("n"))
+    return n.orderBy(F.desc("n"), F.asc(item)).limit(1)
+
+
+def coverage(df: DataFrame, item: str) -> DataFrame:
+    """(item, n) by falling numbers."""
+    return df.groupBy(item).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc(item))
+
+
+def union_distinct(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+    """All rows, the first frame's before the next one's; of each key the first."""
+    out = frames[0].withColumn("_frame", F.lit(0))
+    for k, f in enumerate(frames[1:], 1):
+        out = out.unionByName(f.withColumn("_frame", F.lit(k)))
+    return keep_first(out, keys, ["_frame", *keys]).drop("_frame")
+
+
+def outcomes(df: DataFrame, status: str) -> DataFrame:
+    """One row: how many rows have each status, as a map, and how many there are."""
+    n = df.groupBy(F.coalesce(F.col(status), F.lit("none")).alias("s")).agg(F.count("*").alias("n"))
+    return n.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("s", "n")))).alias("of_status"), F.sum("n").alias("n"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from siftwell.functions import company, text, urls
-from siftwell.operators import matching, records
+from siftwell.functions import articles, company, text, urls
+from siftwell.operators import fingerprints, market, matching, navigation, records
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -120,9 +120,12 @@ _links_sql = """
 links AS (
   SELECT page_id, url, unnest(range(0, len(hs))) AS position, unnest(hs) AS h, unnest(ts) AS t
   FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*["'']([^"'']*)["''][^>]*>(.*?)</a>', 1) AS hs, regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*["'']([^"'']*)["''][^>]*>(.*?)</a>', 2) AS ts FROM pages)),
-absolute AS (
-  SELECT page_id, url, position, CASE WHEN regexp_matches(h, '^https?://') THEN h ELSE array_to_string(string_split(url, '/')[1:3], '/') || CASE WHEN starts_with(h, '/') THEN '' ELSE '/' END || h END AS href, trim(regexp_replace(t, '<[^>]*>', '', 'g')) AS text
-  FROM links)"""
+based AS (SELECT page_id, url, position, trim(h) AS h, trim(regexp_replace(t, '<[^>]*>', '', 'g')) AS text, regexp_extract(url, '^[a-z]+://[^/?#]*') AS root, regexp_extract(url, '^[^?#]*') AS own FROM links),
+joined AS (
+  SELECT *, CASE WHEN regexp_matches(h, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN h WHEN h = '' THEN url WHEN starts_with(h, '//') THEN split_part(url, ':', 1) || ':' || h WHEN starts_with(h, '#') THEN split_part(url, '#', 1) || h
+    WHEN starts_with(h, '?') THEN own || h WHEN starts_with(h, '/') THEN root || h WHEN own = root THEN root || '/' || h ELSE regexp_replace(own, '[^/]*$', '') || h END AS href
+  FROM based),
+absolute AS (SELECT page_id, url, position, text, href FROM joined WHERE regexp_matches(href, '(?i)^https?://'))"""
 
 
 @query(f"WITH {_links_sql} SELECT page_id, CAST(position AS INTEGER) AS position, href, text FROM absolute")
@@ -135,7 +138,7 @@ WITH {_links_sql},
 n AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(href, '#.*$', ''), '([^:])//+', '\\1/', 'g'), '/+$', '') AS u FROM absolute),
 s AS (SELECT *, lower(trim(regexp_replace(regexp_replace(translate(regexp_replace(regexp_extract(u, '^[a-z]+://[^/?#]*([^?#]*)', 1), '\\.[a-z]{{2,4}}$', ''), '-_/', '   '), '\\b\\d+\\b', '', 'g'), '\\s+', ' ', 'g'))) AS slug FROM n),
 ok AS (SELECT * FROM s WHERE contains(replace(regexp_extract(u, '://([^/?#]*)', 1), 'www.', ''), replace(regexp_extract(url, '://([^/?#]*)', 1), 'www.', ''))
-  AND NOT regexp_matches(u, '(?i)^https?://[^/]+/(?:{urls.LOCALES})/?$') AND NOT (slug = '' AND text = '')
+  AND {_hits('lower(u)', urls.EXTERNAL)} = 0 AND NOT regexp_matches(u, '(?i)^https?://[^/]+/(?:{urls.LOCALES})/?$') AND NOT (slug = '' AND text = '')
   AND len(list_intersect(regexp_split_to_array(lower(text || ' ' || slug), '[\\s/]+'), {_list(urls.UNWANTED_TOKENS)})) = 0 AND NOT contains(lower(text || ' ' || slug), 'accueil'))
 SELECT page_id, u AS href, text, slug, CAST(position AS INTEGER) AS position FROM ok QUALIFY row_number() OVER (PARTITION BY page_id, u ORDER BY position) = 1""")
 def select_links(spark, sf_dir):
@@ -173,8 +176,11 @@ def first_page_of_host(spark, sf_dir):
 SELECT source, CAST(count(*) AS BIGINT) AS n_articles, array_to_string(list(CAST(doc_id AS VARCHAR) ORDER BY doc_id), ' ') AS ids, CAST(count(*) FILTER (length(text) >= 100) AS BIGINT) AS n_ready
 FROM documents GROUP BY source""")
 def group_articles(spark, sf_dir):
-    ids = F.transform(F.sort_array(F.collect_list("doc_id")), lambda x: x.cast("string"))
-    return _t(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n_articles"), F.array_join(ids, " ").alias("ids"), F.count_if(F.length("text") >= 100).alias("n_ready"))
+    ready = F.when(F.length("text") >= 100, 1).otherwise(0)
+    groups = articles.grouped(_t(spark, sf_dir, "documents").select("source", "doc_id", ready.alias("ready")), "source", ["doc_id", "ready"], "doc_id")
+    whole = groups.groupBy("source").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("part", "articles"))), lambda p: p["articles"])).alias("a"))  # the SQL has one row for each
+    ids = F.transform("a", lambda x: x["doc_id"].cast("string"))
+    return whole.select("source", F.size("a").cast("long").alias("n_articles"), F.array_join(ids, " ").alias("ids"), F.size(F.filter("a", lambda x: x["ready"] == 1)).cast("long").alias("n_ready"))
 
 
 @query("""
@@ -201,7 +207,7 @@ def merge_by_key(spark, sf_dir):
 SELECT p.page_id, p.url FROM pages p WHERE NOT EXISTS (SELECT 1 FROM pages d WHERE d.page_id % 4 = 0 AND d.url = p.url)""")
 def resume_pending(spark, sf_dir):
     p = _t(spark, sf_dir, "pages").select("page_id", "url")
-    return p.join(p.where("page_id % 4 = 0").select("url"), "url", "left_anti").select("page_id", "url")
+    return records.pending(p, p.where("page_id % 4 = 0"), "url")
 
 
 @query("""
@@ -291,40 +297,51 @@ def embedding_categories(spark, sf_dir):
     return matching.best_category(matching.category_scores(e.select("vec_id", "embedding"), anchors))
 
 
-#: Example fingerprints; users supply their own table of the same columns.
+#: Example rules: technology, pattern of the html, confidence.  Users supply their own fingerprints.
 RULES = [("Tracker", r"track\(\d+\)", 1.0), ("Inline style", r"<style>", 0.75), ("Utf8", r'charset="utf-8"', 0.9), ("Ads", r'class="ad"', 0.4)]
-_rules = ", ".join(f"('{t}', '{p}', {c})" for t, p, c in RULES)
+FINGERPRINTS = {t: {"html": f"{p}\\;confidence:{round(c * 100)}"} for t, p, c in RULES}
+FINGERPRINTS["Tracker"] |= {"cats": [41], "implies": "Analytics"}
+FINGERPRINTS["Inline style"]["cats"] = [99]
+FINGERPRINTS["Analytics"] = {"cats": [10]}
+_rules = ", ".join(f"('{t}', '{p}', {c}, '{fingerprints.FIELD_OF.get((FINGERPRINTS[t].get('cats') or [0])[0], '')}')" for t, p, c in RULES)
+_found = f"""rules(tech, pattern, confidence, field) AS (VALUES {_rules}),
+f AS (SELECT page_id, tech, field, max(confidence) AS confidence FROM pages JOIN rules ON regexp_matches(html, '(?i)' || pattern) GROUP BY 1, 2, 3 HAVING max(confidence) >= 0.5)"""
 
 
 @query(f"""
-WITH rules(tech, pattern, confidence) AS (VALUES {_rules}),
-f AS (SELECT page_id, tech, max(confidence) AS confidence FROM pages JOIN rules ON regexp_matches(html, pattern) GROUP BY 1, 2 HAVING max(confidence) >= 0.5)
-SELECT page_id, tech, CAST(confidence AS DOUBLE) AS confidence FROM f
-UNION ALL SELECT DISTINCT page_id, 'Analytics', 0.75 FROM f WHERE tech = 'Tracker'""")
+WITH {_found}
+SELECT page_id, tech, CAST(confidence AS DOUBLE) AS confidence, '' AS version, field FROM f
+UNION ALL SELECT DISTINCT page_id, 'Analytics', 0.75, '', 'analytics' FROM f WHERE tech = 'Tracker'""")
 def detect_technologies(spark, sf_dir):
-    rules = spark.createDataFrame(RULES, "tech string, pattern string, confidence double")
-    implied = spark.createDataFrame([("Tracker", "Analytics")], "tech string, implies string")
-    return matching.technologies(_t(spark, sf_dir, "pages").select("page_id", "html"), rules, implied)
+    return fingerprints.detect(_t(spark, sf_dir, "pages"), FINGERPRINTS)
 
 
 @query(f"""
-WITH rules(tech, pattern, confidence) AS (VALUES {_rules}), weights(tech, weight) AS (VALUES ('Tracker', 12.0), ('Inline style', 5.0)),
-f AS (SELECT page_id, tech, max(confidence) AS confidence FROM pages JOIN rules ON regexp_matches(html, pattern) GROUP BY 1, 2 HAVING max(confidence) >= 0.5)
+WITH {_found}, weights(tech, weight) AS (VALUES ('Tracker', 20.0), ('Inline style', 12.0))
 SELECT page_id, CAST(round(least(100, sum(weight * confidence)), 1) AS DOUBLE) AS score, round(least(100, sum(weight * confidence)), 1) >= 15 AS is_ecommerce FROM f JOIN weights USING (tech) GROUP BY page_id""")
 def ecommerce_scores(spark, sf_dir):
-    rules = spark.createDataFrame(RULES, "tech string, pattern string, confidence double")
-    weights = spark.createDataFrame([("Tracker", 12.0), ("Inline style", 5.0)], "tech string, weight double")
-    implied = spark.createDataFrame([("Tracker", "Analytics")], "tech string, implies string")
+    weights = spark.createDataFrame(fingerprints.Detector(FINGERPRINTS).shop_weights(), "tech string, weight double")
     pages = _t(spark, sf_dir, "pages").select("page_id", "html")
-    scores = matching.ecommerce(pages, matching.technologies(pages, rules, implied), weights)
+    scores = matching.ecommerce(pages, fingerprints.detect(pages, FINGERPRINTS), weights)
     return scores.where("score > 0").drop("signals")  # the SQL has no row for a page without points
 
 
+@query(f"""
+WITH {_found}, every AS (SELECT page_id, tech, field FROM f UNION SELECT page_id, 'Analytics', 'analytics' FROM f WHERE tech = 'Tracker')
+SELECT p.page_id, regexp_extract(p.url, '://([^/?#]*)', 1) AS domain, starts_with(p.url, 'https:') AS ssl, coalesce(string_agg(tech, ',' ORDER BY tech), '') AS techs, CAST(count(tech) AS INTEGER) AS n_technologies
+FROM pages p LEFT JOIN every USING (page_id) GROUP BY ALL""")
+def technology_stacks(spark, sf_dir):
+    pages = _t(spark, sf_dir, "pages")
+    found = fingerprints.detect(pages, FINGERPRINTS)
+    weights = spark.createDataFrame(fingerprints.Detector(FINGERPRINTS).shop_weights(), "tech string, weight double")
+    out = fingerprints.stacks(pages, found, matching.ecommerce(pages, found, weights))
+    return out.select("page_id", "domain", "ssl", F.coalesce(F.array_join(F.array_sort(F.map_keys("technologies")), ","), F.lit("")).alias("techs"), "n_technologies")
+
+
 @query("""
 SELECT user_id, event_type, CAST(count(*) AS BIGINT) AS n, CAST(round_even(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY user_id), 0) AS INTEGER) AS pct FROM events GROUP BY 1, 2""")
 def star_distribution(spark, sf_dir):
-    n = _t(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    return n.withColumn("pct", F.bround(F.col("n") * 100 / F.sum("n").over(Window.partitionBy("user_id"))).cast("int"))
+    return records.shares(_t(spark, sf_dir, "events"), "user_id", "event_type")
 
 
 @query("SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE) DESC, event_id) <= 15")
@@ -348,3 +365,72 @@ def flatten_for_csv(spark, sf_dir):
 @query()
 def clean_for_nlp(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", text.clean_for_nlp(F.col("html")).alias("cleaned"))
+
+
+def _category_sql(column: str) -> str:
+    return "CASE " + " ".join(f"WHEN {_hits(column, ws)} > 0 THEN '{name}'" for name, ws in navigation.LINK_RULES) + " END"
+
+
+PRIORITY = ["services", "about", "team", "contact", "clients", "technology", "partners"]
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, 'https://site' || (doc_id % 97) || '.org/' AS url, 'https://site' || (doc_id % 97) || '.org/' || CASE WHEN doc_id % 5 = 0 THEN 'news/' ELSE '' END || lower(split_part(text, ' ', 2)) || '-' || CASE doc_id % 7 WHEN 0 THEN 'team' WHEN 1 THEN 'our-service' WHEN 2 THEN 'contact' WHEN 3 THEN 'cloud' ELSE 'page' END AS href FROM documents WHERE regexp_matches(split_part(text, ' ', 2), '^[a-z]+$')),
+c AS (SELECT doc_id % 97 AS page_id, href, doc_id AS position, {_category_sql("lower(replace(regexp_extract(href, 'org/(.*)$', 1), '-', ' ')) || ' '")} AS category FROM d WHERE NOT contains(href, '/news/')),
+k AS (SELECT *, list_position({_list(PRIORITY)}, category) AS o, row_number() OVER (PARTITION BY page_id, category ORDER BY position, href) AS nth FROM c WHERE category IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY o, position, href) AS rank FROM k WHERE nth <= 2)
+SELECT page_id, href, category, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
+def pick_site_links(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").withColumn("w", F.get(F.split("text", " ", -1), F.lit(1))).where(F.col("w").rlike("^[a-z]+$"))
+    base = F.concat(F.lit("https://site"), (F.col("doc_id") % 97).cast("string"), F.lit(".org/"))
+    name = F.when(F.col("doc_id") % 7 == 0, "team").when(F.col("doc_id") % 7 == 1, "our-service").when(F.col("doc_id") % 7 == 2, "contact").when(F.col("doc_id") % 7 == 3, "cloud").otherwise("page")
+    href = F.concat(base, F.when(F.col("doc_id") % 5 == 0, "news/").otherwise(""), F.lower("w"), F.lit("-"), name)
+    links = d.select((F.col("doc_id") % 97).alias("page_id"), base.alias("url"), href.alias("href"), F.lit("").alias("text"), urls.slug(href).alias("slug"), F.col("doc_id").alias("position"))
+    return navigation.pick_links(navigation.score_links(links), PRIORITY, 2, 5).select("page_id", "href", "category", "rank")
+
+
+@query("""
+WITH c AS (SELECT c_custkey AS company_id, c_name AS name, 'x 12 ' || lpad(CAST(c_custkey % 500 AS VARCHAR), 5, '0') || ' town' || (c_custkey % 500) AS address FROM customer),
+r AS (SELECT s_suppkey AS entry_id, s_name AS entry_name, 'y 9 ' || lpad(CAST(s_suppkey % 500 AS VARCHAR), 5, '0') || ' town' || (s_suppkey % 500) AS entry_address FROM supplier),
+s AS (SELECT company_id, entry_id, 40 AS score FROM c JOIN r ON company_id % 500 = entry_id % 500)
+SELECT company_id, entry_id, score, 'faible' AS level FROM s QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY score DESC, entry_id) = 1""")
+def match_registry(spark, sf_dir):
+    place = lambda prefix, key: F.concat(F.lit(prefix), F.lpad((F.col(key) % 500).cast("string"), 5, "0"), F.lit(" town"), (F.col(key) % 500).cast("string"))
+    companies = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"), place("x 12 ", "c_custkey").alias("address"))
+    registry = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("entry_id"), F.col("s_name").alias("entry_name"), place("y 9 ", "s_suppkey").alias("entry_address"))
+    return market.best_entries(companies, registry)
+
+
+@query("""
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso FROM orders""")
+def normalize_dates(spark, sf_dir):
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 5
+    written = lambda f: F.date_format(d, f)
+    raw = F.when(k == 0, written("yyyy-MM-dd'T'HH:mm:ss'Z'")).when(k == 1, written("d MMMM yyyy")).when(k == 2, written("EEE, dd MMM yyyy HH:mm:ss 'GMT'")).when(k == 3, written("MMM d, yyyy")).otherwise(F.concat(F.lit("published on "), written("MM/dd/yyyy")))
+    return _t(spark, sf_dir, "orders").select("o_orderkey", articles.iso_date(raw).alias("iso"))
+
+
+@query("""
+SELECT event_id, url, news, bad FROM (SELECT event_id, 'https://' || CASE event_id % 4 WHEN 0 THEN 'blog.' WHEN 1 THEN 'www.' ELSE '' END || 'a.org/' || CASE event_id % 6 WHEN 0 THEN 'news/' WHEN 1 THEN 'x/press' WHEN 2 THEN 'my-blog' WHEN 3 THEN 'x/y.PDF' WHEN 4 THEN 'press/x' ELSE '' END AS url,
+  event_id % 4 = 0 OR event_id % 6 IN (0, 1, 2, 4) AS news, event_id % 6 = 3 AS bad FROM events)""")
+def classify_sections(spark, sf_dir):
+    e = F.col("event_id")
+    url = F.concat(F.lit("https://"), F.when(e % 4 == 0, "blog.").when(e % 4 == 1, "www.").otherwise(""), F.lit("a.org/"), F.when(e % 6 == 0, "news/").when(e % 6 == 1, "x/press").when(e % 6 == 2, "my-blog").when(e % 6 == 3, "x/y.PDF").when(e % 6 == 4, "press/x").otherwise(""))
+    rows = _t(spark, sf_dir, "events").select("event_id", url.alias("url"))
+    return rows.select("event_id", "url", navigation.news_section(F.col("url")).alias("news"), navigation.bad_extension(F.col("url")).alias("bad"))
+
+
+@query("""
+WITH c AS (SELECT c_custkey AS company_id, CASE c_nationkey % 3 WHEN 0 THEN 'France' WHEN 1 THEN 'Germany' ELSE '' END AS country, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE c_name END AS name FROM customer),
+e AS (SELECT c_custkey AS company_id, c_custkey AS entry_id, CAST(c_custkey % 100 AS INTEGER) AS score FROM customer WHERE c_custkey % 2 = 0),
+q AS (SELECT c_custkey AS company_id, 'S' || c_custkey AS symbol, (c_custkey % 10) / 10.0 AS score FROM customer WHERE c_custkey % 3 = 0),
+j AS (SELECT c.company_id, country = 'France' AS fr, name = '' AS nokey, CAST(e.entry_id AS VARCHAR) AS entry, e.score / 100.0 AS es, q.symbol, CAST(q.score AS DOUBLE) AS qs FROM c LEFT JOIN e ON e.company_id = c.company_id AND e.score >= 50 LEFT JOIN q ON q.company_id = c.company_id AND q.score >= 0.35)
+SELECT company_id, CASE WHEN nokey THEN 'no_keys' WHEN fr AND entry IS NOT NULL THEN 'registry' ELSE CASE WHEN fr THEN 'registry_fallback_' ELSE '' END || CASE WHEN symbol IS NOT NULL THEN 'market' ELSE 'market_no_match' END END AS source,
+  CASE WHEN nokey THEN NULL WHEN fr AND entry IS NOT NULL THEN entry ELSE symbol END AS key, CAST(CASE WHEN nokey THEN NULL WHEN fr AND entry IS NOT NULL THEN es ELSE qs END AS DOUBLE) AS confidence FROM j""")
+def route_companies(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "company_id")
+    k = F.col("company_id")
+    companies = c.select("company_id", F.when(F.col("c_nationkey") % 3 == 0, "France").when(F.col("c_nationkey") % 3 == 1, "Germany").otherwise("").alias("country"), F.when(k % 11 == 0, "").otherwise(F.col("c_name")).alias("name"), F.lit("").alias("url"))
+    entries = c.where("company_id % 2 = 0").select("company_id", k.alias("entry_id"), (k % 100).cast("int").alias("score"))
+    quotes = c.where("company_id % 3 = 0").select("company_id", F.concat(F.lit("S"), k.cast("string")).alias("symbol"), ((k % 10) / 10).alias("score"))
+    return market.route(companies, entries, quotes)

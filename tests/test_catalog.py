@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from siftwell.functions import company, fuzzy, text, urls
-from siftwell.operators import matching, records
+from siftwell.operators import fingerprints, matching, records
 from siftwell.plans import catalog
 from siftwell.sources import landed
 from siftwell.streaming import incremental
@@ -95,10 +95,9 @@ def test_ecommerce_patterns(spark, tmp_path):
     every = '{"@type": "Product"} {"@TYPE":"offer"} "@type":"ItemList" add-to-cart data-product-id /Checkout? "sku" : "price": 9 type="number" id="quantite" livraison gratuite en stock'
     rows = [(1, '{"@type": "Product"}'), (2, "plain"), (3, None), (4, "<b>TrackMe</b> <a href=/cart>"), (5, every), (6, "/cartoon")]
     pages = spark.createDataFrame(rows, "page_id long, html string")
-    rules = spark.createDataFrame([("Track", "TrackMe", 1.0)], "tech string, pattern string, confidence double")
-    implied = spark.createDataFrame([("Track", "Pay")], "tech string, implies string")
-    weights = spark.createDataFrame([("Track", 12.0), ("Pay", 20.0)], "tech string, weight double")
-    got = {r.page_id: tuple(r)[1:] for r in matching.ecommerce(pages, matching.technologies(pages, rules, implied), weights).collect()}
+    rules = {"Track": {"html": "TrackMe", "implies": "Pay", "cats": [99]}, "Pay": {"cats": [41]}}
+    weights = spark.createDataFrame(fingerprints.Detector(rules).shop_weights(), "tech string, weight double")
+    got = {r.page_id: tuple(r)[1:] for r in matching.ecommerce(pages, fingerprints.detect(pages, rules), weights).collect()}
     assert got[1] == (20.0, True, ["schema:Product"]) and got[2] == got[3] == got[6] == (0.0, False, [])
     assert got[4] == (35.0, True, ["Pay", "Track", "pattern:cart-url"])
     assert got[5] == (96.0, True, [name for _, _, name in matching.SHOP_PATTERNS])

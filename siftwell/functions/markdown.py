@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from siftwell.functions.text import blank
+from siftwell.functions.text import blank, let
 
 # Lines and headings that are not content.
 NOISE_LINES = ["read more", "contactdemo", "contact demo", "contact", "demo", "learn more", "watch", "subscribe", "view blogs?", "view analyst reports?", "no news available", "explore vision", "schedule demo", "vision journey", "see what we deliver", "view all stories"]
@@ -81,6 +81,9 @@ def plain(cleaned: Column) -> Column:
 def page(c: Column) -> Column:
     """struct (status, clean_text, paragraphs); null, "failed" and short pages have status failed and
     nulls."""
-    cleaned = clean(c)
-    ok = c.isNotNull() & (c != "failed") & (F.char_length(cleaned) >= LEAST)
-    return F.struct(F.when(ok, "ok").otherwise("failed").alias("status"), F.when(ok, plain(cleaned)).alias("clean_text"), F.when(ok, paragraphs(cleaned)).alias("paragraphs"))
+
+    def told(cleaned: Column) -> Column:
+        ok = c.isNotNull() & (c != "failed") & (F.char_length(cleaned) >= LEAST)
+        return F.struct(F.when(ok, "ok").otherwise("failed").alias("status"), F.when(ok, plain(cleaned)).alias("clean_text"), F.when(ok, paragraphs(cleaned)).alias("paragraphs"))
+
+    return let(clean(c), told)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from siftwell.functions import urls
-from siftwell.functions.text import blank, squeeze, squeeze_or_null
+from siftwell.functions.text import blank, let, squeeze, squeeze_or_null
 
 # Patterns, phrases and lists that results must agree on.
 EMAIL = r"\b([a-zA-Z0-9][a-zA-Z0-9._%+\-]*@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,})\b"
@@ -147,7 +147,9 @@ def certifications(c: Column) -> Column:
 
 
 def _phrases(c: Column, phrases: list[str]) -> Column:
-    return F.array_compact(F.array(*[F.when(blank(c).rlike(rf"(?iU)\b{p}\b"), p) for p in phrases]))
+    """A phrase's pattern is tried only where the text holds the phrase at all."""
+    found = lambda low: F.array_compact(F.array(*[F.when(low.contains(p.lower()) & blank(c).rlike(rf"(?iU)\b{p}\b"), p) for p in phrases]))
+    return let(F.lower(blank(c)), found)
 
 
 def technologies(c: Column) -> Column:
@@ -170,9 +172,16 @@ def country(c: Column) -> Column:
     """By URL, then beside a word for an address, then the first of the list that is mentioned."""
     text = blank(c)
     tunisia = text.rlike(r"""https?://[^\s]*\.tn[/\s")]""") | text.rlike(r"(?i)(?:adresse|address|headquarter|siege|located)[^\n]{0,100}(?:Tunis\b|Tunisia)") | text.rlike(r"(?i)\d{4}\s+Tunis")
-    beside = [F.when(text.rlike(rf"(?i)(?:{PLACE_WORDS})[^\n]{{0,80}}{label}"), name) for label, name in COUNTRIES]
-    anywhere = [F.when(F.lower(text).contains(label.lower()), name) for label, name in COUNTRIES]
-    return F.coalesce(F.when(tunisia, "Tunisia"), *beside, *anywhere)
+    # what follows each place word on its line, overlapping windows included; labels begin within 80 characters
+    reach = 80 + max(len(label) for label, _ in COUNTRIES)
+    windows = F.regexp_extract_all(text, F.lit(rf"(?i)(?:{PLACE_WORDS})(?=([^\n]{{0,{reach}}}))"), F.lit(1))
+
+    def beside(w: Column) -> Column:
+        return F.coalesce(*[F.when(F.exists(w, lambda x: F.left(x, F.lit(80 + len(label))).contains(label.lower())), name) for label, name in COUNTRIES])
+
+    near = let(F.transform(windows, lambda x: F.lower(x)), lambda w: F.when(F.size(w) > 0, beside(w)))
+    anywhere = let(F.lower(text), lambda low: F.coalesce(*[F.when(low.contains(label.lower()), name) for label, name in COUNTRIES]))
+    return F.coalesce(F.when(tunisia, "Tunisia"), near, anywhere)
 
 
 def company_name(c: Column) -> Column:
@@ -197,12 +206,12 @@ def company_of_page(html: Column, url: Column) -> Column:
     fallback = urls.company_of_domain(domain)
     title = lambda tag: first(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>")
     found = [meta(html, "property", "og:site_name"), title("title"), meta(html, "property", "og:title"), title("h1")]
-    name = F.coalesce(*[F.nullif(company_name(x), F.lit("")) for x in found], fallback)
-    slogan = (F.size(F.split(name, " ")) > 4) | (F.lower(name) == name) | (F.char_length(name) > 50)
-    name = F.when(slogan, fallback).otherwise(name)
-    aliases = F.filter(F.array_distinct(F.array(name, F.substring_index(domain, ".", 1), fallback)), lambda x: F.char_length(x) >= 2)
+    first_name = F.coalesce(*[F.nullif(let(squeeze(x), lambda v: company_name(v)), F.lit("")) for x in found], fallback)
+    slogan = lambda n: (F.size(F.split(n, " ")) > 4) | (F.lower(n) == n) | (F.char_length(n) > 50)
+    named = let(first_name, lambda n: F.when(slogan(n), fallback).otherwise(n))
     description = F.coalesce(F.nullif(meta(html, "name", "description"), F.lit("")), meta(html, "property", "og:description"))
-    return F.struct(name.alias("company_name"), domain.alias("domain"), aliases.alias("aliases"), description.alias("description"))
+    aliases = lambda n: F.filter(F.array_distinct(F.array(n, F.substring_index(domain, ".", 1), fallback)), lambda x: F.char_length(x) >= 2)
+    return let(named, lambda n: F.struct(n.alias("company_name"), domain.alias("domain"), aliases(n).alias("aliases"), description.alias("description")))
 
 
 def leaders(items: Column) -> Column:

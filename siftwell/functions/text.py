@@ -42,6 +42,11 @@ def blank(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def total(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts)
 

@@ -1,9 +1,12 @@
 """Quality rules by weak supervision, in DataFrame functions only.
 
-Each rule votes good (1), bad (-1) or abstains (0) on a document.  How often documents show each
-pattern of votes is counted over the whole corpus (at most 3 ** rules rows, whatever its size);
-expectation-maximisation on those counts estimates, without labels, how each rule votes on good and
-on bad documents and how common good ones are.  A document's posterior of being good, a sum of
+Each rule votes good (1), bad (-1) or abstains (0) on a document; traits that come together (capitals
+and exclamation marks) share a rule, and none repeats the base rules, so that rules may be taken as
+independent within a kind.  How often documents show each pattern of votes is counted over the whole
+corpus (at most 3 ** rules rows, whatever its size); expectation-maximisation on those counts
+estimates, without labels, how each rule votes on good and on bad documents and how common good ones
+are.  A rule is held to be no worse than chance: its bad votes are at least as likely on bad documents
+and its good votes on good ones, which keeps the two kinds what they are called.  A document's posterior of being good, a sum of
 log-likelihood ratios, replaces a filter that all rules must pass.
 
 One narrow pass computes counts and votes, written small to the shared folder; one aggregation with
@@ -23,7 +26,10 @@ WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 #: Words so common that running text of the language holds several of them.  Fixed values.
 COMMON = ["the", "of", "and", "to", "in", "a", "is", "that", "de", "la", "le", "les", "et", "des", "en", "un", "une", "du", "der", "die", "und", "das", "den", "von", "zu", "mit", "el", "los", "las", "que", "y", "por", "para", "con"]
-RULES = ["vote_word_length", "vote_symbols", "vote_lines", "vote_repeats", "vote_common_words", "vote_capitals", "vote_length", "vote_distinct"]
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÂÄÇÉÈÊËÎÏÔÖÙÛÜÑÍÓÚ"
+#: Signs that stand by themselves in menus and tables.
+SIGNS = ["|", "-", "–", "—", "•", "·", "*", "&", "/", "#", ">", "<", "+", "=", ":"]
+RULES = ["vote_word_length", "vote_symbols", "vote_shouting", "vote_distinct", "vote_common_words", "vote_signs", "vote_lines"]
 
 
 def repeat_words(w: Column) -> Column:
@@ -60,8 +66,9 @@ def base(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         repeat_words(F.col("w")).alias("n_repeat_words"),
         F.size(F.array_distinct("w")).alias("distinct"),
         F.size(F.array_intersect(F.transform("w", lambda x: F.lower(F.left(x, F.lit(8)))), F.array(*[F.lit(x) for x in COMMON]))).alias("common"),
-        without("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("not_capital"),
-        size(F.col("t")).alias("chars"),
+        (size(F.col("t")) - without(CAPITALS)).alias("capitals"),
+        (size(F.col("t")) - without("!?")).alias("marks"),
+        F.size(F.filter("w", lambda x: x.isin(SIGNS))).alias("signs"),
     )
     n = F.greatest(F.col("n_words"), F.lit(1))
     ratio = lambda a, b: a / F.greatest(b, F.lit(1))
@@ -70,20 +77,19 @@ def base(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         return F.when(bad, -1).when(good, 1).otherwise(0)
 
     length, symbols, again = F.col("word_chars") / n, F.col("n_symbols") / n, ratio(F.col("lines")["again"], F.col("lines")["all"])
-    repeats, capitals, distinct = F.col("n_repeat_words") / n, ratio(F.col("chars") - F.col("not_capital"), F.col("chars")), F.col("distinct") / n
+    marks, capitals, distinct, signs = F.col("marks") / n, ratio(F.col("capitals"), F.col("word_chars")), F.col("distinct") / n, F.col("signs") / n
     return t.select(
         "doc_id", "n_words", "word_chars", "n_symbols",
         F.col("lines")["again"].cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         ((F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))).alias("base_failed"),
-        vote((length < 2.5) | (length > 12), length.between(3, 9)).alias("vote_word_length"),
-        vote(symbols > 0.2, symbols < 0.05).alias("vote_symbols"),
-        vote(again > 0.3, again == 0).alias("vote_lines"),
-        vote(repeats > 0.2, repeats == 0).alias("vote_repeats"),
-        vote((F.col("common") < 2) & (F.col("n_words") >= 20), F.col("common") >= 4).alias("vote_common_words"),
-        vote(capitals > 0.3, capitals.between(0.002, 0.12)).alias("vote_capitals"),
-        vote(F.col("n_words") < 20, F.col("n_words") >= 60).alias("vote_length"),
-        vote((distinct < 0.25) & (F.col("n_words") < 2000), distinct > 0.4).alias("vote_distinct"),
+        vote((length < 3.5) | (length > 9), length.between(4.2, 6.8)).alias("vote_word_length"),
+        vote(symbols > 0.1, symbols < 0.02).alias("vote_symbols"),
+        vote((marks > 0.1) | (capitals > 0.2), (marks < 0.02) & (capitals < 0.06)).alias("vote_shouting"),
+        vote((distinct < 0.35) & (F.col("n_words") < 3000), distinct > 0.5).alias("vote_distinct"),
+        vote(F.col("common") < 2, F.col("common") >= 5).alias("vote_common_words"),
+        vote(signs > 0.05, signs < 0.01).alias("vote_signs"),
+        vote(again > 0.2, again == 0).alias("vote_lines"),
     )
 
 
@@ -103,7 +109,10 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 2
             for v in (-1, 0, 1):
                 a = sum(p * n for p, (x, n) in zip(share, patterns) if x[r] == v)
                 b = sum((1 - p) * n for p, (x, n) in zip(share, patterns) if x[r] == v)
-                row[v] = ((a + 1) / (good + 3), (b + 1) / (total - good + 3))
+                of_good, of_bad = (a + 1) / (good + 3), (b + 1) / (total - good + 3)
+                if v * (of_good - of_bad) < 0:  # no worse than chance
+                    of_good = of_bad = (a + b + 2) / (total + 6)
+                row[v] = (of_good, of_bad)
             table.append(row)
         done, prior = abs(new - prior) < 1e-9, new
         share = []
@@ -118,7 +127,7 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rules: int, rounds: int = 2
 def judge(docs: DataFrame, limit: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, base counts, base_failed, kept, posterior)."""
     known = stored(base(docs, id_col, text_col), "votes")
-    counted = known.groupBy(*RULES).agg(F.count("*").alias("n")).collect()  # at most 3 ** 8 rows
+    counted = known.groupBy(*RULES).agg(F.count("*").alias("n")).collect()  # at most 3 ** 7 rows
     patterns = sorted((tuple(r[x] for x in RULES), r.n) for r in counted)
     prior, table = fit(patterns, len(RULES))
     odds = F.lit(math.log(prior / (1 - prior)))

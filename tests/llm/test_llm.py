@@ -330,6 +330,37 @@ def test_extraction_of_large_pages():
     assert time.perf_counter() - began < 60
 
 
+def test_quality_posterior_by_hand(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    votes = np.array([[r[x] for x in quality_rules.RULES] for r in quality_rules.base(docs).orderBy("doc_id").collect()])
+    p, n = 1 / (1 + np.exp(-votes.sum(1).astype(float))), len(votes)
+    prior = 0.5
+    for _ in range(200):  # document by document
+        good, before = p.sum(), prior
+        prior, odds = (good + 1) / (n + 2), np.zeros(n)
+        for column in votes.T:
+            for v in (-1, 0, 1):
+                at = column == v
+                a, b = (p[at].sum() + 1) / (good + 3), ((1 - p)[at].sum() + 1) / (n - good + 3)
+                if (a - b) * v < 0:
+                    a = b = (at.sum() + 2) / (n + 6)
+                odds[at] += np.log(a / b)
+        last = np.log(prior / (1 - prior)) + odds
+        p = 1 / (1 + np.exp(-np.clip(last, -60, 60)))
+        if abs(prior - before) < 1e-9:
+            break
+    got = [r.posterior for r in quality_rules.judge(docs).orderBy("doc_id").collect()]
+    assert np.allclose(got, 1 / (1 + np.exp(-last)), atol=1e-6)
+
+
+def test_quality_posterior_on_labels(spark):
+    got = queries.op6_quality_rules(spark, "/root/testdata/sf0.01").toPandas()
+    seen = got.merge(pd.read_parquet("/root/testdata/sf0.01/labels.parquet"), on="doc_id")
+    seen = seen[~seen.base_failed & seen.quality.isin([0, 1])]
+    assert auc(seen.posterior.to_numpy(), seen.quality.to_numpy()) > 0.97
+    assert (~seen.kept[seen.quality == 0]).mean() > 0.9 and seen.kept[seen.quality == 1].mean() > 0.98
+
+
 def test_quality_rules(spark):
     docs = odd_docs(spark, list(pd.read_parquet(f"{SF}/documents.parquet").text) + ["a b c d e f g h i " * 3, "x\nx\n\n\nx y\nx"])
     texts = {r.doc_id: r.text for r in docs.collect()}

@@ -122,3 +122,37 @@ WITH RECURSIVE words AS (
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(k.component_id, s.doc_id) AS component_id
 FROM shingles s LEFT JOIN classes c ON len(s.s) > 0 AND c.s = list_sort(s.s) LEFT JOIN component k ON k.id = c.id
 """
+
+ORACLE_SQL["op7_warc"] = r"""
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages
+), d AS (
+    SELECT page_id, top, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS x FROM p
+)
+SELECT page_id, payload_bytes,
+    array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(x, CAST(k // 4 AS INTEGER) * 5 + 1, 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31) + 1, 1)), '') AS payload_digest,
+    CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> top THEN top END AS refers_to
+FROM d
+"""
+
+ORACLE_SQL["op8_benchmark_decontamination"] = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), b AS (
+    SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark
+), dw AS (
+    SELECT doc_id, unnest(w) AS w, unnest(range(len(w))) AS i FROM d
+), bw AS (
+    SELECT item_id, len(w) AS n, unnest(w) AS w, unnest(range(len(w))) AS j FROM b
+), same AS (
+    SELECT doc_id, item_id, i - j AS shift, j, least(13, n) AS run, CAST(ceil(least(13, n) * 11.0 / 13) AS BIGINT) AS need FROM dw JOIN bw USING (w)
+), runs AS (
+    SELECT doc_id, item_id, shift, run, need, list_sort(list(j)) AS js FROM same GROUP BY ALL HAVING count(*) >= any_value(need)
+), hit AS (
+    SELECT DISTINCT doc_id, item_id FROM runs WHERE len(list_filter(range(1, len(js) - need + 2), lambda k: js[k + need - 1] - js[k] < run)) > 0
+), found AS (
+    SELECT doc_id, count(*) AS n_items, min(item_id) AS first_item FROM hit GROUP BY doc_id
+)
+SELECT documents.doc_id, n_items IS NOT NULL AS contaminated, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, first_item FROM documents LEFT JOIN found USING (doc_id)
+"""

@@ -33,6 +33,8 @@ from siftwell.llm.common import bounded_sample, fold_of, small_batches, unload
 WORDS, HOP, MOST = 6, 5, 192
 #: Bytes of either trained dictionary, lengths of the segments that are weighed, rounds of choosing.
 TRAINED_BYTES, LENGTHS, ROUNDS = 24576, (6, 7, 8, 9, 10), 4
+#: Share of toxic documents in which a segment must recur, and that it must add to those reached.
+RECURS, GAIN = 0.03, 0.03
 #: Parts of the sample; a part's mean savings, for the curve, are by dictionaries of the other parts.
 FOLDS = 5
 #: Labelled rows of each kind that training reads at most.
@@ -99,10 +101,13 @@ def _segments(data: bytes) -> set[bytes]:
 def _toxic_segments(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """Segments that recur in toxic documents and not in ordinary ones, chosen so that together
     they reach as many toxic documents as possible; several rounds, each without what overlaps."""
-    sets = [_segments(d) for d in toxic]
-    in_toxic = Counter(s for x in sets for s in x)
-    least, nt, no = max(3, 0.015 * len(toxic)), max(1, len(toxic)), max(1, len(ordinary))
+    in_toxic: Counter = Counter()
+    for d in toxic:
+        in_toxic.update(_segments(d))
+    least, nt, no = max(3, RECURS * len(toxic)), max(1, len(toxic)), max(1, len(ordinary))
     usual = {s for s, n in in_toxic.items() if n >= least}
+    in_toxic = Counter({s: in_toxic[s] for s in usual})
+    sets = [_segments(d) & usual for d in toxic]
     in_ordinary = Counter(s for d in ordinary for s in _segments(d) & usual)
     left = {s for s in usual if in_toxic[s] / nt >= 6 * (in_ordinary[s] + 1) / no}
     chosen: list[bytes] = []
@@ -111,7 +116,7 @@ def _toxic_segments(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
         while True:
             counts = Counter(s for x in rest for s in x)
             gain, _, best = max(((n - 3 * nt * in_ordinary[s] / no, len(s), s) for s, n in counts.items()), default=(0, 0, b""))
-            if gain < max(3, 0.01 * nt):
+            if gain < max(3, GAIN * nt):
                 break
             found.append(best)
             rest = [x for x in rest if best not in x]

@@ -9,6 +9,7 @@ import re
 import time
 import zlib
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -312,6 +313,18 @@ def brute_rules(t):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), again, len(cover)
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_same_rows_as_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "benchmark", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
+    want = con.execute(queries.ORACLE_SQL[name])
+    columns = [d[0] for d in want.description]
+    got = queries.QUERIES[name](spark, SF)
+    assert sorted(columns) == sorted(got.columns)
+    assert collections.Counter(tuple(r[c] for c in columns) for r in got.collect()) == collections.Counter(want.fetchall())
+
+
 def test_extraction_of_odd_rows(spark):
     page = "<body><nav><ul><li><a href=/>Home</a></li></ul></nav><article><h1>A title here</h1><p>Some words, <label>a label</label> and <math><mi>x</mi></math> in it. More of them follow here.</p><p>Second &amp; last paragraph, with some more words.</p></article><footer>&copy; me</footer>"
     rows = [(1, "u", page, "x", 1), (1, "u", page, "x", 1), (None, None, None, None, None), (2, None, "", "y", 2), (3, "v", "no markup  here", "z", 3)]

@@ -9,6 +9,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from siftwell.functions import company
 from siftwell.functions.text import blank
@@ -58,7 +59,7 @@ def of_tables(tables: DataFrame) -> DataFrame:
     return values.groupBy("company_id", "year", "field").agg(F.min_by("value", "place").alias("value"))
 
 
-_ENTRIES = "array<struct<year:int,field:string,value:double>>"
+_ENTRIES = ArrayType(StructType([StructField("year", IntegerType()), StructField("field", StringType()), StructField("value", DoubleType())]))
 
 
 @F.pandas_udf(_ENTRIES)

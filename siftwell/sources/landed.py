@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+import re
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType
+
+from siftwell.operators import records
 
 
 def url_list(spark: SparkSession, path: str) -> DataFrame:
@@ -55,3 +61,122 @@ def fresh(cache: DataFrame, now: str, ttl_seconds: int = 86_400, key: str = "key
     """The latest entry of each key that is younger than the time to live."""
     young = cache.where(F.col(time) > F.to_timestamp(F.lit(now)) - F.make_interval(secs=F.lit(ttl_seconds)))
     return young.groupBy(key).agg(F.max_by(F.struct(*[c for c in cache.columns if c != key]), time).alias("r")).select(key, "r.*")
+
+
+def cache_key(identifier: Column) -> Column:
+    """The key under which an identifier's answer is kept, whatever its case."""
+    return F.md5(F.lower(identifier).cast("binary"))
+
+
+def snapshot(df: DataFrame, path: str, version: str) -> None:
+    """One version of a dataset beside the others; writing it again replaces it alone."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")
+
+
+def final(df: DataFrame, bulky: list[str] = ["raw_markdown", "html"]) -> DataFrame:
+    """Without the columns that only earlier steps need."""
+    return df.drop(*bulky)
+
+
+def with_known_host(pages: DataFrame, hosts: DataFrame) -> DataFrame:
+    """Pages whose host is in the landed table of resolved ``hosts`` (host)."""
+    host = F.regexp_extract("url", r"^[^/]*//([^/?#]*)", 1)
+    return pages.withColumn("_host", host).join(hosts.select(F.col("host").alias("_host")).distinct(), "_host", "left_semi").drop("_host")
+
+
+def news(items: DataFrame, order: str = "position") -> DataFrame:
+    """items(title, url, published, source, description, position) of news searches in the columns of
+    articles; of each URL the first item counts, items without a URL are left out."""
+    text = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    rows = items.where(text(F.col("url")) != "").select(F.col("url"), text(F.col("title")).alias("rss_title"), text(F.col("published")).alias("rss_date"), text(F.col("source")).alias("source"), text(F.col("description")).alias("excerpt"), order)
+    return records.keep_first(rows, ["url"], [order]).drop(order)
+
+
+def sitemap_pages(entries: DataFrame, roots: list[str], keywords: list[str], depth: int = 3) -> DataFrame:
+    """(url): the pages that the sitemaps under ``roots`` list.  entries(parent, kind, url) are landed
+    sitemaps; from the roots on, only sitemaps whose URL holds one of ``keywords`` are followed."""
+    named = F.col("url").rlike("(?i)" + "|".join(rf"\Q{k}\E" for k in keywords))
+    level = entries.where(F.col("parent").isin(roots))
+    found = level.where("kind = 'url'")
+    for _ in range(depth):
+        below = level.where((F.col("kind") == "sitemap") & named).select(F.col("url").alias("parent")).distinct()
+        level = entries.join(below, "parent")
+        found = found.unionByName(level.where("kind = 'url'").select(*found.columns))
+    return found.select("url").distinct()
+
+
+def useful_answers(answers: DataFrame, paths: list[str], useful: list[str], bulky: list[str]) -> DataFrame:
+    """answers(url, json) of a page's requests -> (name, json): those on ``paths`` that are objects with one of
+    the ``useful`` keys, without the ``bulky`` ones, named by the last 80 characters of their URL."""
+    wanted = F.col("url").rlike("(?i)" + "|".join(rf"\Q{p}\E" for p in paths))
+    rows = answers.where(wanted).withColumn("m", F.from_json("json", "map<string,variant>")).where(F.arrays_overlap(F.map_keys("m"), F.array(*[F.lit(k) for k in useful])))
+    kept = F.map_filter("m", lambda k, _: ~k.isin(bulky))
+    return rows.select(F.right("url", F.lit(80)).alias("name"), F.to_json(kept).alias("json"))
+
+
+class _Markdown(HTMLParser):
+    """Headings, paragraphs, lists, emphasis, links and images of a page as markdown."""
+
+    BLOCKS = frozenset("p div section article main header footer nav aside table tr ul ol blockquote pre form figure body html".split())
+    SKIPPED = frozenset("script style noscript template svg head".split())
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.out: list[str] = []
+        self.skipped = 0
+        self.links: list[str] = []
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if tag in self.SKIPPED:
+            self.skipped += 1
+        elif re.fullmatch("h[1-6]", tag):
+            self.out.append("\n\n" + "#" * int(tag[1]) + " ")
+        elif tag in self.BLOCKS:
+            self.out.append("\n\n")
+        elif tag == "li":
+            self.out.append("\n* ")
+        elif tag == "br":
+            self.out.append("  \n")
+        elif tag in ("b", "strong"):
+            self.out.append("**")
+        elif tag in ("i", "em"):
+            self.out.append("*")
+        elif tag == "a":
+            self.links.append(a.get("href") or "")
+            self.out.append("[")
+        elif tag == "img":
+            self.out.append(f"![{a.get('alt') or ''}]({a.get('src') or ''})")
+
+    def handle_endtag(self, tag):
+        if tag in self.SKIPPED:
+            self.skipped = max(0, self.skipped - 1)
+        elif tag in self.BLOCKS or re.fullmatch("h[1-6]", tag):
+            self.out.append("\n\n")
+        elif tag in ("b", "strong"):
+            self.out.append("**")
+        elif tag in ("i", "em"):
+            self.out.append("*")
+        elif tag == "a" and self.links:
+            self.out.append(f"]({self.links.pop()})")
+
+    def handle_data(self, data):
+        if not self.skipped:
+            self.out.append(re.sub(r"\s+", " ", data))
+
+    def text(self) -> str:
+        lines = [re.sub(r"[ \t]+", " ", x).strip() for x in "".join(self.out).split("\n")]
+        return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
+
+
+@F.pandas_udf(StringType())
+def html_to_markdown(html: pd.Series) -> pd.Series:
+    """A page as markdown; null gives the empty text."""
+
+    def one(page: str | None) -> str:
+        parser = _Markdown()
+        parser.feed(page or "")
+        parser.close()
+        return parser.text()
+
+    return html.map(one)

@@ -28,3 +28,8 @@ def upsert_into(stream: DataFrame, read: Callable[[], DataFrame], write: Callabl
 
 def windowed_counts(stream: DataFrame, time: str, by: str, size: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     return stream.withWatermark(time, late).groupBy(F.window(time, size), by).agg(F.count("*").alias("n"))
+
+
+def append_to(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """A history that only grows: what is new is added as Parquet, each row once, also after a restart."""
+    return stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)

@@ -237,3 +237,43 @@ def leaders(items: Column) -> Column:
     people = F.filter(people, lambda p: p["leads"] & ~F.upper(p["name"]).rlike(rf"\b(?:{'|'.join(ENTITIES)})\b"))
     people = distinct_by(people, lambda p: F.concat_ws("\n", F.lower(p["name"]), F.lower(p["title"])))
     return F.transform(people, lambda p: F.struct(*[p[k].alias(k) for k in ("name", "title", "age", "born", "is_chair", "is_chief")]))
+
+
+# Fixed values.
+PERSON = r"([A-Z][a-z]{1,20}\s+[A-Z]{2,15}(?:\s+[A-Z]{2,15})?)\s+(CEO|CTO|CFO|COO|CMO|CIO|CISO|Co-CEO|Chairman|President|Director General|Managing Director|Legal|Finance|Operations?|Compliance|Risk|Europe\s*(?:&|and)?\s*UK|APAC|Americas|Market\s+Operations?)"
+JOB = r"(?i)\b(?:CEO|CTO|CFO|COO|CMO|CSO|CIO|CISO|CPO|CRO|Chairman|President|Vice[- ]President|VP|Managing\s+Director|Executive\s+Director|General\s+Manager|Head\s+of\s+\w+(?:\s+\w+)?|Director(?:\s+(?:General|of\s+\w+(?:\s+\w+)?))?|Directeur(?:\s+Général)?|Président(?:\s+Directeur\s+Général)?|PDG|DG|(?:Legal|Finance|Operations?|Compliance|Risk|Sales|Marketing)\s+(?:Director|Manager|Lead)?)\b"
+NO_PERSON = ["LINKEDIN", "TWITTER", "YOUTUBE", "FACEBOOK", "INSTAGRAM", "MICROSOFT", "GOOGLE", "SWIFT", "ISO", "SOC", "API", "EMIR", "CSR"]
+NAV_WORDS = "Capital Markets|Insurance|Banking|Solutions|Products|Services|Company|About|Contact|Partners|Resources|News|Blog|Technology|Platform|Clients|Team|Management|Leadership|Careers|Events|Press|Media"
+NAV_LINE = rf"(?i)^(?:Skip to (?:content|main)|(?:{NAV_WORDS})\s*(?:Close|Open)?\s*[>|]?\s*){{3,}}$"
+
+
+def team_leaders(text: Column, persons: Column) -> Column:
+    """array<struct<name, title>>: "First LAST title" in the text, then the landed persons(name, context)
+    with a title beside them; each name once whatever its case."""
+    group = lambda k: F.regexp_extract_all(blank(text), F.lit(PERSON), F.lit(k))
+    told = F.transform(F.arrays_zip(group(1).alias("name"), group(2).alias("title")), lambda x: F.struct(F.trim(x["name"]).alias("name"), F.trim(x["title"]).alias("title")))
+    told = F.filter(told, lambda x: F.char_length(x["name"]) > 5)
+    named = F.transform(F.filter(persons, lambda p: (F.char_length(p["name"]) >= 6) & ~p["name"].rlike(r"[&@#\d]")), lambda p: F.struct(p["name"].alias("name"), F.trim(F.regexp_extract(blank(p["context"]), JOB, 0), F.lit(" .,")).alias("title")))
+    both = F.concat(told, F.filter(F.coalesce(named, F.array().cast("array<struct<name:string,title:string>>")), lambda x: x["title"] != ""))
+    return distinct_by(F.filter(both, lambda x: ~F.upper(x["name"]).isin(NO_PERSON)), lambda x: F.upper(x["name"]))
+
+
+def without_menu(text: Column) -> Column:
+    """A page's text from its own beginning on: after "Careers Home" where that comes late in a compact
+    text, else without the menu lines among its first twenty."""
+    c = blank(text)
+    at = F.regexp_instr(c, F.lit(r"\bCareers\s+Home\b"))
+    compact = F.trim(F.regexp_extract(F.substring(c, at, F.char_length(c)), r"(?s)^Careers\s+(.*)$", 1))
+    lines = F.transform(F.split(c, "\n"), lambda x: F.trim(x))
+    # 0 blank, 1 menu, 2 other; the cut comes after the last menu line before another line follows one
+    kinds = F.transform(F.slice(lines, 1, 20), lambda x: F.when(x == "", 0).when(x.rlike(NAV_LINE), 1).otherwise(2))
+    state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("cut"), F.lit(False).alias("done"))
+
+    def step(s: Column, k: Column) -> Column:
+        here = s["at"] + 1
+        menu = (k == 1) & ~s["done"]
+        return F.struct(here.alias("at"), F.when(menu, here).otherwise(s["cut"]).alias("cut"), (s["done"] | ((k == 2) & (s["cut"] > 0))).alias("done"))
+
+    cut = F.aggregate(kinds, state, step, lambda s: s["cut"])
+    rest = let(cut, lambda n: F.trim(F.array_join(F.slice(F.split(c, "\n"), n + 1, F.size(lines)), "\n"), F.lit(" \n\t\r")))
+    return F.when(at > 301, compact).otherwise(rest)

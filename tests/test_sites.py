@@ -263,3 +263,28 @@ def test_small_sets(spark):
     assert [tuple(r) for r in records.coverage(a.union(b), "k").collect()] == [("x", 2), ("y", 1), ("z", 1)]
     assert records.outcomes(a.union(b), "k").first().of_status == {"x": 2, "y": 1, "z": 1}
     assert [r.k for r in records.pending(a, b, "k").collect()] == ["y"]
+
+
+def test_review_cards_and_units(spark):
+    from siftwell.functions import dom
+
+    html = """<article data-service-review-card-paper=1><span data-consumer-name-typography=1> Ann </span><time datetime="2024-02-01T00:00">1 Feb</time><div data-service-review-rating="4"></div><a href="/r"><h2>Fine <b>shop</b></h2></a><p>short</p><p>a longer text</p><p>l'entreprise a répondu</p></article>
+    <article data-service-review-card-paper=2><img alt="Rated 2 out of 5"><h2>Bad</h2></article>"""
+    data = '<script id="__NEXT_DATA__">{"a":[{"displayName":"Acme","identifyingName":"acme.com","numberOfReviews":{"total":12},"trustScore":4.5},{"x":{"displayName":"Acme","identifyingName":"acme.com"}},{"displayName":"B","identifyingName":"b"},{"displayName":"Cc","identifyingName":"c"}]}</script>'
+    links = '<a href="/review/a.com?x"><span>4,5</span><p>A shop</p></a><a href="/review/a.com">again</a><a href="/review/b.com"></a>'
+    pages = spark.createDataFrame([(1, html), (2, "<p>none</p>"), (3, None), (4, data), (5, links)], "page_id int, html string")
+    got = [tuple(r) for r in dom.latest_cards(pages).orderBy("page_id", "position").collect()]
+    assert got == [(1, 0, "Ann", "2024-02-01T00:00", "1 Feb", "4", "Fineshop", "l'entreprise a répondu", True), (1, 1, "", "", "", "2", "Bad", "", False)]
+    assert [r.position for r in dom.latest_cards(pages, 1).collect()] == [0]
+    assert [tuple(r) for r in dom.units(pages).orderBy("page_id", "position").collect()] == [(4, 0, "Acme", "acme.com", "12", "4,5"), (4, 1, "Cc", "c", "?", "?"), (5, 0, "A shop", "a.com", "?", "?"), (5, 1, "b.com", "b.com", "?", "?")]
+
+
+def test_team_and_menus(spark):
+    from siftwell.functions import profile
+
+    rows = spark.createDataFrame([("Our Sara SANTOS CEO and Bo LI Legal; Sara SANTOS President", [("Ann Leemans", "the new Head of Sales here"), ("SARA santos", "CEO"), ("Nobody Known", "went home"), ("R&D Labs", "CEO")]), (None, None)], "t string, p array<struct<name:string,context:string>>")
+    got = [r[0] for r in rows.select(profile.team_leaders(F.col("t"), F.col("p"))).collect()]
+    assert [tuple(x) for x in got[0]] == [("Sara SANTOS", "CEO"), ("Ann Leemans", "Head of Sales here")] and got[1] == []
+    menu = "About Team Contact\n\nNews > Blog > Press\nReal text\nAbout Team Contact\nmore"
+    assert one(spark, profile.without_menu, menu) == "Real text\nAbout Team Contact\nmore" and one(spark, profile.without_menu, "plain\ntext") == "plain\ntext"
+    assert one(spark, profile.without_menu, "x " * 200 + "Careers Home About us") == "Home About us" and one(spark, profile.without_menu, None) == ""

@@ -88,7 +88,34 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_byte_bpe, op3_toxicity, op4_html_extraction, op5_quality_classifier, op6_quality_rules, op7_warc, op8_benchmark_decontamination, op9_token_counts, op10_secret_scan)}
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwell.llm import simhash
+
+    return simhash.join(table(spark, sf_dir, "documents"))
+
+
+def op12_dimension_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client versions from client_changes; changes with an id of crc32 divisible by 5 took effect 720 hours earlier."""
+    from siftwell.llm import dimension
+
+    changes = table(spark, sf_dir, "client_changes")
+    at = dimension.micros(changes, "valid_at") - F.when(fold_of(F.col("change_id"), 5) == 0, 720 * 3_600_000_000).otherwise(0)
+    attributes = {x: F.col(x) for x in ("source", "segment", "city")} | {"balance_cents": F.floor(100 * F.col("balance") + 0.5).cast("long")}
+    return dimension.versions(changes, "client_id", "change_id", "seq", "op", at, attributes)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, held against texts that lost their line breaks where crc32 of the id is even."""
+    from siftwell.llm import merkle
+
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(x) for x in ("doc_id", "source", "lang", "n_chars", "text")]
+    harmed = F.when(fold_of(F.col("doc_id"), 2) == 0, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    out = merkle.proofs(docs, "source", "doc_id", merkle.leaf(*fields), merkle.leaf(*fields[:-1], harmed))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_byte_bpe, op3_toxicity, op4_html_extraction, op5_quality_classifier, op6_quality_rules, op7_warc, op8_benchmark_decontamination, op9_token_counts, op10_secret_scan, op11_simhash_dedup, op12_dimension_merge, op13_merkle_manifest)}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -156,3 +183,81 @@ WITH d AS (
 )
 SELECT documents.doc_id, n_items IS NOT NULL AS contaminated, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, first_item FROM documents LEFT JOIN found USING (doc_id)
 """
+
+ORACLE_SQL["op12_dimension_merge"] = r"""
+WITH crc AS (
+    SELECT change_id, xor(4294967295, list_reduce(flatten(list_transform(string_split(CAST(change_id AS VARCHAR), ''), lambda d: [CAST(ascii(d) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+        lambda acc, x: xor(xor(acc, x) >> 1, 3988292384 * (xor(acc, x) & 1)), 4294967295)) AS crc
+    FROM (SELECT DISTINCT change_id FROM client_changes)
+), moved AS (
+    SELECT DISTINCT client_id, change_id, seq, op, source, segment, city, CAST(floor(100 * balance + 0.5) AS BIGINT) AS balance_cents,
+        epoch_us(valid_at) - CASE WHEN crc % 5 = 0 THEN 2592000000000 ELSE 0 END AS t
+    FROM client_changes LEFT JOIN crc USING (change_id) WHERE valid_at IS NOT NULL
+), by_seq AS (
+    SELECT * FROM moved QUALIFY row_number() OVER (PARTITION BY client_id, seq ORDER BY change_id DESC NULLS LAST, t DESC) = 1
+), kept AS (
+    SELECT * FROM (SELECT * FROM by_seq QUALIFY row_number() OVER (PARTITION BY client_id, t ORDER BY seq DESC NULLS LAST, change_id DESC NULLS LAST) = 1) WHERE op IN ('D', 'I', 'U')
+), epochs AS (
+    SELECT *, sum(CASE WHEN op IN ('D', 'I') THEN 1 ELSE 0 END) OVER (PARTITION BY client_id ORDER BY t) AS epoch FROM kept
+), states AS (
+    SELECT client_id, t, seq, {'gone': op = 'D',
+        'source': last_value(CASE WHEN op <> 'D' THEN source END IGNORE NULLS) OVER e, 'segment': last_value(CASE WHEN op <> 'D' THEN segment END IGNORE NULLS) OVER e,
+        'city': last_value(CASE WHEN op <> 'D' THEN city END IGNORE NULLS) OVER e, 'cents': last_value(CASE WHEN op <> 'D' THEN balance_cents END IGNORE NULLS) OVER e} AS state
+    FROM epochs WINDOW e AS (PARTITION BY client_id, epoch ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), starts AS (
+    SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY t) AS version, lead(t) OVER (PARTITION BY client_id ORDER BY t) AS until
+    FROM (SELECT *, lag(state) OVER (PARTITION BY client_id ORDER BY t) AS before FROM states) WHERE before IS DISTINCT FROM state
+), held AS (
+    SELECT s.client_id, s.version, count(DISTINCT m.change_id) AS n_changes
+    FROM starts s LEFT JOIN moved m ON m.client_id IS NOT DISTINCT FROM s.client_id AND m.t >= s.t AND (s.until IS NULL OR m.t < s.until)
+    GROUP BY ALL
+)
+SELECT s.client_id, CAST(s.version AS INTEGER) AS version, CAST(floor(s.t / 1000000) AS BIGINT) AS valid_from, CAST(floor(s.until / 1000000) AS BIGINT) AS valid_to, state.gone AS is_deleted,
+    state.source AS source, state.segment AS segment, state.city AS city, state.cents AS balance_cents, s.seq AS first_seq, h.n_changes
+FROM starts s JOIN held h ON s.client_id IS NOT DISTINCT FROM h.client_id AND s.version = h.version
+"""
+
+ORACLE_SQL["op13_merkle_manifest"] = r"""
+WITH RECURSIVE crc AS (
+    SELECT doc_id, xor(4294967295, list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: [CAST(ascii(d) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+        lambda acc, x: xor(xor(acc, x) >> 1, 3988292384 * (xor(acc, x) & 1)), 4294967295)) AS crc
+    FROM (SELECT DISTINCT doc_id FROM documents)
+), parts AS (
+    SELECT doc_id, coalesce('=' || source, '') AS grp, text, CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS harmed,
+        concat(coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-'), coalesce(octet_length(encode(source)) || ':' || source, '-'),
+            coalesce(octet_length(encode(lang)) || ':' || lang, '-'), coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-')) AS head
+    FROM documents LEFT JOIN crc USING (doc_id)
+), leaves AS (
+    SELECT doc_id, grp, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf, sha256(head || coalesce(octet_length(encode(harmed)) || ':' || harmed, '-')) AS claimed
+    FROM parts
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM leaves
+), low(level, grp, rank, digest, n) AS (
+    SELECT 0, grp, rank, leaf, count(*) OVER (PARTITION BY grp) FROM ranked
+    UNION ALL
+    SELECT any_value(level) + 1, grp, rank // 3, sha256(string_agg(digest, '' ORDER BY rank)), (any_value(n) + 2) // 3 FROM low WHERE n > 1 GROUP BY grp, rank // 3
+), subroots AS (
+    SELECT grp, digest, row_number() OVER (ORDER BY encode(grp)) - 1 AS rank FROM low WHERE n = 1
+), high(level, rank, digest, n) AS (
+    SELECT 0, rank, digest, count(*) OVER () FROM subroots
+    UNION ALL
+    SELECT any_value(level) + 1, rank // 3, sha256(string_agg(digest, '' ORDER BY rank)), (any_value(n) + 2) // 3 FROM high WHERE n > 1 GROUP BY rank // 3
+), nodes AS (
+    SELECT level, grp, rank, digest, n FROM low UNION ALL SELECT 1000 + level, NULL, rank, digest, n FROM high
+), runs AS (
+    SELECT level, grp, rank // 3 AS run, any_value(n) AS n, list(digest ORDER BY rank) AS run_nodes FROM nodes GROUP BY ALL
+), climb(doc_id, leaf, grp, level, rank, siblings, folded, done) AS (
+    SELECT doc_id, leaf, grp, 0, rank, '', claimed, false FROM ranked
+    UNION ALL
+    SELECT c.doc_id, c.leaf, c.grp,
+        CASE WHEN r.n > 1 THEN c.level + 1 ELSE 1000 END, CASE WHEN r.n > 1 THEN c.rank // 3 ELSE s.rank END,
+        CASE WHEN r.n > 1 THEN c.siblings || array_to_string(r.run_nodes[1:c.rank % 3], '') || array_to_string(r.run_nodes[c.rank % 3 + 2:3], '') ELSE c.siblings END,
+        CASE WHEN r.n > 1 THEN sha256(array_to_string(r.run_nodes[1:c.rank % 3], '') || c.folded || array_to_string(r.run_nodes[c.rank % 3 + 2:3], '')) ELSE c.folded END,
+        r.n = 1 AND c.level >= 1000
+    FROM climb c JOIN runs r ON r.level = c.level AND r.run = c.rank // 3 AND (r.grp = c.grp OR c.level >= 1000) JOIN subroots s ON s.grp = c.grp
+    WHERE NOT c.done
+)
+SELECT c.doc_id, c.leaf, s.digest AS subroot, t.digest AS root, sha256(c.siblings) AS proof_sha256, c.folded AS folded_root, c.folded = t.digest AS verified
+FROM climb c JOIN subroots s USING (grp) JOIN (SELECT digest FROM high WHERE n = 1) t ON true
+WHERE c.done
+"""

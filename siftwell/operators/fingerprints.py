@@ -1,26 +1,35 @@
 """Technology detection: thousands of fingerprint rules against the signals of pages.
 
 A rule names a technology, a signal (script source, html, header, cookie, meta, script global) and a
-pattern with options (regex, version:..., confidence:..., parted by a backslash and a semicolon).  Rules are data of bounded size: they are
-compiled once in each Python worker, and pages pass through in Arrow batches, one narrow pass without
-a join or shuffle.  A pattern is tried only where the longest literal that any match must hold occurs
-in the signal, so that most of some thousands of rules cost one substring search.
-
-Defined cases: a null or blank page has no technologies; keys of headers and cookies are compared
-without case; an invalid pattern counts as a literal; an empty one as presence.
+pattern with options (regex, version:..., confidence:..., parted by a backslash and a semicolon).
+
+A page is a list of observations (signal, key, text), the rules are rows of a table, and detection is
+their join through an index: by key where a signal has keys, and for free text by one automaton over
+the longest literal that any match of a pattern must hold, so one scan of a text names the rules worth
+trying, however many there are.  Hits are rows (order, confidence, version) again, of which each
+technology takes its best once.  Rules are of bounded size and broadcast; pages pass through in small
+Arrow batches, one narrow pass without a join or shuffle.
+
+Defined cases: a null or blank page has no technologies; keys of headers, cookies and meta elements are
+compared without case; an invalid pattern counts as a literal; an empty one as presence; of equal
+confidences the first rule's counts.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 import re._parser as sre
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 from typing import NamedTuple
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from siftwell.batches import bounded
+
 # Fixed values.
 CATEGORY_FIELDS = {
     "platform": [6, 108], "cms": [1, 11, 51], "frontend_framework": [12, 18, 26, 57], "js_libraries": [59], "css_framework": [66],
@@ -34,34 +43,12 @@ OTHER_SHOP_WEIGHT = 12.0
 LEFT_OUT = ["@sulu/web", "Docusaurus", "HeadJS", "jQuery DevBridge Autocomplete", "jQuery-pjax", "jQuery Migrate", "Moment.js"]
 
 LEAST, IMPLIED, SURE = 0.5, 0.75, 0.9
+#: Of a global: the share of a pattern's confidence that counts, the most that its presence counts, and the shortest name that tells.
+OF_GLOBAL, MOST_GLOBAL, SHORTEST_GLOBAL = 0.85, 0.65, 3
+COOKIE = 0.75
 FIELD_OF = {cat: field for field, cats in CATEGORY_FIELDS.items() for cat in cats}
 
 
-class Pattern(NamedTuple):
-    regex: str  # empty: presence is enough
-    version: str
-    confidence: float
-
-
-def read_pattern(raw) -> Pattern:
-    """A rule's pattern and its options."""
-    text = " ".join(raw) if isinstance(raw, list) else str(raw or "")
-    regex, *options = text.split("\\;")
-    version, confidence = "", 1.0
-    for name, _, value in (o.partition(":") for o in options):
-        if name == "version":
-            version = value
-        elif name == "confidence" and re.fullmatch(r"\s*[+-]?\d+\s*", value):
-            confidence = int(value) / 100
-    if not regex.strip():
-        return Pattern("", version, confidence)
-    try:
-        re.compile(regex, re.I)
-    except re.error:
-        regex = re.escape(regex)
-    return Pattern(regex, version, confidence)
-
-
 def needed_literal(regex: str) -> str:
     """The longest run of characters, in lower case, that every match holds; may be empty."""
     runs, now = [""], ""
@@ -88,50 +75,58 @@ def needed_literal(regex: str) -> str:
     return max([*runs, now], key=len)
 
 
-@dataclass
-class Rule:
+class Rule(NamedTuple):
+    """One row of the rule table; rules of a technology are tried, and count, in their order."""
+
+    tech: str
+    order: int
     signal: str
-    key: str  # of a header, cookie, meta element or script global
-    pattern: Pattern
-    many_cased: bool  # the pattern has capitals: it reads the page as it is
+    key: str  # of a header, cookie or meta element; the name of a global
+    regex: str  # empty: presence is enough
+    version: str
+    confidence: float
+    literal: str  # in lower case, in every match
+    as_written: bool  # the pattern has capitals: versions are read from the text as it is
+
 
-    def __post_init__(self) -> None:
-        self.compiled = re.compile(self.pattern.regex, re.I) if self.pattern.regex else None
-        self.literal = needed_literal(self.pattern.regex) if self.pattern.regex else ""
-        # a pattern that takes anything says no more than that the global is there
-        self.takes_all = not self.pattern.regex or re.search(r"^\(?\.\*\)\??\$?", self.pattern.regex) is not None
+#: The signals in the order in which they count, and whether they are found by key.
+SIGNALS = {"scriptSrc": False, "html": False, "headers": True, "cookies": True, "meta": True, "js": True}
 
-    def find(self, text: str, lower: str) -> re.Match | None:
-        return self.compiled.search(text) if self.literal in lower else None
 
-    def version(self, match: re.Match) -> str:
-        out = self.pattern.version
-        if out:
-            for k, group in enumerate(match.groups(), 1):
-                out = out.replace(f"\\{k}", group or "")
-        return out.strip(" \\").strip()
+def _usable(regex: str) -> str:
+    if not regex.strip():
+        return ""
+    try:
+        re.compile(regex, re.I)
+    except re.error:
+        return re.escape(regex)
+    return regex
+
+
+def rule_table(fingerprints: dict[str, dict], left_out: Iterable[str] = LEFT_OUT) -> list[Rule]:
+    """All rules of all technologies but those left out."""
+    skip, out = set(left_out), []
+    for tech in (t for t in fingerprints if t not in skip):
+        given = fingerprints[tech]
+        raws = [(signal, key, raw) for signal in SIGNALS for key, raws in _entries(given.get(signal)) for raw in ([raws] if SIGNALS[signal] else _listed(raws))]
+        for order, (signal, key, raw) in enumerate(raws):
+            text = " ".join(raw) if isinstance(raw, list) else str(raw or "")
+            pattern, *options = text.split("\\;")
+            option = dict(o.partition(":")[::2] for o in options)
+            percent = re.fullmatch(r"\s*([+-]?\d+)\s*", option.get("confidence", ""))
+            regex = _usable(pattern)
+            key = key.split(".")[0] if signal == "js" else key.lower()
+            if (regex or SIGNALS[signal]) and (signal != "js" or len(key) >= SHORTEST_GLOBAL):
+                out.append(Rule(tech, order, signal, key, regex, option.get("version", ""), int(percent[1]) / 100 if percent else 1.0, needed_literal(regex) if regex else "", signal != "html" or pattern != pattern.lower()))
+    return out
 
 
-def _list(value) -> list:
+def _listed(value) -> list:
     return value if isinstance(value, list) else [] if value is None else [value]
 
 
-def rules_of(fingerprint: dict) -> list[Rule]:
-    """The rules of one technology, most telling signals first."""
-    out = []
-    for signal in ("scriptSrc", "html"):
-        for raw in _list(fingerprint.get(signal)):
-            p = read_pattern(raw)
-            if p.regex:
-                out.append(Rule(signal, "", p, any(c.isupper() for c in str(raw).split("\\;")[0])))
-    for signal in ("headers", "cookies", "meta"):
-        for key, raw in (fingerprint.get(signal) or {}).items():
-            out.append(Rule(signal, key.lower(), read_pattern(raw), False))
-    for name, raw in (fingerprint.get("js") or {}).items():
-        root = name.split(".")[0]
-        if len(root) >= 3:
-            out.append(Rule("js", root, read_pattern(raw), False))
-    return out
+def _entries(value) -> list[tuple[str, object]]:
+    return list(value.items()) if isinstance(value, dict) else [] if value is None else [("", value)]
 
 
 _script = re.compile(r"<script\b([^>]*)>(.*?)</script\s*>", re.I | re.S)
@@ -143,105 +138,142 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _attribute.finditer(raw)}
 
 
-class Signals:
-    """What rules look at on a page."""
-
-    def __init__(self, html: str, headers: dict | None, cookies: dict | None):
-        self.html, self.lower = html, html.lower()
-        self.sources, self.inline = [], []
-        for m in _script.finditer(html):
-            source = _attributes(m[1]).get("src")
-            if source:
-                self.sources.append((source, source.lower()))
-            elif m[2].strip():
-                self.inline.append((m[2], m[2].lower()))
-        named = [_attributes(m[1]) for m in _meta.finditer(html)]
-        self.meta = {(a.get("name") or a.get("property") or "").lower(): a.get("content", "") for a in named}
-        self.headers = {k.lower(): v or "" for k, v in (headers or {}).items()}
-        self.cookies = {k.lower(): v or "" for k, v in (cookies or {}).items()}
-
-    def with_global(self, root: str) -> list[tuple[str, str]]:
-        """The inline scripts that name a global."""
-        return [s for s in self.inline if root in s[0] and re.search(rf"\b{re.escape(root)}\b", s[0])]
-
-
-def match(rules: list[Rule], page: Signals) -> tuple[float, str]:
-    """(best confidence, its version) of one technology; only a higher confidence replaces."""
-    best, version = 0.0, ""
-
-    def hit(confidence: float, found: str = "") -> None:
-        nonlocal best, version
-        if confidence > best:
-            best, version = confidence, found or version
-
-    for rule in rules:
-        confidence = rule.pattern.confidence
-        if rule.signal == "scriptSrc":
-            m = next((m for text, lower in page.sources if (m := rule.find(text, lower))), None)
-            if m:
-                hit(confidence, rule.version(m))
-        elif rule.signal == "html":
-            m = rule.find(page.html if rule.many_cased else page.lower, page.lower)
-            if m:
-                hit(confidence, rule.version(m))
-        elif rule.signal == "js":
-            for text, lower in page.with_global(rule.key):
-                if rule.takes_all:
-                    hit(min(confidence, 0.65))
-                    break
-                m = rule.find(text, lower)
-                if m:
-                    hit(confidence * 0.85, rule.version(m))
-                    break
+class Observation(NamedTuple):
+    signal: str
+    key: str
+    text: str
+
+
+def observations(html: str, headers: dict | None, cookies: dict | None) -> Iterator[Observation]:
+    """What a page shows, signal by signal."""
+    yield Observation("html", "", html)
+    for m in _script.finditer(html):
+        source = _attributes(m[1]).get("src")
+        if source:
+            yield Observation("scriptSrc", "", source)
+        elif m[2].strip():
+            yield Observation("js", "", m[2])
+    metas = [_attributes(m[1]) for m in _meta.finditer(html)]
+    keyed = {"meta": {a.get("name") or a.get("property") or "": a.get("content", "") for a in metas}, "headers": headers or {}, "cookies": cookies or {}}
+    for signal, values in keyed.items():
+        for key, value in {k.lower(): v or "" for k, v in values.items()}.items():
+            if value or signal == "cookies":
+                yield Observation(signal, key, value)
+
+
+def folded(text: str) -> str:
+    """Lower case, as patterns that ignore case compare."""
+    return text.lower().replace("\u017f", "s")
+
+
+class Literals:
+    """Which of many literals a text holds, in one scan."""
+
+    def __init__(self, literals: Iterable[str]):
+        self.scan = ahocorasick.Automaton()
+        for x in literals:
+            if x:
+                self.scan.add_word(x, x)
+        if len(self.scan):
+            self.scan.make_automaton()
+
+    def within(self, text: str) -> set[str]:
+        return {x for _, x in self.scan.iter(text)} if len(self.scan) else set()
+
+
+class Index:
+    """The rules that an observation can match."""
+
+    def __init__(self, rules: list[Rule]):
+        self.by_key, self.by_literal = defaultdict(list), defaultdict(list)
+        for n, rule in enumerate(rules):
+            if SIGNALS[rule.signal]:
+                self.by_key[rule.signal, rule.key].append(n)
+            else:
+                self.by_literal[rule.signal, rule.literal].append(n)
+        self.literals = {s: Literals(x for of, x in self.by_literal if of == s) for s, keyed in SIGNALS.items() if not keyed}
+        self.globals = Literals(key for of, key in self.by_key if of == "js")
+
+    def candidates(self, seen: Observation, lower: str) -> Iterator[int]:
+        if seen.signal == "js":
+            for name in self.globals.within(seen.text):
+                if re.search(rf"\b{re.escape(name)}\b", seen.text):
+                    yield from self.by_key["js", name]
+        elif SIGNALS[seen.signal]:
+            yield from self.by_key.get((seen.signal, seen.key), ())
         else:
-            values = getattr(page, rule.signal)
-            value = values.get(rule.key, "")
-            if not value and not (rule.signal == "cookies" and rule.key in values):
-                continue
-            if rule.compiled is None:
-                hit(confidence or (0.75 if rule.signal == "cookies" else 0.0))
-            elif m := rule.find(value, value.lower()):
-                hit(confidence, rule.version(m))
-    return best, version
+            for literal in ["", *self.literals[seen.signal].within(lower)]:
+                yield from self.by_literal.get((seen.signal, literal), ())
 
 
 class Detector:
-    """All rules, compiled."""
+    """A rule table with its index.  Patterns are compiled when they are first tried."""
 
     def __init__(self, fingerprints: dict[str, dict], left_out: Iterable[str] = LEFT_OUT):
         self.known = fingerprints
-        self.rules = {name: rules for name, f in fingerprints.items() if name not in set(left_out) and (rules := rules_of(f))}
-        self.first = {name: [r for r in rules if r.signal == "scriptSrc"] for name, rules in self.rules.items()}
+        self.rules = rule_table(fingerprints, left_out)
+        self.index = Index(self.rules)
+        self.compiled: dict[int, re.Pattern] = {}
+
+    def hit(self, n: int, seen: Observation, lower: str) -> tuple[float, str] | None:
+        """(confidence, version) if rule ``n`` matches an observation."""
+        rule = self.rules[n]
+        is_global = rule.signal == "js"
+        if not rule.regex or is_global and re.search(r"^\(?\.\*\)\??\$?", rule.regex):  # a pattern that takes anything is presence
+            c = rule.confidence
+            return (min(c, MOST_GLOBAL) if is_global else c or (COOKIE if rule.signal == "cookies" else 0.0)), ""
+        if rule.literal not in lower:
+            return None
+        if n not in self.compiled:
+            self.compiled[n] = re.compile(rule.regex, re.I)
+        m = self.compiled[n].search(seen.text if rule.as_written else lower)
+        if not m:
+            return None
+        version = rule.version
+        for k, group in enumerate(m.groups() if version else (), 1):
+            version = version.replace(f"\\{k}", group or "")
+        return rule.confidence * (OF_GLOBAL if is_global else 1.0), version.strip(" \\").strip()
+
+    def hits(self, page: Iterable[Observation]) -> dict[str, list[tuple[Rule, float, str]]]:
+        """For each technology the hits of its rules in order; a rule hits where it first matches."""
+        found: dict[int, tuple[float, str]] = {}
+        for seen in page:
+            lower = folded(seen.text)
+            for n in self.index.candidates(seen, lower):
+                if n not in found and (hit := self.hit(n, seen, lower)):
+                    found[n] = hit
+        out = defaultdict(list)
+        for n in sorted(found):
+            out[self.rules[n].tech].append((self.rules[n], *found[n]))
+        return out
 
     def detect(self, html: str | None, headers: dict | None = None, cookies: dict | None = None) -> list[tuple[str, float, str, str]]:
         """(technology, confidence, version, field) of a page, implied technologies last."""
         if not html or not html.strip():
             return []
-        page, found = Signals(html, headers, cookies), {}
-        for name, rules in self.rules.items():
-            best = match(self.first[name], page)
-            if best[0] < SURE:  # a sure script source settles it
-                best = match(rules, page)
-            if best[0] >= LEAST:
-                found[name] = best
-        for name in [*found]:
-            for other in _list(self.known[name].get("implies")):
-                other = other.split("\\;")[0]
-                if other in self.known and other not in found:
-                    found[other] = (IMPLIED, "")
-        return [(name, c, v, self.field(name)) for name, (c, v) in found.items()]
-
-    def field(self, name: str) -> str:
-        return next((FIELD_OF[c] for c in self.known[name].get("cats", []) if c in FIELD_OF), "")
+        best = {tech: _best(hits) for tech, hits in self.hits(observations(html, headers, cookies)).items()}
+        found = {tech: best[tech] for tech in self.known if tech in best and best[tech][0] >= LEAST}
+        implied = [other.split("\\;")[0] for tech in found for other in _listed(self.known[tech].get("implies"))]
+        found |= {tech: (IMPLIED, "") for tech in implied if tech in self.known and tech not in found}
+        return [(tech, c, v, self.field(tech)) for tech, (c, v) in found.items()]
+
+    def field(self, tech: str) -> str:
+        return next((FIELD_OF[c] for c in self.known[tech].get("cats", []) if c in FIELD_OF), "")
 
     def shop_weights(self) -> list[tuple[str, float]]:
         """(technology, weight) of those whose categories tell a shop."""
-        out = []
-        for name, f in self.known.items():
-            cats = [c for c in SHOP_CATEGORIES if c in f.get("cats", [])]
-            if cats:
-                out.append((name, max(SHOP_WEIGHTS.get(c, OTHER_SHOP_WEIGHT) for c in cats)))
-        return out
+        cats = {tech: [c for c in SHOP_CATEGORIES if c in f.get("cats", [])] for tech, f in self.known.items()}
+        return [(tech, max(SHOP_WEIGHTS.get(c, OTHER_SHOP_WEIGHT) for c in own)) for tech, own in cats.items() if own]
+
+
+def _best(hits: list[tuple[Rule, float, str]]) -> tuple[float, str]:
+    """The highest confidence, with the version of the last hit that raised it and had one.  Where script
+    sources are sure, nothing else counts."""
+    sources = [h for h in hits if h[0].signal == "scriptSrc"]
+    counted = sources if any(c >= SURE for _, c, _ in sources) else hits
+    before = itertools.accumulate((c for _, c, _ in counted), max, initial=0.0)
+    raised = [(c, v) for (_, c, v), high in zip(counted, before) if c > high]
+    return (raised[-1][0] if raised else 0.0), next((v for _, v in reversed(raised) if v), "")
 
 
 def load(sources: Iterable[dict[str, dict]]) -> dict[str, dict]:
@@ -255,18 +287,16 @@ def load(sources: Iterable[dict[str, dict]]) -> dict[str, dict]:
 def detect(pages: DataFrame, fingerprints: dict[str, dict], left_out: Iterable[str] = LEFT_OUT) -> DataFrame:
     """(page_id, tech, confidence, version, field) of pages(page_id, html[, headers, cookies: maps])."""
     columns = [c for c in ("headers", "cookies") if c in pages.columns]
-    shared = pages.sparkSession.sparkContext.broadcast((fingerprints, tuple(left_out)))  # a rule table, some MB
+    shared = pages.sparkSession.sparkContext.broadcast(Detector(fingerprints, left_out))  # a rule table, some MB
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        detector = Detector(*shared.value)
-        for batch in batches:
-            maps = {c: [dict(m) if m else None for m in batch.column(k + 2).to_pylist()] for k, c in enumerate(columns)}
-            rows = []
-            for k, (page, html) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                rows += [(page, *x) for x in detector.detect(html, *(maps[c][k] if c in maps else None for c in ("headers", "cookies")))]
+        for batch in bounded(batches):
+            values = {name: column.to_pylist() for name, column in zip(batch.schema.names, batch.columns)}
+            maps = [[dict(m or ()) for m in values[c]] if c in values else [None] * batch.num_rows for c in ("headers", "cookies")]
+            rows = [(page, *x) for page, *given in zip(values["page_id"], values["html"], *maps) for x in shared.value.detect(*given)]
             if rows:
-                ids, techs, confidences, versions, fields = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), pa.array(techs, pa.string()), pa.array(confidences, pa.float64()), pa.array(versions, pa.string()), pa.array(fields, pa.string())], ["page_id", "tech", "confidence", "version", "field"])
+                types = [batch.schema.field("page_id").type, pa.string(), pa.float64(), pa.string(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], ["page_id", "tech", "confidence", "version", "field"])
 
     return pages.select("page_id", "html", *columns).mapInArrow(run, f"page_id {dict(pages.dtypes)['page_id']}, tech string, confidence double, version string, field string")
 

@@ -3,13 +3,9 @@
 from __future__ import annotations
 
 import functools
-import json
 import operator
-import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from siftwell.functions import company
 from siftwell.functions.text import blank
@@ -26,6 +22,7 @@ LABELS = [
     ("effectif", ["effectif"]), ("effectif", ["salaries"]), ("effectif", ["employes"]),
 ]
 FIELDS = list(dict.fromkeys(name for name, _ in LABELS))
+# The words of a key that name a figure.
 JSON_FIELDS = [("ca", ["ca", "chiffre", "turnover", "revenue"]), ("resultat_net", ["resultat", "net", "profit", "benefice"])]
 YEAR = r"^20\d{2}$"
 CONTEXT_AMOUNT = r"([\d\s]{3,}(?:,\d+)?\s*(?:€|k€|M€|G€)?)"
@@ -59,42 +56,40 @@ def of_tables(tables: DataFrame) -> DataFrame:
     return values.groupBy("company_id", "year", "field").agg(F.min_by("value", "place").alias("value"))
 
 
-_ENTRIES = ArrayType(StructType([StructField("year", IntegerType()), StructField("field", StringType()), StructField("value", DoubleType())]))
+_NUMBER = "array<struct<year:int,field:string,value:double>>"
+#: A text without escapes as keys and strings, brackets, numbers and words.
+_TOKEN = r'"[^"]*"\s*:?|[{}\[\]]|-?\d[\d.eE+-]*|[a-z]+'
+#: Brackets that are open where a number counts: objects in objects, the outermost perhaps in a list.
+_REACHED = r"^\[?\{+$"
 
 
-@F.pandas_udf(_ENTRIES)
-def _walked(answers: pd.Series) -> pd.Series:
-    def walk(x, out: dict) -> None:
-        if isinstance(x, list):
-            for item in x:
-                if isinstance(item, dict):
-                    walk(item, out)
-        elif isinstance(x, dict):
-            for key, value in x.items():
-                year = re.search(r"20\d{2}", key)
-                if year and isinstance(value, (int, float)):
-                    field = next((f for f, words in JSON_FIELDS if any(w in key.lower() for w in words)), None)
-                    if field:
-                        out[int(year[0]), field] = float(value)
-                if isinstance(value, dict):
-                    walk(value, out)
+def numbers_by_year(answer: Column) -> Column:
+    """array<struct<year, field, value>>: the numbers of a JSON text whose keys name a year and a figure,
+    in order of the text, read in one pass over its tokens.  Those below a list inside an object aren't
+    looked for; none of a text that is no JSON."""
+    text = F.regexp_replace(F.when(F.get_json_object(answer, "$").isNotNull(), answer), r"(?s)\\.", "")
+    tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TOKEN), F.lit(0))
 
-    def entries(answer: str | None) -> list[dict]:
-        found: dict = {}
-        try:
-            walk(json.loads(answer or "null"), found)
-        except ValueError:
-            pass
-        return [{"year": y, "field": f, "value": v} for (y, f), v in found.items()]
+    def read(state: Column, token: Column) -> Column:
+        first, is_open, key = F.substring(token, 1, 1), state["open"], F.lower(state["key"])
+        field = F.coalesce(*[F.when(functools.reduce(operator.or_, [key.contains(w) for w in words]), name) for name, words in JSON_FIELDS])
+        year = F.nullif(F.regexp_extract(key, r"20\d{2}", 0), F.lit("")).cast("int")
+        counts = token.rlike(r"^-?\d") & is_open.rlike(_REACHED) & year.isNotNull() & field.isNotNull()
+        return F.struct(
+            F.when(first.isin("{", "["), F.concat(is_open, first)).when(first.isin("}", "]"), F.left(is_open, F.char_length(is_open) - 1)).otherwise(is_open).alias("open"),
+            F.when(token.endswith(":"), token).alias("key"),
+            F.when(counts, F.concat(state["found"], F.array(F.struct(year.alias("year"), field.alias("field"), token.cast("double").alias("value"))))).otherwise(state["found"]).alias("found"),
+        )
 
-    return answers.map(entries)
+    start = F.struct(F.lit("").alias("open"), F.lit(None).cast("string").alias("key"), F.array().cast(_NUMBER).alias("found"))
+    return F.aggregate(tokens, start, read, lambda state: state["found"])
 
 
 def of_answers(answers: DataFrame) -> DataFrame:
     """answers(company_id, position, json) -> (company_id, year, field, value): numbers whose keys name a
-    year, anywhere in the answer; the last one counts.  An answer that is no JSON has none."""
-    rows = answers.select("company_id", "position", F.explode(_walked("json")).alias("e")).select("company_id", "position", "e.*")
-    return rows.groupBy("company_id", "year", "field").agg(F.max_by("value", "position").alias("value"))
+    year, wherever ``numbers_by_year`` reaches; the last one counts.  An answer that is no JSON has none."""
+    rows = answers.select("company_id", "position", F.posexplode(numbers_by_year(F.col("json"))).alias("nth", "e")).select("company_id", F.struct("position", "nth").alias("place"), "e.*")
+    return rows.groupBy("company_id", "year", "field").agg(F.max_by("value", "place").alias("value"))
 
 
 def of_contexts(contexts: DataFrame) -> DataFrame:

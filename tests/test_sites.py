@@ -1,5 +1,7 @@
 """Links, fingerprints, articles and matching on written cases."""
 
+import re
+import timeit
 from urllib.parse import urljoin
 
 import pytest
@@ -288,3 +290,53 @@ def test_team_and_menus(spark):
     menu = "About Team Contact\n\nNews > Blog > Press\nReal text\nAbout Team Contact\nmore"
     assert one(spark, profile.without_menu, menu) == "Real text\nAbout Team Contact\nmore" and one(spark, profile.without_menu, "plain\ntext") == "plain\ntext"
     assert one(spark, profile.without_menu, "x " * 200 + "Careers Home About us") == "Home About us" and one(spark, profile.without_menu, None) == ""
+
+
+def many_rules(n):
+    """n rules of all signals, and pages that hold what some of them look for."""
+    rules = {}
+    for k in range(n):
+        rules[f"T{k}"] = {"cats": [1 + k % 60], "scriptSrc": rf"lib{k}[.-](\d+)\.js\;version:\1", "html": [rf"data-lib{k}=[\"']?(\w+)\;confidence:60\;version:\1", rf"<i>lib{k}</i>"], "headers": {f"X-Lib{k}": r"v(\d)\;version:\1"}, "cookies": {f"_c{k}": ""}, "meta": {"generator": rf"^Lib{k} ?([\d.]+)?\;version:\1"}, "js": {f"Lib{k}.v": ""}, "implies": [rf"T{(k * 7 + 1) % n}\;confidence:50"] if k % 5 == 0 else []}
+    rules["Loose"] = {"html": r"(?:foo|bar)+x|\d{9}", "scriptSrc": "(["}
+    pages = []
+    for k in range(0, n, 3):
+        pages.append((f'<script src="/LIB{k}-{k}.js"></script><p data-lib{k + 1}="a{k}"><I>lib{k + 2}</I> fooBARx<meta name="Generator" content="lib{k + 1} 2.{k}"><script>var Lib{k + 1} = 1; notLib{k}a()</script>', {f"x-LIB{k}": "v7", f"x-lib{k + 2}": ""}, {f"_C{k + 2}": ""}))
+    return rules, pages + [("plain page, Kelvin and lonſ", None, None)]
+
+
+def test_index_changes_no_result(monkeypatch):
+    rules, pages = many_rules(120)
+    found = [fingerprints.Detector(rules).detect(*p) for p in pages]
+
+    def every_rule(self, seen, lower):
+        return [n for n, r in enumerate(rules_of) if r.signal == seen.signal and (r.key == seen.key if seen.signal in ("headers", "cookies", "meta") else r.signal != "js" or re.search(rf"\b{r.key}\b", seen.text))]
+
+    plain = fingerprints.Detector(rules)
+    rules_of = [r._replace(literal="") for r in plain.rules]
+    plain.rules = rules_of
+    monkeypatch.setattr(fingerprints.Index, "candidates", every_rule)
+    assert found == [plain.detect(*p) for p in pages] and sum(map(len, found)) > 200
+    assert {("T0", 1.0, "0"), ("T1", 1.0, "2.0"), ("T2", 1.0, ""), ("Loose", 1.0, "")} <= {x[:3] for x in found[0]}
+
+
+def test_detection_cost_hardly_grows_with_rules():
+    """Ten times the rules take far less than ten times the time; with one test a rule it is ten."""
+    page = ("<p>" + "Some words of a page that holds no library at all. " * 400, None, None)
+    times = []
+    for n in (300, 3000):
+        detector = fingerprints.Detector(many_rules(n)[0])
+        detector.detect(*page)
+        times.append(min(timeit.repeat(lambda: detector.detect(*page), number=5, repeat=5)))
+    assert times[1] < 4 * times[0]
+
+
+@pytest.mark.parametrize("answer,want", [
+    ('{"z": {"ca_2023": 1}, "ca_2023": 2, "net-2022": -1.5e3}', [(2023, "ca", 1.0), (2023, "ca", 2.0), (2022, "resultat_net", -1500.0)]),
+    ('[{"turnover2021": 5}, [{"ca2021": 6}], 7, {"a": {"b": {"profit 2020": 8}}}]', [(2021, "ca", 5.0), (2020, "resultat_net", 8.0)]),
+    ('{"a": [{"ca_2023": 1}], "ca_2024": [9], "ca_2025": "10", "ca_2026": null, "other_2023": 4, "ca_1999": 3, "x": "\\"ca_2020\\": 5, {", "y\\\\": 1, "ca_2019": 6}', [(2019, "ca", 6.0)]),
+    ("[]", []), ("no json", []), ('{"ca_2023": 1', []), ("", []), (None, []), ("5", []), ('"ca_2023"', []),
+])
+def test_numbers_by_year(spark, answer, want):
+    from siftwell.operators import registry
+
+    assert [tuple(x) for x in one(spark, registry.numbers_by_year, answer)] == want

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siftwell.operators import fingerprints, registry
+from siftwell.operators import discovery, fingerprints, registry
 from siftwell.plans.catalog import _t, query
 
 #: Technologies of the example, each with a rule of every signal.
@@ -87,3 +87,63 @@ def history_of_answers(spark, sf_dir):
     kinds = f"""CASE c_custkey % 4 WHEN 0 THEN concat('{{"data": ', {inner}, '}}') WHEN 1 THEN concat('[', {inner}, ', 5]')
         WHEN 2 THEN concat('{{"rows": [', {inner}, ']}}') ELSE concat('{{"CA {{', {year}, '": ', {v}, ', "z": {{"turnover', {year}, '": ', {v} + 2, '}}}}') END"""
     return registry.of_answers(_t(spark, sf_dir, "customer").selectExpr("c_custkey AS company_id", "0 AS position", f"{kinds} AS json"))
+
+
+@query("""
+WITH RECURSIVE m AS (
+    SELECT c_custkey AS i, (CASE WHEN c_custkey % 11 = 0 THEN 'https://s/shop' ELSE 'https://s/blog' END) || c_custkey AS map FROM customer
+), below AS (
+    SELECT m.i, c.map FROM m JOIN m c ON c.i IN (2 * m.i, 2 * m.i + 1, m.i // 3) WHERE c.i % 11 <> 0
+), reach(root, i) AS (
+    SELECT map, i FROM m WHERE i IN (1, 6, 22)
+    UNION SELECT r.root, c.i FROM reach r JOIN below b ON b.i = r.i JOIN m c ON c.map = b.map
+)
+SELECT DISTINCT root, 'https://s/p/' || p AS url FROM (SELECT root, unnest([i, i % 50]) AS p FROM reach)""")
+def sitemap_pages(spark, sf_dir):
+    """Maps that list two others each, and one back up, so that there are cycles; some ten levels deep."""
+    i = F.col("c_custkey")
+    name = lambda k: F.concat(F.when(k % 11 == 0, "https://s/shop").otherwise("https://s/blog"), k.cast("string"))
+    maps = _t(spark, sf_dir, "customer").select(name(i).alias("parent"), i)
+    entry = lambda kind, url: F.struct(F.lit(kind).alias("kind"), url.alias("url"))
+    up = F.floor(i / 3).cast("long")
+    listed = F.array(entry("sitemap", name(2 * i)), entry("sitemap", name(2 * i + 1)), entry("sitemap", name(up)), *[entry("url", F.concat(F.lit("https://s/p/"), p.cast("string"))) for p in (i, i % 50)])
+    entries = maps.select("parent", F.explode(listed).alias("e")).select("parent", "e.*")
+    roots = maps.where("c_custkey in (1, 6, 22)").select(F.col("parent").alias("root"))
+    return discovery.sitemap_closure(entries, roots)
+
+
+def example_sites(spark, sf_dir):
+    """(sites, pages, entries) of a site for each customer: what it has follows from its number."""
+    k = _t(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "concat('https://s', c_custkey, '.com') AS site")
+    links = lambda path, n: f"array_join(transform(filter(sequence(0, 40), j -> j < {n}), j -> concat('<a href=\"{path}', j, '\">t</a>')), ' ')"
+    pad = "repeat('.', 600)"
+    nav = "concat('<nav>', IF(k % 3 = 0, '<a href=\"/news\">All News</a>', ''), IF(k % 2 = 0, '<a href=\"/learn/more?x=1\">Topics</a>', ''), '<a href=\"/contact\">Contact</a></nav>')"
+    page = lambda where, path, html: (where, f"named_struct('url', concat(site, '{path}'), 'html', concat({html}, {pad}))")
+    made = [
+        page("true", "/", f"{nav}, {links('/home/a', 'k % 4')}"),
+        page("k % 3 = 0", "/news", f"'<nav><a href=\"', IF(k % 5 = 0, '/news/page/2/', '/x'), '\">Next</a></nav>', {links('/news/x', 'k % 20')}"),
+        page("k % 5 = 0", "/news/page/2/", links("y", "k % 15")), page("k % 10 = 0", "/news/page/3/", links("z", "6")),
+        page("k % 2 = 0", "/learn/more", links("/learn/w", "k % 9")), page("k % 7 = 0", "/blog", f"'<header><a href=\"/blog/no\">x</a></header>', {links('/blog/b', '4')}"),
+    ]
+    pages = k.selectExpr(f"explode(filter(array({', '.join(f'IF({w}, {p}, null)' for w, p in made)}), p -> p is not null)) AS p").select("p.*")
+    entries = k.where("k % 4 = 1").selectExpr("concat(site, '/sitemap.xml') AS parent", "'url' AS kind", "explode(filter(sequence(0L, 40L), j -> j < k % 35)) AS j", "site").selectExpr("parent", "kind", "concat(site, '/post/s', j) AS url")
+    return k.select("site"), pages, entries
+
+
+@query("""
+WITH s AS (
+    SELECT c_custkey AS k, 'https://s' || c_custkey || '.com' AS site FROM customer
+), j AS (
+    SELECT unnest(range(40)) AS j
+), c AS (
+    SELECT k, site, 0 AS tier, '' AS section, 0 AS n, 0 AS j, site || '/post/s' || j AS url FROM s, j WHERE k % 4 = 1 AND j < k % 35
+    UNION ALL SELECT k, site, 1, '/news', 1, j, site || '/news/x' || j FROM s, j WHERE k % 3 = 0 AND j < k % 20
+    UNION ALL SELECT k, site, 1, '/news', 2, j, site || '/news/page/2/y' || j FROM s, j WHERE k % 15 = 0 AND j < k % 15
+    UNION ALL SELECT k, site, 1, '/news', 3, j, site || '/news/page/3/z' || j FROM s, j WHERE k % 30 = 0 AND j < 6
+    UNION ALL SELECT k, site, 1, '/blog', 1, j, site || '/blog/b' || j FROM s, j WHERE k % 7 = 0 AND j < 4
+    UNION ALL SELECT k, site, 2, '/learn', 1, j, site || '/learn/w' || j FROM s, j WHERE k % 2 = 0 AND j < k % 9
+    UNION ALL SELECT k, site, 3, '', 1, j, site || '/home/a' || j FROM s, j WHERE j < k % 4 AND k % 3 <> 0 AND k % 7 <> 0 AND NOT (k % 4 = 1 AND k % 35 > 0) AND NOT (k % 2 = 0 AND k % 9 > 0)
+)
+SELECT site, url, tier, CAST(nth AS INTEGER) AS nth FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY tier, section, n, j, url) AS nth FROM c) WHERE nth <= 25""")
+def discover_articles(spark, sf_dir):
+    return discovery.discover(*example_sites(spark, sf_dir))

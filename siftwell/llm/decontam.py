@@ -112,4 +112,4 @@ def flags(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without an overlap, all columns as they were."""
     found = stored(report(docs, benchmark).select("doc_id"), "leaks")
-    return docs.join(_small(found), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(_small(found), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -110,9 +110,13 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """rows(bucket, print, left) -> the same, one for each block of the bits left."""
-    masks = stored(rows.select("left").distinct().withColumn("mask", F.explode(_masks(F.col("left")))), "masks")
-    rows = rows.join(_few(masks), "left")
+    """rows(bucket, print[, left]) -> the same, one for each block of the bits left; all are at first."""
+    if "left" in rows.columns:
+        masks = stored(rows.select("left").distinct().withColumn("mask", F.explode(_masks(F.col("left")))), "masks")
+        rows = rows.join(_few(masks), "left")
+    else:
+        all_bits = F.lit(-1).cast("long")
+        rows = rows.select("bucket", "print", all_bits.alias("left"), F.explode(_masks(all_bits)).alias("mask"))
     return rows.select(F.xxhash64("bucket", "mask", F.col("print").bitwiseAND(F.col("mask"))).alias("bucket"), "print", F.col("left").bitwiseAND(F.bitwise_not("mask")).alias("left"))
 
 
@@ -166,7 +170,7 @@ def _marked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bool, list | No
 
 def links(prints: DataFrame) -> DataFrame:
     """prints(print), distinct -> (a, b): links of at most NEAR bits that tie together all that links."""
-    rows = prints.select(F.lit(0).cast("long").alias("bucket"), "print", F.lit(-1).cast("long").alias("left"))
+    rows = prints.select(F.lit(0).cast("long").alias("bucket"), "print")
     found = None
     while True:
         dealt = stored(_dealt(rows), "blocks")

@@ -224,9 +224,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_clean(docs: DataFrame, model: Model, limit: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` whose score is under ``limit``, all columns as they were."""
+    """The rows of ``docs`` whose score is under ``limit``, all columns as they were, whatever their names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unload()
@@ -234,4 +235,4 @@ def keep_clean(docs: DataFrame, model: Model, limit: float = 0.7) -> DataFrame:
         for batch in small_batches(batches):
             yield batch.filter(pa.array([scorer.score(t) < limit for t in batch.column(at).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from siftwell.functions.text import blank, let
 
@@ -87,3 +92,34 @@ def page(c: Column) -> Column:
         return F.struct(F.when(ok, "ok").otherwise("failed").alias("status"), F.when(ok, plain(cleaned)).alias("clean_text"), F.when(ok, paragraphs(cleaned)).alias("paragraphs"))
 
     return let(clean(c), told)
+
+
+#: A bracket, or one that closes a link's text with the address that follows.
+_mark = re.compile(r"\[|\](?:\((https?://[^)\s]+)\))?")
+_LINK = ArrayType(StructType([StructField("start", IntegerType()), StructField("size", IntegerType()), *[StructField(x, StringType()) for x in ("text", "url", "near")]]))
+
+
+def scan_links(markdown: str, window: int = 80) -> list[tuple[int, int, str, str, str]]:
+    """(start, size, text, url, near) of the links to web pages, by start, in one pass.
+
+    A link's text begins at the bracket that its closing one belongs to, so a linked image is a link,
+    with the image inside it.  Places are code points from 0; ``near`` is the text with ``window``
+    code points on either side.
+    """
+    opened: list[int] = []
+    found = []
+    for m in _mark.finditer(markdown):
+        if m[0] == "[":
+            opened.append(m.start())
+        elif opened:
+            start = opened.pop()
+            if m[1]:
+                found.append((start, m.end() - start, markdown[start + 1 : m.start()].strip(), m[1], markdown[max(0, start - window) : m.end() + window]))
+    return sorted(found)
+
+
+@F.pandas_udf(_LINK)
+def links(markdown: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The links of markdown texts; none for null."""
+    for batch in markdown:
+        yield batch.map(lambda text: [dict(zip(("start", "size", "text", "url", "near"), x)) for x in scan_links(text or "")])

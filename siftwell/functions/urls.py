@@ -14,6 +14,8 @@ UNWANTED_TOKENS = ["privacy", "cookie", "cookies", "legal", "mentions", "terms",
 UNWANTED_PARTS = ["accueil"]
 EXTERNAL = ["facebook.com", "twitter.com", "instagram.com", "youtube.com", "linkedin.com", "google.com", "apple.com", "play.google.com", "maps.google", "goo.gl", "bit.ly", "tiktok.com", "pinterest.com", "whatsapp.com", "telegram.org", "adroll.com"]
 
+ASSET_EXTENSIONS = "png|jpg|jpeg|svg|gif|webp|avif|pdf|ico|mp4|mp3|zip|css|js|woff|woff2"
+
 
 def _strip_slashes(c: Column) -> Column:
     return F.regexp_replace(c, "/+$", "")
@@ -113,6 +115,11 @@ def absolute(href: Column, page: Column) -> Column:
     )
 
 
+def asset(url: Column) -> Column:
+    """A file that a page shows or loads, by its extension."""
+    return F.lower(path(url)).rlike(rf"\.(?:{ASSET_EXTENSIONS})$")
+
+
 def is_web(url: Column) -> Column:
     return blank(url).rlike("(?i)^https?://")
 

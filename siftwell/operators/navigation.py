@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from siftwell.functions import urls
+from siftwell.functions import markdown, urls
 from siftwell.functions.text import any_of, blank, squeeze
 
 # Fixed values.
@@ -31,10 +31,14 @@ def rule_category(text: Column, slug: Column) -> Column:
     return F.coalesce(*[F.when(any_of(joined, words), name) for name, words in LINK_RULES])
 
 
-def context(markdown: Column, start: Column, size: Column, window: int = 80) -> Column:
+def context(text: Column, start: Column, size: Column, window: int = 80) -> Column:
     """What stands within ``window`` code points of a place (from 0), without markdown."""
     low = F.greatest(start - window, F.lit(0))
-    c = F.substring(blank(markdown), low + 1, start + size + window - low)
+    return plain_context(F.substring(blank(text), low + 1, start + size + window - low))
+
+
+def plain_context(c: Column) -> Column:
+    """A piece of markdown without its signs."""
     for pattern, by in [(r"\[([^\]]*)\]\([^)]+\)", "$1"), (r"!\[[^\]]*\]\([^)]+\)", ""), (r"#{1,4}\s*", ""), ("[*_`]", "")]:
         c = F.regexp_replace(c, pattern, by)
     return squeeze(c)
@@ -81,6 +85,24 @@ def pick_links(scored: DataFrame, priority: list[str], per_category: int = 2, pe
     return kept.drop("order", "late", "nth")
 
 
+def markdown_links(pages: DataFrame, internal_only: bool = True) -> DataFrame:
+    """pages(page_id, url, markdown) -> (page_id, url, href, text, slug, near, start, size, position, is_internal):
+    the links of markdown that may be worth following, of each address the first; ``near`` is their context.
+
+    Assets, other services, language switches, links without text and path and those to legal pages and
+    the like are left out, and with ``internal_only`` those of other hosts.  A link around an image has
+    the image's text.  Null markdown has no links; rows that repeat a page count once.
+    """
+    found = pages.select("page_id", "url", F.posexplode(markdown.links("markdown")).alias("position", "l"))
+    found = found.select("page_id", "url", "position", "l.start", "l.size", F.trim(F.regexp_replace("l.text", r"!?\[([^\[\]]*)\](?:\([^)]*\))?", "$1")).alias("text"), "l.near", urls.normalized(F.regexp_replace("l.url", r"[) ]+$", "")).alias("href"))
+    slug = urls.slug(F.col("href"))
+    ok = ~urls.asset(F.col("href")) & ~urls.external(F.col("href")) & ~urls.locale_only(F.col("href")) & ((F.col("text") != "") | (slug != "")) & ~urls.unwanted(F.col("text"), slug)
+    is_internal = urls.internal(F.col("href"), F.col("url"))
+    kept = found.where(ok & is_internal if internal_only else ok)
+    first = kept.groupBy("page_id", "href").agg(F.min_by(F.struct("url", "text", slug.alias("slug"), "near", "start", "size", "position", is_internal.alias("is_internal")), "start").alias("l"))
+    return first.select("page_id", "href", "l.*").withColumn("near", plain_context(F.col("near")))
+
+
 def link_maps(picked: DataFrame) -> DataFrame:
     """(page_id, links): the first link of each category, as a map of structs (url, text, score, source)."""
     first = picked.groupBy("page_id", "category").agg(F.min_by(F.struct(F.col("href").alias("url"), "text", "score", "source"), "rank").alias("link"))

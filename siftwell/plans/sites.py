@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siftwell.operators import discovery, fingerprints, registry
-from siftwell.plans.catalog import _t, query
+from siftwell.functions import urls
+from siftwell.operators import discovery, fingerprints, navigation, registry
+from siftwell.plans.catalog import _list, _t, query
 
 #: Technologies of the example, each with a rule of every signal.
 N_TECHS = 50
@@ -147,3 +148,29 @@ WITH s AS (
 SELECT site, url, tier, CAST(nth AS INTEGER) AS nth FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY tier, section, n, j, url) AS nth FROM c) WHERE nth <= 25""")
 def discover_articles(spark, sf_dir):
     return discovery.discover(*example_sites(spark, sf_dir))
+
+
+_linked = "regexp_replace(replace(text, '[', '('), ' ([a-z]{7}) ', ' [%1](https://s.com/a/%1) ' %g)"
+
+
+@query(rf"""
+WITH m AS (
+    SELECT doc_id, {_linked.replace('%1', chr(92) + '1').replace('%g', ", 'g'")} AS md FROM documents
+), pieces AS (
+    SELECT doc_id, md, unnest(regexp_split_to_array(md, '\[[a-z]+\]\(https://s\.com/a/[a-z]+\)')) AS piece, unnest(regexp_extract_all(md, '\[[a-z]+\]\(https://s\.com/a/[a-z]+\)')) AS link, unnest(range(length(md))) AS k FROM m
+), placed AS (
+    SELECT doc_id, md, regexp_extract(link, '[a-z]+') AS word, length(link) AS size, k,
+        CAST(sum(length(piece)) OVER w + coalesce(sum(length(link)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+    FROM pieces WHERE link IS NOT NULL WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+), ok AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, word ORDER BY start) AS nth FROM placed WHERE len(list_intersect([word], {_list(urls.UNWANTED_TOKENS)})) = 0 AND word <> 'accueil'
+)
+SELECT doc_id AS page_id, 'https://s.com/a/' || word AS href, word AS text, 'a ' || word AS slug, CAST(start AS INTEGER) AS start, CAST(size AS INTEGER) AS size, CAST(k AS INTEGER) AS position,
+    trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(substr(md, greatest(start - 80, 0) + 1, start + size + 80 - greatest(start - 80, 0)),
+        '\[([^\]]*)\]\([^)]+\)', '\1', 'g'), '!\[[^\]]*\]\([^)]+\)', '', 'g'), '#{{1,4}}\s*', '', 'g'), '[*_`]', '', 'g'), '\s+', ' ', 'g')) AS near
+FROM ok WHERE nth = 1""")
+def markdown_links(spark, sf_dir):
+    """Every word of seven letters between spaces is a link."""
+    md = _linked.replace("%1", "$1").replace("%g", "")
+    pages = _t(spark, sf_dir, "documents").selectExpr("doc_id AS page_id", "'https://www.s.com/' AS url", f"{md} AS markdown")
+    return navigation.markdown_links(pages).select("page_id", "href", "text", "slug", "start", "size", "position", "near")

@@ -7,7 +7,7 @@ from urllib.parse import urljoin
 import pytest
 from pyspark.sql import functions as F
 
-from siftwell.functions import articles, urls
+from siftwell.functions import articles, markdown, urls
 from siftwell.operators import fingerprints, market, matching, navigation
 
 
@@ -340,3 +340,21 @@ def test_numbers_by_year(spark, answer, want):
     from siftwell.operators import registry
 
     assert [tuple(x) for x in one(spark, registry.numbers_by_year, answer)] == want
+
+
+def test_markdown_links(spark):
+    md = "# Menu\n[About *us*](https://acme.com/about) [![Team photo](https://cdn.x/t.png)](https://www.acme.com/our-team/) [see [our] work](https://acme.com/work#top) ![pic](https://acme.com/pic) [x](/rel) ] [](https://acme.com/) [fr](https://acme.com/fr-fr/) [Again](https://acme.com/about/) [Out](https://other.org/x) [Fb](https://facebook.com/acme) [Mentions legal](https://acme.com/legal) [open"
+    pages = spark.createDataFrame([(1, "https://www.acme.com", md), (1, "https://www.acme.com", md), (2, "https://b.org", None), (3, None, "[a](https://c.org/a_b.html)")], "page_id long, url string, markdown string")
+    rows = navigation.markdown_links(pages).orderBy("page_id", "start").collect()
+    assert [(r.page_id, r.href, r.text, r.slug) for r in rows] == [(1, "https://acme.com/about", "About *us*", "about"), (1, "https://www.acme.com/our-team", "Team photo", "our team"), (1, "https://acme.com/work", "see our work", "work"), (1, "https://acme.com/pic", "pic", "pic"), (3, "https://c.org/a_b.html", "a", "a b")]
+    assert rows[0].near == "Menu About us Team photo](https://www.acme.com/our-team/"[: len(rows[0].near)] or rows[0].near.startswith("Menu About us")
+    assert md[rows[1].start : rows[1].start + rows[1].size] == "[![Team photo](https://cdn.x/t.png)](https://www.acme.com/our-team/)"
+    assert {r.href for r in navigation.markdown_links(pages, internal_only=False).collect()} - {r.href for r in rows} == {"https://other.org/x"}
+
+
+def test_scanning_links_takes_linear_time():
+    one = "word [a [b] c](https://x.org/1) [[[ ]] ![i](https://x.org/i) "
+    times = []
+    for n in (1000, 16_000):  # the longer one is a page of 1 MB
+        times.append(min(timeit.repeat(lambda: markdown.scan_links(one * n), number=1, repeat=3)))
+    assert times[1] < 16 * 3 * times[0] and len(markdown.scan_links(one * 16_000)) == 32_000

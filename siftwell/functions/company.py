@@ -95,7 +95,11 @@ def domain_score(query: Column, website: Column, spelled: Column | None = None)
     """1 for the same root, .85 where one contains the other, .6 for the same brand, .4 where brands are
     spelled alike (``spelled``, the ratio of siftwell.functions.fuzzy, over .85), else 0."""
     found = domain(website)
-    q, c = root_domain(query), root_domain(found)
+    return hosts_score(query, root_domain(query), found, root_domain(found), spelled)
+
+
+def hosts_score(query: Column, q: Column, found: Column, c: Column, spelled: Column | None = None) -> Column:
+    """``domain_score`` of two domains and their roots."""
     brand = lambda r: F.substring_index(r, ".", 1)
     alike = spelled > 0.85 if spelled is not None else F.lit(False)
     return F.when((query == "") | (found == ""), 0.0).when(q == c, 1.0).when(found.contains(query) | query.contains(found), 0.85).when((brand(q) != "") & (brand(q) == brand(c)), 0.6).when(alike, 0.4).otherwise(0.0)

@@ -18,6 +18,10 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def name_score(query: Column, candidate: Column) -> Column:
     """1 for equal names, .9 where one contains the other, else a mix of spelling and shared words."""
-    q, c = plain_name(query), plain_name(candidate)
+    return plain_score(plain_name(query), plain_name(candidate))
+
+
+def plain_score(q: Column, c: Column) -> Column:
+    """``name_score`` of names that ``plain_name`` has been applied to."""
     near = F.round(0.6 * ratio(q, c) + 0.4 * jaccard(q, c), 4)
     return F.when((q == "") | (c == ""), 0.0).when(q == c, 1.0).when(q.contains(c) | c.contains(q), 0.9).otherwise(near)

@@ -1,4 +1,4 @@
-"""Companies against market quotes and registry entries: blocked joins, scores, the best candidate, routing."""
+"""Companies against market quotes and registry entries: joins of alike names, scores, the best candidate, routing."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siftwell.functions import company, fuzzy, urls
 from siftwell.functions.text import blank
+from siftwell.operators import names
 
 # Fixed values.
 ISO2 = {
@@ -25,8 +26,8 @@ def iso2(country: Column) -> Column:
     """The two letters of a country that is known by name; empty if it isn't."""
     name = company.plain_words(country)
     out = F.when(F.lit(False), "")
-    for code, names in ISO2.items():
-        out = out.when(name.isin(names), code)
+    for code, known in ISO2.items():
+        out = out.when(name.isin(known), code)
     return out.otherwise("")
 
 
@@ -54,30 +55,56 @@ def level(score: Column) -> Column:
     return F.when(score >= 0.80, "excellent").when(score >= 0.60, "bon").when(score.isNotNull(), "moyen")
 
 
-def _blocks(brand: Column, name: Column) -> Column:
-    """The keys by which companies and quotes are brought together: the brand of a domain and the words of
-    a name.  A candidate that shares none isn't found, as it wouldn't be by a search."""
-    words = F.filter(F.split(company.plain_name(name), " "), lambda w: F.char_length(w) >= 3)
-    return F.array_distinct(F.filter(F.concat(F.array(brand), words), lambda k: k != ""))
+def _words(name: Column) -> Column:
+    return F.filter(F.split(company.plain_name(name), " "), lambda w: F.char_length(w) >= 3)
+
+
+def _scored(companies: DataFrame, quotes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes of companies that score alike (one_of, company_id), and their candidates (one_of, symbol,
+    score, method).  Quotes that score alike are one, the first symbol."""
+    asked = companies.select("company_id", blank(F.col("name")).alias("name"), urls.company_domain(F.col("url")).alias("domain"), iso2(F.col("country")).alias("iso"))
+    traits = ["name", "domain", "iso"]
+    root = lambda d: urls.root_domain(F.col(d))
+    brand = lambda r: F.substring_index(r, ".", 1)
+    # what scores need is made once for a class, before the join
+    classes = asked.groupBy(*traits).agg(F.min("company_id").alias("one_of"))
+    called = F.when(F.col("name") == "", brand("root")).otherwise(F.col("name"))
+    known = classes.withColumn("root", root("domain")).withColumn("plain", company.plain_name(called))
+    members = asked.join(classes, traits).select("one_of", "company_id")
+    told = ["longname", "shortname", "exchange", "quote_type", "website"]
+    offers = quotes.groupBy(*told).agg(F.min("symbol").alias("symbol")).withColumn("found", urls.domain(F.col("website"))).withColumn("found_root", root("found"))
+    offers = offers.withColumns({"plain_long": company.plain_name(F.col("longname")), "plain_short": company.plain_name(F.col("shortname"))})
+
+    def sets(df: DataFrame, key: str, of_root: str, *plain: str) -> DataFrame:
+        words = [F.filter(F.split(n, " "), lambda w: F.char_length(w) >= 3) for n in plain]
+        return df.select(F.col(key).alias("id"), F.explode(F.array(F.array(brand(of_root)), *words)).alias("words"))
+
+    found = names.pairs(sets(known, "one_of", "root", "plain"), sets(offers, "symbol", "found_root", "plain_long", "plain_short"))
+    found = found.select(F.col("left_id").alias("one_of"), F.col("right_id").alias("symbol")).join(known, "one_of").join(offers, "symbol")
+    found = found.withColumn("long", fuzzy.plain_score(F.col("plain"), F.col("plain_long"))).withColumn("short", fuzzy.plain_score(F.col("plain"), F.col("plain_short")))
+    found = found.withColumn("spelled", fuzzy.ratio(brand("root"), brand("found_root")))
+    by_name = F.greatest("long", "short")
+    by_domain = company.hosts_score(F.col("domain"), F.col("root"), F.col("found"), F.col("found_root"), F.col("spelled"))
+    found = found.select("one_of", "symbol", "domain", by_name.alias("by_name"), by_domain.alias("by_domain"), company.exchange_score(F.col("exchange"), F.col("iso")).alias("of_exchange"), company.type_score(F.col("quote_type")).alias("of_kind"))
+    by_name = F.col("by_name")
+    score = match_score(F.col("by_domain"), by_name, F.col("of_exchange"), F.col("of_kind"))
+    method = F.when((F.col("domain") != "") & (by_name >= PREFILTER), "domain").otherwise("name_country")
+    return members, found.select("one_of", "symbol", score.alias("score"), method.alias("method"))
 
 
 def quote_candidates(companies: DataFrame, quotes: DataFrame) -> DataFrame:
     """companies(company_id, url, name, country) with the quotes(symbol, longname, shortname, exchange,
-    quote_type, website) that share a key: (company_id, symbol, score, method)."""
-    domain = urls.company_domain(F.col("url"))
-    brand = lambda d: F.substring_index(urls.root_domain(d), ".", 1)
-    left = companies.select("company_id", "name", domain.alias("domain"), iso2(F.col("country")).alias("iso"), F.explode(_blocks(brand(domain), F.col("name"))).alias("key"))
-    found = urls.domain(F.col("website"))
-    right = quotes.select("symbol", "longname", "shortname", "exchange", "quote_type", "website", F.explode(_blocks(brand(found), F.concat_ws(" ", "longname", "shortname"))).alias("key"))
-    pairs = left.join(right, "key").drop("key").dropDuplicates(["company_id", "symbol"])
-    called = F.when(blank(F.col("name")) == "", brand(F.col("domain"))).otherwise(F.col("name"))
-    pairs = pairs.withColumn("long", fuzzy.name_score(called, F.col("longname"))).withColumn("short", fuzzy.name_score(called, F.col("shortname")))
-    pairs = pairs.withColumn("spelled", fuzzy.ratio(brand(F.col("domain")), brand(urls.domain(F.col("website")))))
-    by_name = F.greatest("long", "short")
-    by_domain = company.domain_score(F.col("domain"), F.col("website"), F.col("spelled"))
-    score = match_score(by_domain, by_name, company.exchange_score(F.col("exchange"), F.col("iso")), company.type_score(F.col("quote_type")))
-    method = F.when((F.col("domain") != "") & (by_name >= PREFILTER), "domain").otherwise("name_country")
-    return pairs.select("company_id", "symbol", score.alias("score"), method.alias("method"))
+    quote_type, website) whose names or domains' brands are like theirs (see ``names``): (company_id,
+    symbol, score, method).  Of quotes that are equal but for the symbol the first stands for all."""
+    members, found = _scored(companies, quotes)
+    return members.join(found, "one_of").select("company_id", "symbol", "score", "method")
+
+
+def match_quotes(companies: DataFrame, quotes: DataFrame, least: float = LEAST_QUOTE) -> DataFrame:
+    """``best_quotes`` of ``quote_candidates``, chosen once for all companies that score alike."""
+    members, found = _scored(companies, quotes)
+    best = best_quotes(found.withColumnRenamed("one_of", "company_id"), least).withColumnRenamed("company_id", "one_of")
+    return members.join(best, "one_of").drop("one_of")
 
 
 def best_quotes(candidates: DataFrame, least: float = LEAST_QUOTE) -> DataFrame:
@@ -112,15 +139,23 @@ def registry_score(name: Column, entry_name: Column, address: Column, entry_addr
 
 
 def best_entries(companies: DataFrame, registry: DataFrame) -> DataFrame:
-    """companies(company_id, name, address) with the best of registry(entry_id, entry_name, entry_address)
-    that shares a word of its name or its postcode: (company_id, entry_id, score, level)."""
-    keys = lambda name, address: F.array_distinct(F.array_compact(F.concat(F.filter(F.split(company.plain_name(F.col(name)), " "), lambda w: F.char_length(w) >= 3), F.array(postcode(F.col(address))))))
-    left = companies.select("company_id", "name", "address", F.explode(keys("name", "address")).alias("key"))
-    right = registry.select("entry_id", "entry_name", "entry_address", F.explode(keys("entry_name", "entry_address")).alias("key"))
-    pairs = left.join(right, "key").dropDuplicates(["company_id", "entry_id"])
-    scored = pairs.select("company_id", "entry_id", registry_score(F.col("name"), F.col("entry_name"), F.col("address"), F.col("entry_address")).alias("s"))
-    best = scored.groupBy("company_id").agg(F.min_by(F.struct("entry_id", "s.score", "s.level"), F.struct((-F.col("s.score")).alias("s"), F.col("entry_id"))).alias("b"))
-    return best.select("company_id", "b.*")
+    """companies(company_id, name, address) with the best of registry(entry_id, entry_name, entry_address):
+    (company_id, entry_id, score, level).
+
+    Entries with a name like the company's (see ``names``) are compared, and of those that share its
+    postcode the first, which stands for all that share nothing else.  Companies, and entries, of one
+    name and address are compared once; of equal entries the first counts.
+    """
+    asked = companies.select("company_id", blank(F.col("name")).alias("name"), blank(F.col("address")).alias("address"))
+    classes = asked.groupBy("name", "address").agg(F.min("company_id").alias("one_of"))
+    entries = registry.groupBy(blank(F.col("entry_name")).alias("entry_name"), blank(F.col("entry_address")).alias("entry_address")).agg(F.min("entry_id").alias("entry_id"))
+    by_name = names.pairs(classes.select(F.col("one_of").alias("id"), _words(F.col("name")).alias("words")), entries.select(F.col("entry_id").alias("id"), _words(F.col("entry_name")).alias("words")))
+    first = entries.groupBy(postcode(F.col("entry_address")).alias("code")).agg(F.min("entry_id").alias("entry_id"))
+    by_place = classes.select("one_of", postcode(F.col("address")).alias("code")).join(first, "code").select("one_of", "entry_id")
+    found = by_name.toDF("one_of", "entry_id").unionByName(by_place).distinct().join(classes, "one_of").join(entries, "entry_id")
+    scored = found.select("one_of", "entry_id", registry_score(F.col("name"), F.col("entry_name"), F.col("address"), F.col("entry_address")).alias("s"))
+    best = scored.groupBy("one_of").agg(F.min_by(F.struct("entry_id", "s.score", "s.level"), F.struct((-F.col("s.score")).alias("s"), F.col("entry_id"))).alias("b"))
+    return asked.join(classes, ["name", "address"]).join(best, "one_of").select("company_id", "b.*")
 
 
 def route(companies: DataFrame, entries: DataFrame, quotes: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siftwell.functions import urls
-from siftwell.operators import discovery, fingerprints, navigation, registry
+from siftwell.operators import discovery, fingerprints, market, navigation, registry
 from siftwell.plans.catalog import _list, _t, query
 
 #: Technologies of the example, each with a rule of every signal.
@@ -174,3 +174,52 @@ def markdown_links(spark, sf_dir):
     md = _linked.replace("%1", "$1").replace("%g", "")
     pages = _t(spark, sf_dir, "documents").selectExpr("doc_id AS page_id", "'https://www.s.com/' AS url", f"{md} AS markdown")
     return navigation.markdown_links(pages).select("page_id", "href", "text", "slug", "start", "size", "position", "near")
+
+
+@query("""
+WITH c AS (
+    SELECT c_custkey AS company_id, c_custkey % 20 AS w, c_custkey % 4 AS z, c_custkey % 3 AS kind FROM customer
+), q AS (
+    SELECT 'S' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS symbol, s_suppkey % 20 AS w, s_suppkey % 40 >= 20 AS longer, s_suppkey % 3 = 0 AS has_site FROM supplier
+), s AS (
+    SELECT company_id, symbol, CASE WHEN longer THEN 0.9 ELSE 1.0 END AS name, CASE WHEN has_site AND kind = 1 THEN 0.6 WHEN has_site AND kind = 2 THEN 1.0 ELSE 0 END AS domain,
+        CASE WHEN kind = 0 THEN 0.3 ELSE 1.0 END AS exchange, kind
+    FROM c JOIN q USING (w)
+), t AS (
+    SELECT company_id, symbol, CAST(round(CASE WHEN domain > 0 THEN 0.5 * domain + 0.3 * name + 0.15 * exchange + 0.05 ELSE 0.55 * name + 0.3 * exchange + 0.15 END, 4) AS DOUBLE) AS score,
+        CASE WHEN kind > 0 THEN 'domain' ELSE 'name_country' END AS method FROM s
+)
+SELECT company_id, symbol, score, method, CASE WHEN score >= 0.8 THEN 'excellent' WHEN score >= 0.6 THEN 'bon' ELSE 'moyen' END AS level
+FROM t QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY method <> 'domain', score DESC, symbol) = 1""")
+def match_quotes(spark, sf_dir):
+    """Names with two words that all share; some quotes have a longer name, some a site."""
+    companies = _t(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS company_id", "concat('Word', c_custkey % 20, ' Zeta', c_custkey % 4, ' Energy') AS name", "IF(c_custkey % 3 = 0, null, 'France') AS country",
+        "concat('https://www.word', c_custkey % 20, element_at(array('.fr', '.com'), CAST(greatest(c_custkey % 3, 1) AS INT)), '/') AS site", "c_custkey % 3 AS kind",
+    ).selectExpr("company_id", "name", "country", "IF(kind = 0, null, site) AS url")
+    quotes = _t(spark, sf_dir, "supplier").selectExpr(
+        "concat('S', lpad(CAST(s_suppkey AS STRING), 9, '0')) AS symbol", "concat('Word', s_suppkey % 20, ' Zeta', s_suppkey % 4, ' Energy', IF(s_suppkey % 40 >= 20, ' Trust', '')) AS longname",
+        "CAST(null AS STRING) AS shortname", "'PAR' AS exchange", "'EQUITY' AS quote_type", "IF(s_suppkey % 3 = 0, concat('https://word', s_suppkey % 20, '.com'), null) AS website",
+    )
+    return market.match_quotes(companies, quotes)
+
+
+@query("""
+WITH c AS (
+    SELECT c_custkey AS company_id, 'maison ' || (c_custkey % 30) || CASE WHEN c_custkey % 2 = 0 THEN ' verte' ELSE '' END AS name, 10000 + c_custkey % 50 AS code FROM customer
+), r AS (
+    SELECT s_suppkey AS entry_id, 'maison ' || (s_suppkey % 30) || CASE WHEN s_suppkey % 3 = 0 THEN ' verte et fils' ELSE '' END AS entry_name, 10000 + s_suppkey % 50 AS code FROM supplier
+), s AS (
+    SELECT company_id, entry_id, (CASE WHEN name = entry_name THEN 60 WHEN contains(name, entry_name) OR contains(entry_name, name) THEN 25
+        ELSE 15 * len(list_intersect(string_split(name, ' '), string_split(entry_name, ' '))) // greatest(len(string_split(name, ' ')), len(string_split(entry_name, ' '))) END)
+        + CASE WHEN c.code = r.code THEN 40 ELSE 20 END AS score
+    FROM c JOIN r ON true
+)
+SELECT company_id, entry_id, CAST(score AS INTEGER) AS score, CASE WHEN score >= 80 THEN 'excellent' WHEN score >= 50 THEN 'moyen' ELSE 'faible' END AS level
+FROM s QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY score DESC, entry_id) = 1""")
+def match_registry_names(spark, sf_dir):
+    """Names of which all share a word, addresses of which all share a town."""
+    place = lambda key: f"concat('4 rue X ', 10000 + {key} % 50, ' Lyon')"
+    companies = _t(spark, sf_dir, "customer").selectExpr("c_custkey AS company_id", "concat('Maison ', c_custkey % 30, IF(c_custkey % 2 = 0, ' Verte', '')) AS name", f"{place('c_custkey')} AS address")
+    entries = _t(spark, sf_dir, "supplier").selectExpr("s_suppkey AS entry_id", "concat('maison ', s_suppkey % 30, IF(s_suppkey % 3 = 0, ' verte et fils', '')) AS entry_name", f"{place('s_suppkey')} AS entry_address")
+    return market.best_entries(companies, entries)

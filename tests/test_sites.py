@@ -1,5 +1,6 @@
 """Links, fingerprints, articles and matching on written cases."""
 
+import random
 import re
 import timeit
 from urllib.parse import urljoin
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftwell.functions import articles, markdown, urls
-from siftwell.operators import fingerprints, market, matching, navigation
+from siftwell.operators import fingerprints, market, matching, names, navigation
 
 
 def one(spark, expr, *values):
@@ -358,3 +359,30 @@ def test_scanning_links_takes_linear_time():
     for n in (1000, 16_000):  # the longer one is a page of 1 MB
         times.append(min(timeit.repeat(lambda: markdown.scan_links(one * n), number=1, repeat=3)))
     assert times[1] < 16 * 3 * times[0] and len(markdown.scan_links(one * 16_000)) == 32_000
+
+
+def alike(a, b):
+    a, b = set(a) - {"", None}, set(b) - {"", None}
+    shared = len(a & b)
+    return shared > 0 and (shared == min(len(a), len(b)) or 3 * shared >= 2 * len(a | b))
+
+
+def test_alike_names_are_those_of_brute_force(spark):
+    """Skewed words, names of one to fifty words, names that repeat, several names of one id."""
+    rng = random.Random(4)
+    words = ["group", "energy", "bank"] * 30 + ["data", "blue"] * 8 + [f"w{k}" for k in range(40)]
+    make = lambda n: [(rng.randrange(n), [rng.choice(words) for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 3, 4, 6, 9, 14, 50]))]) for _ in range(n)]
+    left, right = make(150), make(200) + [(7, None), (8, ["", None]), (9, ["group"] * 3)]
+    schema = "id long, words array<string>"
+    got = names.pairs(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)).collect()
+    want = {(i, j) for i, a in left for j, b in right if alike(a, b or ())}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want and len(want) > 500
+    assert names.pairs(spark.createDataFrame([], schema), spark.createDataFrame(right, schema)).count() == 0
+
+
+def test_hot_words_do_not_meet_alone(spark):
+    """Names of one rare word and two that all have: what meets grows with the names, not their square."""
+    for n in (100, 400):
+        sets = spark.range(n).select(F.array_sort(F.array(F.concat(F.lit("own"), F.col("id").cast("string")), F.lit("energy"), F.lit("group"), F.lit("holding"))).alias("s"))
+        extra = spark.createDataFrame([(["energy"],), (["energy", "group"],)], "s array<string>")
+        assert names.met(sets.unionAll(extra), sets).count() <= 5 * n

@@ -7,8 +7,10 @@ import operator
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from siftwell.functions import company
-from siftwell.functions.text import blank
+from siftwell.functions import company, profile, structure
+from siftwell.functions.shredding import shred
+from siftwell.functions.text import blank, squeeze_or_null
+from siftwell.operators import records
 
 # A row's label holds all words of an entry; the first entry counts.
 LABELS = [
@@ -123,3 +125,61 @@ def latest_ratios(rows: DataFrame) -> DataFrame:
     ratio = F.when(F.col("capitaux_propres") != 0, F.round(F.nullif("dettes_financieres", F.lit(0.0)) / F.col("capitaux_propres"), 2))
     signal = F.when(ratio < 1, "sain").when(ratio < 2, "surveiller").when(ratio.isNotNull(), "risque")
     return last.withColumns({"margin_pct": margin, "debt_ratio": ratio, "debt_signal": signal})
+
+
+#: A raw record's fields: where they are in its JSON, and their types.
+RECORD = {
+    "source_url": ("$._meta.url", "string"), "scraped_at": ("$._meta.scraped_at", "string"), "match_score": ("$._meta.match_score", "double"), "match_level": ("$._meta.match_level", "string"),
+    "name": ("$.identite.company_name_raw", "string"), "pairs": ("$.identite.main_bloc_pairs", "map<string,string>"),
+    **{k: (f"$.identite.{raw}", "string") for k, raw in [("siren", "siren_raw"), ("siret", "siret_raw"), ("vat", "vat_raw"), ("naf", "naf_raw"), ("capital", "capital_raw"), ("legal_form", "legal_form_raw"), ("founded", "creation_raw"), ("headcount", "effectif_raw"), ("address", "adresse_raw"), ("activity", "activite_raw")]},
+    "people": ("$.dirigeants", "array<struct<parts_raw:array<string>>>"), "tables": ("$.html_tables", "array<struct<rows:array<array<string>>>>"),
+    "contexts": ("$.finances_raw.year_contexts_raw", "array<struct<year:string,context:string>>"), "answers": ("$.xhr_finances", "string"),
+}
+_RAW = ["company_id", "source_url", "scraped_at", "match_score", "match_level", "name", "pairs", *structure.IDENTIFIERS, "people", "tables", "contexts", "answers", "rejected"]
+
+
+def raw_of_pages(pages: DataFrame) -> DataFrame:
+    """pages(company_id, url, html[, answers: array<string>]) -> the raw frame that ``composed`` takes."""
+    read = pages.withColumn("s", structure.structure("html")).withColumn("i", structure.identifiers(F.col("s.text")))
+    answers = F.col("answers") if "answers" in pages.columns else F.array().cast("array<string>")
+    none = lambda kind: F.lit(None).cast(kind)
+    return read.select(
+        "company_id", F.col("url").alias("source_url"), none("string").alias("scraped_at"), none("double").alias("match_score"), none("string").alias("match_level"),
+        F.col("s.title").alias("name"), F.col("s.pairs").alias("pairs"), "i.*", F.col("s.people").alias("people"), F.col("s.tables").alias("tables"),
+        structure.years_with_context(F.col("s.text")).alias("contexts"), answers.alias("answers"), F.array().cast("array<string>").alias("rejected"),
+    ).select(*_RAW)
+
+
+def raw_of_records(landed: DataFrame) -> DataFrame:
+    """landed(company_id, json) -> the raw frame that ``composed`` takes; ``rejected`` names what of a
+    record couldn't be read, the rest of it counts."""
+    answers = F.from_json(F.get_json_object("json", "$.xhr_finances"), "map<string,string>")
+    rows = landed.select("company_id", shred(F.col("json"), {k: v for k, v in RECORD.items() if k != "answers"}).alias("r"), F.map_values(answers).alias("answers")).select("company_id", "r.*", "answers")
+    people = F.transform("people", lambda p: p["parts_raw"])
+    return rows.withColumns({"people": people, "tables": F.transform("tables", lambda t: t["rows"])}).select(*_RAW)
+
+
+def composed(raw: DataFrame, as_of: int) -> DataFrame:
+    """One row for each company of a raw frame (its rows that repeat an id: the first by their content):
+    identity, place, activity, head count, leaders, the latest year's figures, growth, and a prospect's
+    score.  ``as_of`` is the year in which ages are counted."""
+    once = records.keep_first(raw.withColumn("_order", F.xxhash64(*[F.to_json(F.struct(c)) for c in _RAW if c != "company_id"])), ["company_id"], ["_order"]).drop("_order")
+    told = lambda c, label: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.try_element_at("pairs", F.lit(label)))
+    founded = company.year(told("founded", "Création"))
+    people = F.coalesce(profile.leaders(F.coalesce("people", F.array().cast("array<array<string>>"))), F.array().cast("array<struct<name:string,title:string,age:int,born:string,is_chair:boolean,is_chief:boolean>>"))
+    known = once.select(
+        "company_id", "source_url", "scraped_at", "match_score", "match_level", squeeze_or_null(told("name", "Raison sociale")).alias("name"),
+        company.digits_of(F.col("siren"), 9).alias("siren"), company.digits_of(F.col("siret"), 14).alias("siret"), F.nullif(F.regexp_replace("vat", r"\s", ""), F.lit("")).alias("vat"),
+        company.activity_code(F.col("naf")).alias("naf"), company.legal_form(F.col("legal_form")).alias("legal_form"), squeeze_or_null(F.col("capital")).alias("capital"),
+        squeeze_or_null(told("address", "Adresse")).alias("address"), F.nullif(F.regexp_extract("address", r"\b(\d{5})\b", 1), F.lit("")).alias("postcode"),
+        F.nullif(F.trim(F.regexp_extract("address", r"\d{5}\s+([A-ZÀÂÄÉÈÊËÏÎÔÙÛÜ][A-Za-zÀ-ÿ\s\-]+)", 1)), F.lit("")).alias("city"), F.lit("France").alias("country"),
+        squeeze_or_null(told("activity", "Activité")).alias("sector"), founded.alias("founded"), company.headcount(told("headcount", "Effectif")).alias("headcount"), people.alias("leaders"), "rejected",
+    ).withColumn("age", company.age(F.col("founded"), as_of))
+    nested = lambda column, nth, alias: once.select("company_id", F.posexplode(column).alias(nth, alias))
+    contexts = nested("contexts", "position", "c").select("company_id", "position", "c.year", "c.context")
+    figures = history(nested("answers", "position", "json"), nested("tables", "table_no", "rows"), contexts)
+    ratios = latest_ratios(figures)
+    growth = records.yearly_indicators(figures.where("field = 'ca'"), "company_id", "year", "value").select("company_id", "growth_pct", "cagr_pct")
+    out = known.join(ratios, "company_id", "left").join(growth, "company_id", "left")
+    score = company.sales_score(F.col("siren"), F.col("vat"), F.col("sector"), F.col("headcount.low"), F.size("leaders"), F.col("headcount.label"), F.col("growth_pct"), F.col("margin_pct"), F.col("age"))
+    return out.withColumn("sales", score)

@@ -223,3 +223,50 @@ def match_registry_names(spark, sf_dir):
     companies = _t(spark, sf_dir, "customer").selectExpr("c_custkey AS company_id", "concat('Maison ', c_custkey % 30, IF(c_custkey % 2 = 0, ' Verte', '')) AS name", f"{place('c_custkey')} AS address")
     entries = _t(spark, sf_dir, "supplier").selectExpr("s_suppkey AS entry_id", "concat('maison ', s_suppkey % 30, IF(s_suppkey % 3 = 0, ' verte et fils', '')) AS entry_name", f"{place('s_suppkey')} AS entry_address")
     return market.best_entries(companies, entries)
+
+
+_figures = """
+k AS (
+    SELECT c_custkey AS k, 2015 + c_custkey % 8 AS y, 1000 + c_custkey % 50 AS a, 1000 + c_custkey % 50 + (c_custkey % 7 - 2) * 45 AS b, (c_custkey % 5) * 60 - 60 AS r, c_custkey % 6000 AS m FROM customer
+), f AS (
+    SELECT *, CAST(round(CAST(b - a AS DOUBLE) / a * 100, 1) AS DOUBLE) AS growth, CASE WHEN r <> 0 THEN CAST(round(CAST(r AS DOUBLE) / b * 100, 1) AS DOUBLE) END AS margin, 1950 + k % 70 AS founded FROM k
+)"""
+
+
+def registry_pages(spark, sf_dir):
+    """A page of a registry for each customer, whose table has spans in its head."""
+    c = _t(spark, sf_dir, "customer").selectExpr("c_custkey AS k").selectExpr("k", "2015 + k % 8 AS y", "1000 + k % 50 AS a", "1000 + k % 50 + (k % 7 - 2) * 45 AS b", "(k % 5) * 60 - 60 AS r")
+    html = """concat('<h1> Maison ', k, '</h1><p>SIREN : 123 456 ', lpad(k % 1000, 3, '0'), '</p>', IF(k % 2 = 0, '<p>TVA FR12 123456789</p>', ''),
+        '<div class="table-container"><b>Création:</b><i>01/02/', 1950 + k % 70, '</i><b>Effectif:</b><i>', k % 6000, ' salariés</i></div>', IF(k % 3 = 0, '<div class="x dirigeant"><a>Ann Doe</a><span>Président</span><span>50 ans</span></div>', ''),
+        '<table><tr><th rowspan="2">Poste</th><th colspan="2">Exercices</th></tr><tr><th>', y, '</th><th>', y + 1, '</th></tr><tr><td>Chiffre d''affaires</td><td>', a, ' €</td><td>', b, ' €</td></tr><tr><td>Résultat net</td><td colspan=2>', r, '</td></tr></table>')"""
+    return c.selectExpr("k AS company_id", "concat('https://r.fr/', k) AS url", f"{html} AS html")
+
+
+@query(f"""
+WITH {_figures}, s AS (
+    SELECT *, 4 + CASE WHEN k % 2 = 0 THEN 4 ELSE 0 END + 4 + CASE WHEN k % 3 = 0 THEN 9 ELSE 0 END + CASE WHEN m = 0 THEN 0 WHEN m < 10 THEN 5 WHEN m < 50 THEN 10 WHEN m < 250 THEN 15 ELSE 20 END
+        + CASE WHEN growth > 20 THEN 30 WHEN growth > 10 THEN 25 WHEN growth > 5 THEN 20 WHEN growth > 0 THEN 10 ELSE 0 END + CASE WHEN margin > 10 THEN 15 WHEN margin > 5 THEN 10 WHEN margin > 0 THEN 5 ELSE 0 END + CASE WHEN 2026 - founded > 10 THEN 10 WHEN 2026 - founded > 5 THEN 7 ELSE 4 END AS score
+    FROM f
+)
+SELECT k AS company_id, 'Maison ' || k AS name, '123456' || lpad(CAST(k % 1000 AS VARCHAR), 3, '0') AS siren, CASE WHEN k % 2 = 0 THEN 'FR12123456789' END AS vat, CAST(founded AS INTEGER) AS founded, CAST(2026 - founded AS INTEGER) AS age, CAST(m AS INTEGER) AS employees,
+    CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END AS n_leaders, CAST(y + 1 AS INTEGER) AS year, CAST(b AS DOUBLE) AS ca, CAST(CASE WHEN r <> 0 THEN r END AS DOUBLE) AS resultat_net, growth AS growth_pct, margin AS margin_pct,
+    CAST(least(score, 100) AS INTEGER) AS score, CASE WHEN score >= 75 THEN 'A' WHEN score >= 50 THEN 'B' WHEN score >= 25 THEN 'C' ELSE 'D' END AS label
+FROM s""")
+def registry_profiles(spark, sf_dir):
+    out = registry.composed(registry.raw_of_pages(registry_pages(spark, sf_dir)), 2026)
+    return out.select("company_id", "name", "siren", "vat", "founded", "age", F.col("headcount.high").alias("employees"), F.size("leaders").alias("n_leaders"), "year", "ca", "resultat_net", "growth_pct", "margin_pct", F.col("sales.score").alias("score"), F.col("sales.label").alias("label"))
+
+
+@query("""
+SELECT c_custkey AS company_id, CASE WHEN c_custkey % 10 <> 9 THEN c_name END AS name, CASE WHEN c_custkey % 10 <> 9 THEN '123456' || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') END AS siren,
+    CASE WHEN c_custkey % 10 < 7 THEN c_acctbal END AS match_score, CASE WHEN c_custkey % 10 <> 9 THEN CAST(1990 + c_custkey % 30 AS INTEGER) END AS founded, CASE WHEN c_custkey % 10 < 8 THEN 1 ELSE 0 END AS n_leaders,
+    CASE WHEN c_custkey % 10 < 7 THEN CAST(c_custkey + 1 AS DOUBLE) END AS ca, CASE c_custkey % 10 WHEN 9 THEN '$' WHEN 8 THEN '$._meta.match_score,$.dirigeants' WHEN 7 THEN '$._meta.match_score' ELSE '' END AS rejected
+FROM customer""")
+def registry_records(spark, sf_dir):
+    """Raw records, some of which hold texts and objects where numbers and lists belong, or are no JSON."""
+    json = """concat('{"_meta": {"match_score": ', CASE c_custkey % 10 WHEN 7 THEN '"high"' WHEN 8 THEN '{"a": 1}' ELSE string(c_acctbal) END, '}, "identite": {"company_name_raw": "', c_name, '", "siren_raw": "123 456 ', lpad(c_custkey % 1000, 3, '0'),
+        '", "main_bloc_pairs": {"Création": "en ', 1990 + c_custkey % 30, '"}}, "dirigeants": ', IF(c_custkey % 10 = 8, '"none"', '[{"parts_raw": ["Ann Doe", "Gérant"]}, {"parts_raw": ["KPMG SA", "Commissaire"]}]'),
+        ', "xhr_finances": ', IF(c_custkey % 10 < 7, concat('{"api": {"data": {"ca_2020": ', c_custkey, ', "turnover_2021": ', c_custkey + 1, '}}}'), 'null'), IF(c_custkey % 10 = 9, '', '}'))"""
+    landed = _t(spark, sf_dir, "customer").selectExpr("c_custkey AS company_id", f"{json} AS json")
+    out = registry.composed(registry.raw_of_records(landed), 2026)
+    return out.select("company_id", "name", "siren", "match_score", "founded", F.size("leaders").alias("n_leaders"), "ca", F.array_join("rejected", ",").alias("rejected"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siftwell.functions import urls
-from siftwell.operators import discovery, fingerprints, market, navigation, registry
+from siftwell.operators import discovery, enrichment, fingerprints, market, navigation, registry
 from siftwell.plans.catalog import _list, _t, query
 
 #: Technologies of the example, each with a rule of every signal.
@@ -270,3 +270,54 @@ def registry_records(spark, sf_dir):
     landed = _t(spark, sf_dir, "customer").selectExpr("c_custkey AS company_id", f"{json} AS json")
     out = registry.composed(registry.raw_of_records(landed), 2026)
     return out.select("company_id", "name", "siren", "match_score", "founded", F.size("leaders").alias("n_leaders"), "ca", F.array_join("rejected", ",").alias("rejected"))
+
+
+_categories = "CASE doc_id % 8 WHEN 0 THEN 'contact' WHEN 1 THEN 'clients' WHEN 2 THEN 'welcome' WHEN 3 THEN 'about' WHEN 4 THEN 'team' WHEN 5 THEN 'leadership' WHEN 6 THEN 'news' ELSE 'blog' END"
+
+
+def company_pages(spark, sf_dir):
+    """Documents as the pages of companies."""
+    return _t(spark, sf_dir, "documents").selectExpr("doc_id % 97 AS company_id", f"{_categories} AS category", "CAST(doc_id AS INT) AS position", "text")
+
+
+@query(f"""
+WITH p AS (
+    SELECT doc_id % 97 AS company_id, {_categories} AS category, doc_id AS position, text, substr(text, 1, 60000) AS used FROM documents WHERE text <> ''
+), o AS (
+    SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY coalesce(list_position({_list(enrichment.FIRST)}, category), 7), position) AS nth FROM p
+), b AS (
+    SELECT *, coalesce(sum(length(used)) OVER (PARTITION BY company_id ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM o
+)
+SELECT company_id, category, CAST(position AS INTEGER) AS position, CAST(nth AS INTEGER) AS nth, CAST(least(length(used), 20000 - before) AS INTEGER) AS n_used FROM b WHERE before < 20000""")
+def reading_budget(spark, sf_dir):
+    return enrichment.reading_order(company_pages(spark, sf_dir), budget=20_000).select("company_id", "category", "position", "nth", F.char_length("used").alias("n_used"))
+
+
+@query(rf"""
+WITH n AS (
+    SELECT n_name AS name, CASE WHEN n_nationkey % 5 = 0 THEN 'org' ELSE 'place' END AS kind FROM nation
+), d AS (
+    SELECT doc_id % 97 AS company_id, {_categories} AS category, doc_id AS position, CASE WHEN doc_id % 3 = 0 THEN 'Founded in ' || (1950 + doc_id % 60) || ' in ' || n_name || '. ' ELSE 'Offices: x' || n_name || ', ' || n_name || '! ' END AS head, name, kind
+    FROM documents JOIN nation ON n_nationkey = doc_id % 25 JOIN n ON name = n_name
+), o AS (
+    SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY coalesce(list_position({_list(enrichment.FIRST)}, category), 7), position) AS nth FROM d
+), f AS (
+    SELECT company_id, kind, name, min(nth) AS nth FROM o GROUP BY ALL
+)
+SELECT company_id, (SELECT CAST(regexp_extract(head, 'Founded in (\d+)', 1) AS INTEGER) FROM o WHERE o.company_id = c.company_id AND head LIKE 'Founded%' ORDER BY nth LIMIT 1) AS founded_year,
+    (SELECT string_agg(name, '|' ORDER BY nth) FROM f WHERE f.company_id = c.company_id AND kind = 'place') AS locations,
+    CASE WHEN company_id % 2 = 0 THEN (SELECT string_agg(name, '|' ORDER BY nth) FROM f WHERE f.company_id = c.company_id AND kind = 'org' AND length(name) BETWEEN 4 AND 60) END AS orgs_mentioned
+FROM (SELECT DISTINCT company_id FROM d) c""")
+def enriched_profiles(spark, sf_dir):
+    """Each page begins with a sentence about a nation; a fifth of those are taken for firms."""
+    nations = _t(spark, sf_dir, "nation")
+    docs = _t(spark, sf_dir, "documents").selectExpr("doc_id % 97 AS company_id", f"{_categories} AS category", "CAST(doc_id AS INT) AS position", "doc_id", "doc_id % 25 AS n_nationkey").join(F.broadcast(nations.select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name")), "n_nationkey")
+    head = "IF(doc_id % 3 = 0, concat('Founded in ', 1950 + doc_id % 60, ' in ', n_name, '. '), concat('Offices: x', n_name, ', ', n_name, '! '))"
+    pages = docs.selectExpr("company_id", "category", "position", f"{head} AS text")
+    names = nations.selectExpr("n_name AS name", "IF(n_nationkey % 5 = 0, 'org', 'place') AS kind")
+    companies = pages.select("company_id").distinct().selectExpr(
+        "company_id", "CAST(null AS STRING) AS company_name", "IF(company_id % 2 = 0, null, array('known')) AS clients", "CAST(null AS array<struct<name:string,title:string>>) AS team_leaders",
+        "CAST(null AS array<string>) AS reviews", "CAST(null AS INT) AS founded_year", "CAST(null AS STRING) AS employees_count", "CAST(null AS STRING) AS revenue",
+    )
+    out = enrichment.enriched(companies, pages, names)
+    return out.select("company_id", "founded_year", F.array_join("locations", "|").alias("locations"), F.array_join("orgs_mentioned", "|").alias("orgs_mentioned"))

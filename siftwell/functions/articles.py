@@ -71,6 +71,25 @@ def is_article(html: Column, url: Column, body: Column, bad_paths: list[str] = [
     return F.when(refused, False).when(F.char_length(blank(body)) > 300, True).when(dated | blank(html).rlike(r"(?i)<article[\s>]") | (kind == "article"), True).when(kind == "website", False).otherwise(F.coalesce(titled, F.lit(False)))
 
 
+# Fixed values of the older rules.
+OLD_BAD_WORDS = ["about", "team", "career", "job", "service", "legal", "privacy", "contact", "mission", "vision", "strategy"]
+OLD_LISTS = ["/page/", "/tag/", "/tags/", "/category/", "/categories/", "/author/", "/authors/", "/search", "/feed"]
+OLD_CLASSES = ["post", "article", "news", "card", "item", "teaser", "entry", "content"]
+OLD_TEXT, OLD_LINES, OLD_ANCHOR, OLD_ABOVE = 400, 5, 20, 4
+
+
+def is_plain_article(url: Column, body: Column) -> Column:
+    """The older rule: no word of other pages in the address, a text of OLD_TEXT characters on over OLD_LINES lines."""
+    named = text.any_of(F.lower(blank(url)), OLD_BAD_WORDS)
+    return ~named & (F.char_length(blank(body)) >= OLD_TEXT) & (F.size(F.split(blank(body), "\n")) > OLD_LINES)
+
+
+def is_listing(url: Column) -> Column:
+    """Addresses of lists, searches and feeds, and roots; by the older rule no articles."""
+    path = F.lower(urls.path(url))
+    return text.any_of(path, OLD_LISTS) | path.isin("", "/")
+
+
 def made_by_script(html: Column) -> Column:
     """Does the page need JavaScript to show what it holds?"""
     h = blank(html)
@@ -129,6 +148,11 @@ def newest(articles: DataFrame, most: int, date: str = "published", tie: str = "
     return articles.orderBy(F.desc(F.coalesce(F.col(date), F.lit(""))), F.asc(tie)).limit(most)
 
 
+def most_relevant(articles: DataFrame, most: int, score: str = "relevance", tie: str = "url") -> DataFrame:
+    """The articles with the highest scores, those without one last."""
+    return articles.orderBy(F.desc_nulls_last(score), F.asc(tie)).limit(most)
+
+
 def sorted_out(found: DataFrame) -> DataFrame:
     """found(url, is_article, body, error) with the outcome of each: ok, skipped with a reason, or error."""
     reason = F.when(F.col("error").isNotNull(), F.col("error")).when(~F.coalesce("is_article", F.lit(False)), "pas un article").when(F.trim(blank(F.col("body"))) == "", "texte vide")

@@ -11,8 +11,9 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, MapType, StringType, StructField, StructType
 
+from siftwell.functions import articles
 from siftwell.functions.dom import Element, parsed
 from siftwell.functions.text import blank
 
@@ -122,6 +123,31 @@ def structure_of(html: str | None) -> dict:
     }
 
 
+ANCHORS = ArrayType(StructType([StructField("href", StringType()), StructField("text", StringType()), StructField("may_be_article", BooleanType())]))
+
+
+def anchors_of(html: str | None) -> list[dict]:
+    """(href, text, may_be_article) of a page's anchors, in order: a long text, or an element among the
+    nearest OLD_ABOVE that is an article or has a class of one, says that it may lead to one."""
+    out, stack = [], [(parsed(html), ())]
+    while stack:
+        e, above = stack.pop()
+        near = (*above, e)[-articles.OLD_ABOVE :]
+        if e.tag == "a" and "href" in e.attributes:
+            text = " ".join(" ".join(texts(e)).split())
+            marked = any(x.tag == "article" or any(k in x.attributes.get("class", "").lower() for k in articles.OLD_CLASSES) for x in near)
+            out.append({"href": e.attributes["href"].strip(), "text": text, "may_be_article": len(text) >= articles.OLD_ANCHOR or marked})
+        stack += [(c, near) for c in reversed(e.children) if isinstance(c, Element)]
+    return out
+
+
+@F.pandas_udf(ANCHORS)
+def anchors(html: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """A page's anchors; none of a null page."""
+    for batch in html:
+        yield batch.map(anchors_of)
+
+
 @F.pandas_udf(STRUCTURE)
 def structure(html: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """A page's structure; a null page has no title, an empty text and nothing else."""

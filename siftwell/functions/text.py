@@ -143,6 +143,11 @@ def page_status(c: Column) -> Column:
     )
 
 
+def squeeze_visible(c: Column) -> Column:
+    """``squeeze`` without zero-width spaces."""
+    return squeeze(F.replace(blank(c), F.lit("\u200b"), F.lit("")))
+
+
 @F.pandas_udf(StringType())
 def unescape(c: pd.Series) -> pd.Series:
     """All named and numeric character references, once; null stays null."""

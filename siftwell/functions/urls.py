@@ -14,6 +14,7 @@ UNWANTED_TOKENS = ["privacy", "cookie", "cookies", "legal", "mentions", "terms",
 UNWANTED_PARTS = ["accueil"]
 EXTERNAL = ["facebook.com", "twitter.com", "instagram.com", "youtube.com", "linkedin.com", "google.com", "apple.com", "play.google.com", "maps.google", "goo.gl", "bit.ly", "tiktok.com", "pinterest.com", "whatsapp.com", "telegram.org", "adroll.com"]
 
+FILE_TLDS = ["com", "tn", "fr", "net", "org", "ai", "tech", "io"]
 ASSET_EXTENSIONS = "png|jpg|jpeg|svg|gif|webp|avif|pdf|ico|mp4|mp3|zip|css|js|woff|woff2"
 
 
@@ -133,6 +134,17 @@ def external(url: Column) -> Column:
     return out
 
 
+def of_file_name(name: Column) -> Column:
+    """The address that a page was landed from, by a file name like www_acme_com_about.md: what follows the
+    first part that is a top-level domain is its path."""
+    parts = F.split(F.regexp_replace(F.replace(name, F.lit(".md"), F.lit("")), "_+$", ""), "_")
+    tld = F.transform(parts, lambda p: F.lower(p).isin(FILE_TLDS))
+    at = F.array_position(tld, F.lit(True)).cast("int")
+    ends = F.when(at > 0, at).otherwise(F.size(parts))
+    path_ = F.array_join(F.slice(parts, ends + 1, F.size(parts)), "/")
+    return F.concat(F.lit("https://"), F.array_join(F.slice(parts, 1, ends), "."), F.when(path_ != "", F.concat(F.lit("/"), path_)).otherwise(""))
+
+
 def company_domain(url: Column) -> Column:
     """The domain of a company's site; empty for those that are everyone's."""
     d = domain(url)

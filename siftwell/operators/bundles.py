@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siftwell.functions.text import blank
+from siftwell.functions.text import blank, let, page_status
 
 RULE = "-" * 50
 TRUNCATED = "[...]"
@@ -20,6 +20,12 @@ def after_navigation(markdown: Column) -> Column:
     return F.when(F.char_length(rest) >= 200, rest).otherwise(markdown)
 
 
+def prepared(markdown: Column) -> Column:
+    """struct (action, status, confidence, content): how ``text.page_status`` judges a page, and what of it is
+    used: all of a valid page, what follows its navigation of one that is mostly that, else nothing."""
+    return let(page_status(markdown), lambda s: F.struct(s["action"].alias("action"), s["status"].alias("status"), s["confidence"].alias("confidence"), F.when(s["status"] == "valid", markdown).when(s["status"] == "nav_dump", after_navigation(markdown)).alias("content")))
+
+
 def fetched(links: DataFrame, attempts: DataFrame, ranks: list[str]) -> DataFrame:
     """links(company_id, category, position, url) with the first good attempt(url, method, content, status) of
     each, methods in the order of ``ranks``; ``failed`` where there is none."""

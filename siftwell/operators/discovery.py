@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from siftwell.functions import urls
+from siftwell.functions import articles, structure, urls
 from siftwell.functions.text import any_of, squeeze
 from siftwell.operators import matching, navigation
 from siftwell.shared import written
@@ -112,6 +112,22 @@ def sections(sites: DataFrame, pages: DataFrame) -> DataFrame:
     return once.select("site", "section", navigation.news_section(F.col("section")).alias("is_news"))
 
 
+# The sections that older lists of articles were read from.
+OLD_PATHS = ["/", "/Newsroom", "/blog", "/news", "/insights", "/articles", "/resources", "/press", "/updates", "/media", "/publications", "/en/news", "/fr/news", "/en/News", "/fr/News", "/en/blog", "/fr/blog"]
+OLD_PAGE = 200
+
+
+def plain_articles(sites: DataFrame, pages: DataFrame) -> DataFrame:
+    """(site, url): the older discovery: what anchors that may lead to articles name, on landed pages at OLD_PATHS with over
+    OLD_PAGE characters; in the site, no list, no section, each once."""
+    landed = _landed(pages).where(F.char_length("html") > OLD_PAGE)
+    usual = F.explode(F.array(*[urls.normalized(F.concat("site", F.lit(p))) for p in OLD_PATHS])).alias("url")
+    wanted = sites.where("site is not null").select("site", usual).distinct()
+    links = wanted.join(landed, "url").select("site", "address", F.explode(structure.anchors("html")).alias("a")).where("a.may_be_article")
+    href = links.select("site", urls.validated(urls.absolute(F.col("a.href"), F.col("address"))).alias("url")).where(navigation.same_domain(F.col("url"), urls.source_host(F.col("site"))))
+    return href.where(~articles.is_listing(F.col("url")) & ~navigation.bad_extension(F.col("url"))).distinct().join(wanted, ["site", "url"], "left_anti")
+
+
 def listing_pages(found: DataFrame, pages: DataFrame, most: int = LISTING_PAGES) -> DataFrame:
     """found(site, section) -> (site, section, n, url): each section and the pages that go on from it, up to
     ``most``: by the template that its first "next" link fits, as long as they are landed and full, or

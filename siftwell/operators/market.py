@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siftwell.functions import company, fuzzy, urls
+from siftwell.functions import company, fuzzy, shredding, urls
 from siftwell.functions.text import blank
 from siftwell.operators import names
 
@@ -179,6 +179,25 @@ def quotes_of(answer: Column, kind: str) -> Column:
     return F.from_json(F.coalesce(*[F.get_json_object(answer, p) for p in paths], F.lit("[]")), f"array<{kind}>")
 
 
+# What a market answer tells of a company, by type.
+INFO = {
+    "string": ["longName", "shortName", "sector", "industry", "country", "city", "website", "currency", "recommendationKey", "longBusinessSummary"],
+    "bigint": ["fullTimeEmployees", "marketCap", "numberOfAnalystOpinions"],
+    "double": ["totalRevenue", "ebitda", "netIncomeToCommon", "totalDebt", "totalCash", "grossMargins", "operatingMargins", "profitMargins", "revenueGrowth", "earningsGrowth", "debtToEquity", "returnOnEquity", "trailingPE", "forwardPE", "regularMarketPrice", "52WeekChange", "dividendYield"],
+}
+
+
+def quote_info(answers: DataFrame) -> DataFrame:
+    """answers(symbol, json) -> (symbol, the fields of INFO, margins and growth as percents, info): null
+    where the answer has nothing of that type; ``info`` is the JSON of what it has."""
+    fields = {name: (f"$['{name}']", kind) for kind, names in INFO.items() for name in names}
+    read = answers.select("symbol", shredding.shred(F.col("json"), fields).alias("i")).select("symbol", "i.*")
+    shown = {f"{c}_pct": percent(F.col(c)) for c in ("grossMargins", "operatingMargins", "profitMargins")} | {"revenueGrowth_pct": percent(F.col("revenueGrowth"), signed=True)}
+    read = read.withColumns(shown)
+    names = [*fields, *shown]
+    return read.select("symbol", *[F.col(f"`{n}`") for n in names], "rejected", F.to_json(F.struct(*[F.col(f"`{n}`") for n in names])).alias("info"))
+
+
 def percent(value: Column, signed: bool = False) -> Column:
-    """.123 as 12.3%."""
-    return F.when(value.isNotNull(), F.format_string("%+.1f%%" if signed else "%.1f%%", value.cast("double") * 100))
+    """.123 as 12.3%; halves go to the even digit."""
+    return F.when(value.isNotNull(), F.format_string("%+.1f%%" if signed else "%.1f%%", F.bround(value.cast("double") * 100, 1)))

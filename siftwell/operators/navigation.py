@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siftwell.functions import markdown, urls
 from siftwell.functions.text import any_of, blank, squeeze
+from siftwell.operators import matching
 
 # Fixed values.
 LINK_RULES = [
@@ -22,6 +23,10 @@ NEWS_HOSTS = ["blog", "news", "press", "presse", "actualites", "media", "newsroo
 NEWS_SECTIONS = ["blog", "news", "newsroom", "actualite", "actualites", "actualité", "actualités", "presse", "press", "articles", "insights", "publications", "stories", "announcements", "evenements", "événements", "events", "journal", "magazine", "revue", "nouvelles", "communiques", "communiqués", "noticias", "notícias", "akhbar"]
 BAD_EXTENSIONS = ["jpg", "jpeg", "png", "gif", "webp", "svg", "pdf", "doc", "docx", "xls", "xlsx", "mp4", "mp3", "zip", "rar"]
 
+#: Categories in the order of their priority, with the least score by embedding.
+CATEGORIES = {"about": 0.33, "team": 0.33, "services": 0.35, "clients": 0.33, "contact": 0.32, "technology": 0.36, "partners": 0.36}
+MARGIN, PENALTY, NEAREST = 0.04, 0.85, 3
+
 RULE_SCORE, LABEL_SCORE = 1.0, 0.92
 
 
@@ -74,15 +79,34 @@ def score_links(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     return found.where("category is not null")
 
 
+def score_by_embedding(links: DataFrame, vectors: DataFrame, anchors: DataFrame, thresholds: dict[str, float] = CATEGORIES) -> DataFrame:
+    """links(vec_id, ...) with vectors(vec_id, embedding), made of their ``scoring_text`` -> the links whose
+    best category reaches its threshold, with category, score and source, as ``pick_links`` takes them.
+
+    anchors(category, anchor) are a rule table.  A score is the mean of the NEAREST best cosines to 4
+    places; where the second category is closer than MARGIN it counts PENALTY times."""
+    best = matching.best_category(matching.category_scores(vectors.select("vec_id", "embedding"), anchors, NEAREST), MARGIN, PENALTY, max(thresholds.values()), thresholds)
+    return links.join(best, "vec_id").withColumn("source", F.lit("embedding"))
+
+
+def bundle_links(pages: DataFrame, internal_only: bool = True) -> DataFrame:
+    """pages(company_id, category, page_no, url, markdown) -> the links of ``markdown_links`` over all pages of a
+    company, each address once: from the first page that has it, with that page as source."""
+    ids = F.struct("company_id", "page_no", "category").alias("page_id")
+    found = markdown_links(pages.select(ids, "url", "markdown"), internal_only)
+    named = found.select(F.col("page_id.company_id").alias("company_id"), "href", F.struct(F.col("page_id.page_no").alias("page_no"), "start").alias("o"), F.struct("text", "slug", "near", "is_internal", F.col("page_id.category").alias("source_page")).alias("l"))
+    return named.groupBy("company_id", "href").agg(F.min_by("l", "o").alias("l"), F.min("o").alias("o")).select("company_id", "href", "l.*", F.col("o.page_no").alias("page_no"), F.col("o.start").alias("start"))
+
+
 def pick_links(scored: DataFrame, priority: list[str], per_category: int = 2, per_page: int = 9) -> DataFrame:
     """At most ``per_category`` links of each category and ``per_page`` of each page, in the order of
-    categories, rules before labels, places; ``rank`` counts them."""
+    categories, then the best score (rules before labels), then places; ``rank`` counts them."""
     order = F.array_position(F.array(*[F.lit(x) for x in priority]), F.col("category"))
-    keyed = scored.withColumn("order", F.when(order > 0, order).otherwise(F.lit(len(priority) + 1))).withColumn("late", (F.col("source") != "rule").cast("int"))
-    best_first = [F.asc("order"), F.asc("late"), F.asc("position"), F.asc("href")]
+    keyed = scored.withColumn("order", F.when(order > 0, order).otherwise(F.lit(len(priority) + 1)))
+    best_first = [F.asc("order"), F.desc("score"), F.asc("position"), F.asc("href")]
     kept = keyed.withColumn("nth", F.row_number().over(Window.partitionBy("page_id", "category").orderBy(*best_first))).where(F.col("nth") <= per_category)
     kept = kept.withColumn("rank", F.row_number().over(Window.partitionBy("page_id").orderBy(*best_first))).where(F.col("rank") <= per_page)
-    return kept.drop("order", "late", "nth")
+    return kept.drop("order", "nth")
 
 
 def markdown_links(pages: DataFrame, internal_only: bool = True) -> DataFrame:

@@ -127,6 +127,24 @@ def latest_ratios(rows: DataFrame) -> DataFrame:
     return last.withColumns({"margin_pct": margin, "debt_ratio": ratio, "debt_signal": signal})
 
 
+# What figures say to a seller.
+GROWING, SHRINKING = "CA en hausse → budget probablement disponible", "CA en baisse → cycle d'achat prudent"
+PROFITABLE, LOSING, INDEBTED = "Bonne rentabilité → capacité d'investissement", "Pertes nettes → risque de credit", "Endettement élevé → prudence"
+
+
+def indicators(rows: DataFrame) -> DataFrame:
+    """(company_id, year, the latest year's figures, margin_pct, debt_ratio, debt_signal, growth_pct, cagr_pct,
+    growth_signal, margin_label, growth_label, debt_label, signals) of each company's history(company_id, year, field, value)."""
+    ratios = latest_ratios(rows)
+    yearly = records.yearly_indicators(rows.where("field = 'ca'"), "company_id", "year", "value").select("company_id", "growth_pct", "cagr_pct", F.col("signal").alias("growth_signal"))
+    growth, margin = F.col("growth_pct"), F.col("margin_pct")
+    told = F.array_compact(F.array(
+        F.when(growth > 5, GROWING).when(growth <= -5, SHRINKING), F.when(margin > 10, PROFITABLE).when(margin < 0, LOSING), F.when(F.col("debt_signal") == "risque", INDEBTED),
+    ))
+    signed = lambda c: F.when(c.isNotNull(), F.format_string("%+.1f%%", c))
+    return ratios.join(yearly, "company_id", "left").withColumns({"margin_label": signed(margin), "growth_label": signed(growth), "debt_label": F.when(F.col("debt_ratio").isNotNull(), F.format_string("%.2fx", "debt_ratio")), "signals": told})
+
+
 #: A raw record's fields: where they are in its JSON, and their types.
 RECORD = {
     "source_url": ("$._meta.url", "string"), "scraped_at": ("$._meta.scraped_at", "string"), "match_score": ("$._meta.match_score", "double"), "match_level": ("$._meta.match_level", "string"),
@@ -178,8 +196,6 @@ def composed(raw: DataFrame, as_of: int) -> DataFrame:
     nested = lambda column, nth, alias: once.select("company_id", F.posexplode(column).alias(nth, alias))
     contexts = nested("contexts", "position", "c").select("company_id", "position", "c.year", "c.context")
     figures = history(nested("answers", "position", "json"), nested("tables", "table_no", "rows"), contexts)
-    ratios = latest_ratios(figures)
-    growth = records.yearly_indicators(figures.where("field = 'ca'"), "company_id", "year", "value").select("company_id", "growth_pct", "cagr_pct")
-    out = known.join(ratios, "company_id", "left").join(growth, "company_id", "left")
+    out = known.join(indicators(figures), "company_id", "left")
     score = company.sales_score(F.col("siren"), F.col("vat"), F.col("sector"), F.col("headcount.low"), F.size("leaders"), F.col("headcount.label"), F.col("growth_pct"), F.col("margin_pct"), F.col("age"))
     return out.withColumn("sales", score)

@@ -52,6 +52,21 @@ def save_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     flat(df).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
+def save_companies(df: DataFrame, path: str, everything: str, by: str) -> None:
+    """The rows of each company in a folder of its own, which replaces what was there of that company, and
+    all of them added to the global ones."""
+    rows = flat(df)
+    kept = rows.withColumn("_folder", F.regexp_replace(F.trim(F.regexp_replace(by, r"(?U)[^\w\s-]", "")), r"(?U)\s", "_"))
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).option("escape", '"').partitionBy("_folder").csv(path)
+    rows.write.mode("append").option("header", True).option("escape", '"').csv(everything)
+
+
+def newest_file(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, modified): the file that was changed last, of equals the last by name."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path).select("path", F.col("modificationTime").alias("modified"))
+    return files.groupBy().agg(F.max(F.struct("modified", "path")).alias("f")).where("f is not null").select("f.path", "f.modified")
+
+
 def save_json(df: DataFrame, path: str, mode: str = "overwrite", by: str | None = None) -> None:
     w = df.write.mode(mode)
     (w.partitionBy(by) if by else w).json(path)

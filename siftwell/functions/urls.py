@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from siftwell.functions.text import blank
+from siftwell.functions.text import blank, let
 
 # Fixed values.
 COMPOUND = ["co.uk", "co.jp", "co.kr", "com.br", "com.au", "com.ar", "com.mx"]
@@ -93,27 +93,33 @@ def unwanted(text: Column, slug_: Column) -> Column:
 
 def absolute(href: Column, page: Column) -> Column:
     """A link of a page as an absolute URL, as RFC 3986 resolves it; links of other schemes stay."""
-    h, base = F.regexp_replace(F.trim(blank(href)), "[\t\r\n]", ""), blank(page)
-    scheme, root = F.substring_index(base, ":", 1), F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
-    own = F.regexp_extract(base, r"^[^?#]*", 0)
-    folder = F.when(path(base) == "", F.concat(root, F.lit("/"))).otherwise(F.regexp_replace(own, "[^/]*$", ""))
-    rest = F.regexp_extract(h, "[?#].*$", 0)
-    to = F.regexp_replace(h, "[?#].*$", "")
-    target = F.when(to.startswith("/"), F.concat(root, to)).otherwise(F.concat(folder, to))
-    parts = F.split(F.substring(target, F.char_length(root) + 2, F.char_length(target)), "/")
     # "." and ".." are taken out from the left; at the end they leave a slash
     step = lambda s, p: F.when(p == ".", s).when(p == "..", F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0)))).otherwise(F.concat(s, F.array(p)))
-    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
-    slash = F.when(F.get(parts, F.size(parts) - 1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
-    resolved = F.concat(root, F.lit("/"), F.array_join(kept, "/"), slash, rest)
-    return (
-        F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h)
-        .when(h == "", base)
-        .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), h))
-        .when(h.startswith("?"), F.concat(own, h))
-        .otherwise(resolved)
-    )
+
+    def joined(parts: Column) -> Column:
+        kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+        return let(kept, lambda k: F.concat(F.array_join(k, "/"), F.when(F.get(parts, F.size(parts) - 1).isin(".", "..") & (F.size(k) > 0), "/").otherwise("")))
+
+    def resolved(h: Column, base: Column) -> Column:
+        root = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
+        folder = F.when(path(base) == "", "/").otherwise(F.regexp_replace(path(base), "[^/]*$", ""))
+        to = F.regexp_replace(h, "[?#].*$", "")
+        # below the root, without its slash
+        target = F.when(to.startswith("/"), to).otherwise(F.concat(folder, to))
+        return F.concat(root, F.lit("/"), let(F.split(F.substring(target, 2, 1 << 30), "/"), joined), F.regexp_extract(h, "[?#].*$", 0))
+
+    def of(h: Column, base: Column) -> Column:
+        return (
+            F.when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+            .when(h == "", base)
+            .when(h.startswith("//"), F.concat(F.substring_index(base, ":", 1), F.lit(":"), h))
+            .when(h.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), h))
+            .when(h.startswith("?"), F.concat(F.regexp_extract(base, r"^[^?#]*", 0), h))
+            .otherwise(resolved(h, base))
+        )
+
+    # both are bound once: branches share nothing
+    return let(F.struct(F.regexp_replace(F.trim(blank(href)), "[\t\r\n]", "").alias("h"), blank(page).alias("base")), lambda x: of(x["h"], x["base"]))
 
 
 def asset(url: Column) -> Column:

@@ -12,9 +12,9 @@ def page_links(pages: DataFrame, boilerplate: bool = True) -> DataFrame:
     absolute URLs.  Without ``boilerplate`` those in nav, header and footer elements are left out."""
     pattern = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
     html = F.col("html") if boilerplate else main_content(F.col("html"))
-    pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)).alias("href"), F.regexp_extract_all(html, F.lit(pattern), F.lit(2)).alias("text"))
-    rows = pages.select("page_id", "url", F.posexplode(pairs).alias("position", "link"))
-    rows = rows.select("page_id", "url", "position", urls.absolute(F.col("link.href"), F.col("url")).alias("href"), F.trim(F.regexp_replace("link.text", "<[^>]*>", "")).alias("text"))
+    rows = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all(html, F.lit(pattern), F.lit(0))).alias("position", "a"))
+    part = lambda k: F.regexp_extract("a", pattern, k)
+    rows = rows.select("page_id", "url", "position", urls.absolute(part(1), F.col("url")).alias("href"), F.trim(F.regexp_replace(part(2), "<[^>]*>", "")).alias("text"))
     return rows.where(urls.is_web(F.col("href")))
 
 

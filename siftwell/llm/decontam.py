@@ -81,11 +81,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     diagonals = stored(hits(docs, benchmark), "hits")
     items = stored(benchmark.select("item_id", _tokens(F.col("text")).alias("y")).distinct(), "items")
-    pairs = docs.join(_small(diagonals), "doc_id").withColumn("x", _tokens(F.col("text"))).drop("text")
-    pairs = pairs.join(_small(items), "item_id")
+    # a document comes once with all its diagonals, and each of those takes only the words beside its item
+    sizes = items.groupBy("item_id").agg(F.max(F.size("y")).alias("n"))
+    listed = diagonals.join(_small(sizes), "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift", "n")).alias("h"))
+    few = diagonals.count() <= BROADCAST
+
+    def beside(words: Column) -> Column:
+        first = lambda d: F.greatest(d["shift"], F.lit(0))
+        part = lambda d: F.slice(words, (first(d) + 1).cast("int"), F.greatest(d["n"] + F.least(d["shift"], F.lit(0)), F.lit(0)).cast("int"))
+        return F.transform("h", lambda d: F.struct(d["item_id"].alias("item_id"), d["shift"].alias("shift"), (d["shift"] - first(d)).alias("from"), part(d).alias("x")))
+
+    found = docs.join(F.broadcast(listed) if few else listed, "doc_id").select("doc_id", F.explode(let(_tokens(F.col("text")), beside)).alias("d")).select("doc_id", "d.*")
+    pairs = found.join(_small(items), "item_id")
 
     # 1 where the words agree, along the item; beyond the document's ends they don't
-    same = F.transform("y", lambda y, i: F.when(F.get("x", i + F.col("shift")) == y, 1).otherwise(0))
+    same = F.transform("y", lambda y, i: F.when(F.get("x", (i + F.col("from")).cast("int")) == y, 1).otherwise(0))
 
     def best(m: Column) -> Column:
         run = F.least(F.lit(RUN), F.size(m))

@@ -37,10 +37,17 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)) + 1e-9)
 
 
+#: Anchors of all categories: some megabytes as one row.
+MOST_ANCHORS = 5000
+
+
 def category_scores(vectors: DataFrame, anchors: DataFrame, top: int = 3) -> DataFrame:
     """(vec_id, scores: array<struct<category, score>>): the mean of the ``top`` best cosines with a category's
-    anchors.  ``anchors`` (category, anchor) is a rule table: it is folded into one row, and that row is
-    joined to each vector, so scores are made in the row without a shuffle of vectors."""
+    anchors.  ``anchors`` (category, anchor) is a rule table of at most MOST_ANCHORS rows (more are an
+    error): it is folded into one row, and that row is joined to each vector, so scores are made in the
+    row without a shuffle of vectors."""
+    if anchors.limit(MOST_ANCHORS + 1).count() > MOST_ANCHORS:
+        raise ValueError(f"more than {MOST_ANCHORS} anchors")
     size = F.broadcast(anchors.groupBy("category").agg(F.collect_list("anchor").alias("anchors")).agg(F.sort_array(F.collect_list(F.struct("category", "anchors"))).alias("known")))
 
     def mean(c: Column) -> Column:

@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siftwell.functions import articles, company, profile, responses, reviews, urls
-from siftwell.operators import bundles, market, records, registry
+from siftwell.functions import articles, company, profile, responses, reviews, text, urls
+from siftwell.operators import bundles, market, navigation, records, registry
 from siftwell.plans.catalog import _t, query
+from siftwell.sources import landed
 
 
 def _html(spark, sf_dir, expr: str):
@@ -199,3 +200,57 @@ def relative_links(spark, sf_dir):
     link = "CASE p_partkey % 6 WHEN 0 THEN concat('../up', p_partkey) WHEN 1 THEN '../../../..' WHEN 2 THEN './x/./y' WHEN 3 THEN '../../up/z/..' WHEN 4 THEN concat('?q=', p_partkey) ELSE 'q/../x' END"
     p = _t(spark, sf_dir, "part").selectExpr("p_partkey AS k", f"{link} AS link").withColumn("href", urls.absolute(F.col("link"), F.lit("https://h.com/a/b/c#f")))
     return p.select("k", "href", urls.validated(F.lit(" https://h.com/a/b/?x#y")).alias("parent_form"), (F.col("href") == "https://h.com/").alias("is_root"))
+
+
+@query("""
+SELECT user_id, md5(lower('User' || user_id)) AS key, event_id, event_type FROM events WHERE ts > TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 5 DAY
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def fresh_entries(spark, sf_dir):
+    """The latest entry of each key that is younger than the time to live."""
+    e = _t(spark, sf_dir, "events").withColumn("key", landed.cache_key(F.concat(F.lit("User"), F.col("user_id").cast("string"))))
+    once = records.keep_first(e.withColumn("ts", F.col("ts").cast("timestamp")), ["user_id", "ts"], [-F.col("event_id")])
+    return landed.fresh(once, "2024-01-20 00:00:00", 5 * 86_400).select("user_id", "key", "event_id", "event_type")
+
+
+@query("""
+WITH i AS (
+    SELECT doc_id, 'https://n.org/' || (doc_id % 300) AS url, CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'T' || doc_id END AS title, 'src' || (doc_id % 3) AS source, lang AS excerpt FROM documents WHERE doc_id % 7 <> 0
+)
+SELECT url, title AS rss_title, '' AS rss_date, source, excerpt FROM i QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1""")
+def news_items(spark, sf_dir):
+    items = _t(spark, sf_dir, "documents").selectExpr("IF(doc_id % 7 = 0, ' ', concat('https://n.org/', doc_id % 300)) AS url", "IF(doc_id % 4 = 0, null, concat(' T', doc_id, ' ')) AS title", "CAST(null AS STRING) AS published", "concat('src', doc_id % 3) AS source", "lang AS description", "doc_id AS position")
+    return landed.news(items)
+
+
+@query("""
+WITH d AS (
+    SELECT doc_id, repeat('* go to **x**' || chr(10), 25) AS menu, regexp_replace(text, '\\s+', ' ', 'g') AS body FROM documents
+), p AS (
+    SELECT *, trim(body) AS rest, length(regexp_replace(menu || body, '\\s+', '', 'g')) AS dense FROM d
+)
+SELECT doc_id, CASE WHEN dense < 500 THEN 'too_short' ELSE 'nav_dump' END AS status, CASE WHEN dense < 500 THEN NULL WHEN length(rest) >= 200 THEN rest ELSE menu || body END AS content FROM p""")
+def prepared_pages(spark, sf_dir):
+    """Pages that begin with a menu: what follows it is used, if that is enough."""
+    md = "concat(repeat('* go to **x**\\n', 25), regexp_replace(text, '\\\\s+', ' '))"
+    return _t(spark, sf_dir, "documents").selectExpr("doc_id", f"{md} AS md").select("doc_id", bundles.prepared(F.col("md")).alias("p")).select("doc_id", "p.status", "p.content")
+
+
+@query("""
+WITH l AS (
+    SELECT o_custkey AS page_id, o_orderkey AS position, CASE o_orderkey % 5 WHEN 0 THEN 'https://s.org/news/n' || (o_orderkey % 40) WHEN 1 THEN 'https://s.org/p' || (o_orderkey % 60) WHEN 2 THEN 'https://o.org/x' WHEN 3 THEN 'https://s.org/f.pdf' ELSE 'https://s.org/blog' END AS href FROM orders
+), k AS (
+    SELECT page_id, href, min(position) AS position, CASE WHEN href LIKE '%/news/%' THEN 1 ELSE 2 END AS tier FROM l WHERE position % 5 < 2 GROUP BY ALL
+)
+SELECT page_id, href, CAST(tier AS INTEGER) AS tier FROM k QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY tier, position, href) <= 3""")
+def article_links(spark, sf_dir):
+    href = "CASE o_orderkey % 5 WHEN 0 THEN concat('https://s.org/news/n', o_orderkey % 40) WHEN 1 THEN concat('https://s.org/p', o_orderkey % 60) WHEN 2 THEN 'https://o.org/x' WHEN 3 THEN 'https://s.org/f.pdf' ELSE 'https://s.org/blog' END"
+    links = _t(spark, sf_dir, "orders").selectExpr("o_custkey AS page_id", "'https://s.org/' AS url", "o_orderkey AS position", f"{href} AS href")
+    return navigation.article_candidates(links, 3)
+
+
+@query("""
+SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN 'a b' END AS squeezed, CASE WHEN p_partkey % 2 = 0 THEN 'https://x.org' ELSE 'http://x.org' END AS url, CASE WHEN p_partkey % 2 = 0 THEN 'About About about us near' ELSE 'about us about us about us near' END AS scoring
+FROM part""")
+def link_texts(spark, sf_dir):
+    p = _t(spark, sf_dir, "part").selectExpr("p_partkey AS k", "IF(p_partkey % 3 = 0, ' a  b ', '  ') AS raw", "IF(p_partkey % 2 = 0, ' x.org', 'http://x.org') AS url", "IF(p_partkey % 2 = 0, ' About ', '>') AS t")
+    return p.select("k", text.squeeze_or_null(F.col("raw")).alias("squeezed"), urls.with_scheme(F.col("url")).alias("url"), navigation.scoring_text(F.col("t"), F.lit("about us"), F.lit("near")).alias("scoring"))

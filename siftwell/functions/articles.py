@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from siftwell.functions import text, urls
 from siftwell.functions.profile import first, meta
@@ -129,8 +129,10 @@ def clean(articles: DataFrame) -> DataFrame:
 def grouped(articles: DataFrame, key: str, fields: list[str], order: str) -> DataFrame:
     """(key, part, articles): the articles of each group as lists, in order.  A group of more than PART
     articles comes in several parts, so that no row grows without bound."""
-    part = F.floor((F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1) / PART).cast("int")
-    lists = articles.select(key, *fields, part.alias("part")).groupBy(key, "part").agg(F.sort_array(F.collect_list(F.struct(order, *[f for f in fields if f != order]))).alias("articles"))
+    from siftwell.operators.records import numbered
+
+    rows = numbered(articles.select(key, *fields), [key], [order], "_nth")
+    lists = rows.select(key, *fields, F.floor(F.col("_nth") / PART).cast("int").alias("part")).groupBy(key, "part").agg(F.sort_array(F.collect_list(F.struct(order, *[f for f in fields if f != order]))).alias("articles"))
     return lists
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from siftwell.shared import written
+
 
 def keep_first(df: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
     """The first row of each key.  A struct minimum: combined before the shuffle, so a hot key is no
@@ -34,6 +36,32 @@ def top_of_each(df: DataFrame, keys: list[str], order: list[Column], n: int) ->
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
+#: Rows of the table of pieces that may be broadcast.
+PIECES = 20_000
+
+
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str = "nth") -> DataFrame:
+    """Rows with their number (from 0) in their group, however large a group is.
+
+    One range shuffle sorts all rows by group and order, so a group may lie in many partitions; a row's
+    number is its place in its partition, less that of its group's first row there, plus what earlier
+    partitions hold of the group.  Null groups are one; of rows that are equal any comes first.
+    """
+    cols = [F.col(f"`{c}`") for c in [*group, *order]]
+    rows = df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_at", F.monotonically_increasing_id())
+    rows = written(rows, "numbered").withColumn("_part", F.shiftright("_at", 33))
+    keys = [F.col(f"`{c}`").alias(f"_g{k}") for k, c in enumerate(group)]
+    named = [f"_g{k}" for k in range(len(group))]
+    pieces = rows.groupBy(*keys, F.col("_part").alias("_p")).agg(F.min("_at").alias("_first"), F.count("*").alias("_m"))
+    before = Window.partitionBy(*named).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = written(pieces.select(*named, "_p", (F.coalesce(F.sum("_m").over(before), F.lit(0)) - F.col("_first")).alias("_shift")), "pieces")
+    few = F.broadcast(shifts) if shifts.count() <= PIECES else shifts
+    same = F.col("_part") == F.col("_p")
+    for c, g in zip(group, named):
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(g))
+    return rows.join(few, same).select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_at") + F.col("_shift")).alias(name))
+
+
 def yearly_indicators(history: DataFrame, key: str, year: str, value: str) -> DataFrame:
     """Latest value, growth over the year before (of those there are), compound growth over three
     years or more, for each key.  Zeros count as missing."""

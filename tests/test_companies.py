@@ -91,3 +91,16 @@ def test_files_of_companies(spark, tmp_path):
     assert landed.newest_file(spark, f"{tmp_path}/raw", "*_raw.json").first().path.endswith("1_raw.json")
     items = spark.createDataFrame([("u", 1.0), ("v", None), ("w", 3.0)], "url string, relevance double")
     assert [r.url for r in articles.most_relevant(items, 2).collect()] == ["w", "u"]
+
+
+def test_numbers_in_groups_of_any_size(spark):
+    from siftwell.operators import records
+
+    rows = [(None if k % 10 == 0 else "hot" if k % 3 else f"g{k % 7}", k * 37 % 500, k) for k in range(500)] + [("hot", 5, 1000), ("hot", 5, 1000)]
+    df = spark.createDataFrame(rows, "`a.b` string, o int, v int").repartition(7)
+    got = records.numbered(df, ["a.b"], ["o", "v"]).collect()
+    want = {}
+    for g, o, v in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
+        want.setdefault(g, []).append((o, v))
+    assert sorted((str(r[0]), r.nth, r.o, r.v) for r in got) == sorted((str(g), k, o, v) for g, x in want.items() for k, (o, v) in enumerate(x))
+    assert records.numbered(df.limit(0), ["a.b"], ["o"]).count() == 0

@@ -130,16 +130,21 @@ def useful_answers(answers: DataFrame, paths: list[str], useful: list[str], bulk
 
 
 class _Markdown(HTMLParser):
-    """Headings, paragraphs, lists, emphasis, links and images of a page as markdown."""
+    """Headings, paragraphs, lists, emphasis, links, images, tables, quotations and code of a page as markdown."""
 
-    BLOCKS = frozenset("p div section article main header footer nav aside table tr ul ol blockquote pre form figure body html".split())
+    BLOCKS = frozenset("p div section article main header footer nav aside ul ol form figure body html".split())
     SKIPPED = frozenset("script style noscript template svg head".split())
+    #: Stand for the spaces and line ends of code, which stay as they are.
+    KEPT = {" ": "\ue000", "\n": "\ue001", "\t": "\ue002"}
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.out: list[str] = []
-        self.skipped = 0
+        self.skipped = self.code = 0
         self.links: list[str] = []
+        self.lists: list[int | None] = []  # the last number of an ordered one
+        self.quotes: list[int] = []  # where in ``out`` they begin
+        self.tables: list[dict] = []
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
@@ -147,10 +152,17 @@ class _Markdown(HTMLParser):
             self.skipped += 1
         elif re.fullmatch("h[1-6]", tag):
             self.out.append("\n\n" + "#" * int(tag[1]) + " ")
+        elif tag in ("ul", "ol"):
+            self.lists.append(0 if tag == "ol" else None)
+            self.out.append("\n\n")
         elif tag in self.BLOCKS:
             self.out.append("\n\n")
         elif tag == "li":
-            self.out.append("\n* ")
+            if self.lists and self.lists[-1] is not None:
+                self.lists[-1] += 1
+                self.out.append(f"\n{self.lists[-1]}. ")
+            else:
+                self.out.append("\n* ")
         elif tag == "br":
             self.out.append("  \n")
         elif tag in ("b", "strong"):
@@ -162,11 +174,30 @@ class _Markdown(HTMLParser):
             self.out.append("[")
         elif tag == "img":
             self.out.append(f"![{a.get('alt') or ''}]({a.get('src') or ''})")
+        elif tag == "pre":
+            self.code += 1
+            self.out.append("\n\n```\n")
+        elif tag == "code" and not self.code:
+            self.out.append("`")
+        elif tag == "blockquote":
+            self.out.append("\n\n")
+            self.quotes.append(len(self.out))
+        elif tag == "table":
+            self.out.append("\n\n")
+            self.tables.append({"rows": [], "cell": None})
+        elif tag == "tr" and self.tables:
+            self._end_cell()
+            self.tables[-1]["rows"].append([])
+        elif tag in ("td", "th") and self.tables:
+            self._end_cell()
+            self.tables[-1]["cell"] = len(self.out)
 
     def handle_endtag(self, tag):
         if tag in self.SKIPPED:
             self.skipped = max(0, self.skipped - 1)
         elif tag in self.BLOCKS or re.fullmatch("h[1-6]", tag):
+            if tag in ("ul", "ol") and self.lists:
+                self.lists.pop()
             self.out.append("\n\n")
         elif tag in ("b", "strong"):
             self.out.append("**")
@@ -174,15 +205,66 @@ class _Markdown(HTMLParser):
             self.out.append("*")
         elif tag == "a" and self.links:
             self.out.append(f"]({self.links.pop()})")
+        elif tag == "pre" and self.code:
+            self.code -= 1
+            self.out.append("\n```\n\n")
+        elif tag == "code" and not self.code:
+            self.out.append("`")
+        elif tag == "blockquote" and self.quotes:
+            said = self._taken(self.quotes.pop())
+            self.out.append("\n".join(f"> {line}" if line else ">" for line in self.plain(said).split("\n")) + "\n\n")
+        elif tag in ("td", "th", "tr") and self.tables:
+            self._end_cell()
+        elif tag == "table" and self.tables:
+            self._end_cell()
+            self._end_table()
 
     def handle_data(self, data):
-        if not self.skipped:
+        if self.skipped:
+            return
+        if self.code:
+            for c, stands in self.KEPT.items():
+                data = data.replace(c, stands)
+            self.out.append(data)
+        else:
             self.out.append(re.sub(r"\s+", " ", data))
 
-    def text(self) -> str:
-        lines = [re.sub(r"[ \t]+", " ", x).strip() for x in "".join(self.out).split("\n")]
+    def _taken(self, at: int) -> str:
+        """What was written from a place on, which is taken back."""
+        said = "".join(self.out[at:])
+        del self.out[at:]
+        return said
+
+    def _end_cell(self) -> None:
+        table = self.tables[-1]
+        if table["cell"] is not None:
+            if not table["rows"]:
+                table["rows"].append([])
+            table["rows"][-1].append(" ".join(self._taken(table["cell"]).split()).replace("|", "\\|"))
+            table["cell"] = None
+
+    def _end_table(self) -> None:
+        rows = [r for r in self.tables.pop()["rows"] if r]
+        width = max(map(len, rows), default=0)
+        lines = ["| " + " | ".join(r + [""] * (width - len(r))) + " |" for r in rows]
+        if lines:
+            lines.insert(1, "|" + " --- |" * width)
+        self.out.append("\n".join(lines) + "\n\n")
+
+    @staticmethod
+    def plain(said: str) -> str:
+        lines = [re.sub(r"[ \t]+", " ", x).strip(" \t\r\f\v") for x in said.split("\n")]
         return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
 
+    def text(self) -> str:
+        while self.tables:  # what nothing closes ends with the page
+            self._end_cell()
+            self._end_table()
+        out = self.plain("".join(self.out))
+        for c, stands in self.KEPT.items():
+            out = out.replace(stands, c)
+        return out
+
 
 @F.pandas_udf(StringType())
 def html_to_markdown(html: pd.Series) -> pd.Series:

@@ -79,3 +79,16 @@ def test_streams(spark, tmp_path):
     query = incremental.windowed_counts(stream(), "ts", "k").writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted((r.k, r.n) for r in spark.table("counts").collect()) == [("a", 1), ("a", 1), ("b", 1)]
+
+
+def test_markdown_of_tables_quotes_and_code(spark):
+    cases = [
+        ("<ol><li>one<li>two<ul><li>in</ul><li>three</ol>", "1. one\n2. two\n\n* in\n\n3. three"),
+        ("<table><tr><th>A</th><th>B | C</th></tr><tr><td>1 <b>2</b></td></tr></table>after", "| A | B \\| C |\n| --- | --- |\n| 1 **2** | |\n\nafter"),
+        ("<table><tr><td>a<td>b<tr><td>c<p>d", "| a | b |\n| --- | --- |\n| c d | |"),
+        ("x<blockquote><p>said  this</p><p>and <i>that</i></p></blockquote>y", "x\n\n> said this\n>\n> and *that*\n\ny"),
+        ("use <code>a  b</code><pre><code>if x:\n    y = 1\n</code></pre>end", "use `a b`\n\n```\nif x:\n    y = 1\n\n```\n\nend"),
+        ("<table></table><blockquote></blockquote>z", ">\n\nz"),
+    ]
+    rows = spark.createDataFrame([(k, h) for k, (h, _) in enumerate(cases)], "i int, h string").select("i", landed.html_to_markdown(F.col("h")).alias("m")).orderBy("i").collect()
+    assert [r.m for r in rows] == [want for _, want in cases]

@@ -316,7 +316,7 @@ def brute_rules(t):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "client_changes"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     want = con.execute(queries.ORACLE_SQL[name])
     columns = [d[0] for d in want.description]

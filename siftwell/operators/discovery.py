@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siftwell.functions import articles, structure, urls
 from siftwell.functions.text import any_of, squeeze
-from siftwell.operators import matching, navigation
+from siftwell.operators import matching, navigation, records
 from siftwell.shared import written
 
 # Fixed values.
@@ -82,10 +82,17 @@ def sitemap_articles(sites: DataFrame, entries: DataFrame, keywords: list[str] =
 
 
 def _landed(pages: DataFrame) -> DataFrame:
-    """(url, html, final, address): one row for each URL with html; relative links are those of its address."""
+    """(url, html, final, address) of the rows with html; relative links are those of the address."""
     final = urls.validated(F.col("final_url")) if "final_url" in pages.columns else F.lit("")
-    rows = pages.where("url is not null and html is not null").select(urls.normalized(F.col("url")).alias("url"), "html", final.alias("final"), F.trim("url").alias("address"))
-    return rows.dropDuplicates(["url"])
+    return pages.where("url is not null and html is not null").select(urls.normalized(F.col("url")).alias("url"), "html", final.alias("final"), F.trim("url").alias("address"))
+
+
+def _read(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (url, ...) with the html, final and address of its pages.  Only those are moved: a few of all that is
+    landed.  Of rows that land a URL again the first by content counts."""
+    of_wanted = _landed(pages).join(wanted.select("url").distinct(), "url", "left_semi")
+    once = records.keep_first(of_wanted, ["url"], [F.xxhash64("html", "address")])
+    return wanted.join(once, "url")
 
 
 def _anchors(pages: DataFrame, boilerplate: bool = True) -> DataFrame:
@@ -98,7 +105,7 @@ def sections(sites: DataFrame, pages: DataFrame) -> DataFrame:
     """(site, section, is_news): what the home page's anchors name by text, path or query, and what is landed
     at a usual path; of those that lead to one page the first."""
     landed = _landed(pages)
-    homes = landed.join(sites.select("site").distinct(), F.col("url") == F.col("site")).select("site", "html", "address")
+    homes = _read(pages, sites.select("site", F.col("site").alias("url")).distinct()).select("site", "html", "address")
     query = F.lower(F.regexp_extract("href", r"\?([^#]*)", 1))
     named = any_of(F.lower(squeeze(F.col("text"))), NAV_KEYWORDS) | any_of(F.lower(urls.path(F.col("href"))), NAV_KEYWORDS) | any_of(query, NAV_KEYWORDS)
     in_site = navigation.same_domain(F.col("href"), urls.source_host(F.col("site")))
@@ -107,6 +114,7 @@ def sections(sites: DataFrame, pages: DataFrame) -> DataFrame:
     of_path = landed.where(usual).select(urls.site(F.col("url")).alias("site"), F.col("url").alias("section")).join(sites.select("site").distinct(), "site", "left_semi")
     every = of_nav.unionByName(of_path).distinct()
     leads = landed.select(F.col("url").alias("section"), "final").where("final <> ''")
+    leads = leads.groupBy("section").agg(F.min("final").alias("final"))
     every = every.join(leads, "section", "left").withColumn("page", F.coalesce("final", "section"))
     once = every.groupBy("site", "page").agg(F.min("section").alias("section"))
     return once.select("site", "section", navigation.news_section(F.col("section")).alias("is_news"))
@@ -120,10 +128,9 @@ OLD_PAGE = 200
 def plain_articles(sites: DataFrame, pages: DataFrame) -> DataFrame:
     """(site, url): the older discovery: what anchors that may lead to articles name, on landed pages at OLD_PATHS with over
     OLD_PAGE characters; in the site, no list, no section, each once."""
-    landed = _landed(pages).where(F.char_length("html") > OLD_PAGE)
     usual = F.explode(F.array(*[urls.normalized(F.concat("site", F.lit(p))) for p in OLD_PATHS])).alias("url")
     wanted = sites.where("site is not null").select("site", usual).distinct()
-    links = wanted.join(landed, "url").select("site", "address", F.explode(structure.anchors("html")).alias("a")).where("a.may_be_article")
+    links = _read(pages.where(F.char_length("html") > OLD_PAGE), wanted).select("site", "address", F.explode(structure.anchors("html")).alias("a")).where("a.may_be_article")
     href = links.select("site", urls.validated(urls.absolute(F.col("a.href"), F.col("address"))).alias("url")).where(navigation.same_domain(F.col("url"), urls.source_host(F.col("site"))))
     return href.where(~articles.is_listing(F.col("url")) & ~navigation.bad_extension(F.col("url"))).distinct().join(wanted, ["site", "url"], "left_anti")
 
@@ -132,27 +139,27 @@ def listing_pages(found: DataFrame, pages: DataFrame, most: int = LISTING_PAGES)
     """found(site, section) -> (site, section, n, url): each section and the pages that go on from it, up to
     ``most``: by the template that its first "next" link fits, as long as they are landed and full, or
     by following such links."""
-    landed = _landed(pages)
     first = found.select("site", "section", F.lit(1).alias("n"), F.col("section").alias("url"))
     if most <= 1:
         return first
     two = F.regexp_replace(F.concat(urls.path(F.col("href")), F.lit("?"), F.regexp_extract("href", r"\?([^#]*)", 1)), r"\?$", "")
     is_next = F.lower(squeeze(F.col("text"))).isin(FIRST_NEXT_TEXTS) | two.rlike("[/=]2/?$")
-    nexts = _anchors(first.join(landed, "url")).where(is_next).groupBy("site", "section").agg(F.min_by("href", "position").alias("next"))
+    nexts = _anchors(_read(pages, first)).where(is_next).groupBy("site", "section").agg(F.min_by("href", "position").alias("next"))
     fits = F.array_position(F.array(*[urls.normalized(t) for t in _listing(F.col("section"), F.lit(2))]), urls.normalized(F.col("next")))
     nexts = written(nexts.withColumn("template", fits), "next")
 
     numbered = nexts.where("template > 0").select("site", "section", F.explode(F.sequence(F.lit(2), F.lit(most))).alias("n"), "template")
     address = F.get(F.array(*_listing(F.col("section"), F.col("n"))), (F.col("template") - 1).cast("int"))
     numbered = numbered.select("site", "section", "n", urls.normalized(address).alias("url"))
-    full = landed.where(F.char_length("html") >= FULL_PAGE).select("url", F.lit(True).alias("full"))
+    full = _landed(pages).where(F.char_length("html") >= FULL_PAGE).select("url")
+    full = full.join(numbered.select("url").distinct(), "url", "left_semi").distinct().withColumn("full", F.lit(True))
     numbered = numbered.join(full, "url", "left")
     end = F.min(F.when(F.col("full").isNull(), F.col("n"))).over(Window.partitionBy("site", "section"))
     numbered = numbered.withColumn("end", end).where("end is null or n < end").select("site", "section", "n", "url")
 
     chain = now = nexts.where("template = 0").select("site", "section", F.lit(2).alias("n"), urls.normalized(F.col("next")).alias("url")).where("url <> section")
     for n in range(3, most + 1):
-        links = _anchors(now.join(landed, "url")).where(F.lower(squeeze(F.col("text"))).isin(NEXT_TEXTS))
+        links = _anchors(_read(pages, now)).where(F.lower(squeeze(F.col("text"))).isin(NEXT_TEXTS))
         links = links.groupBy("site", "section").agg(urls.normalized(F.min_by("href", "position")).alias("url"))
         now = links.join(chain.unionByName(first), ["site", "section", "url"], "left_anti").select("site", "section", F.lit(n).alias("n"), "url")
         chain = chain.unionByName(now)
@@ -162,7 +169,7 @@ def listing_pages(found: DataFrame, pages: DataFrame, most: int = LISTING_PAGES)
 def section_links(listings: DataFrame, pages: DataFrame) -> DataFrame:
     """listings(site, section, n, url) -> (site, url, place): the links of their content that may be
     articles: in the site, no file, upload or root, not the page itself."""
-    links = _anchors(listings.select("site", F.struct("section", "n").alias("section"), "url").join(_landed(pages), "url"), boilerplate=False)
+    links = _anchors(_read(pages, listings.select("site", F.struct("section", "n").alias("section"), "url")), boilerplate=False)
     path = F.regexp_replace(F.lower(urls.path(F.col("href"))), "/+$", "")
     href = urls.validated(F.col("href"))
     ok = navigation.same_domain(F.col("href"), urls.source_host(F.col("site"))) & (path != "") & ~navigation.bad_extension(F.col("href")) & ~path.contains("/wp-content/") & ~path.contains("/uploads/") & (href != urls.validated(F.col("url")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -75,9 +76,20 @@ def words(text: Column) -> Column:
 _held: dict = {}
 
 
+def _trim() -> None:
+    """Give memory that is free, but still this process's, back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # only glibc has it
+        pass
+
+
 def held(key, make: Callable):
     """What a Python worker keeps from one batch to the next; made once."""
     if key not in _held:
+        _trim()  # what earlier stages left in this process
         _held[key] = make()
         gc.collect()
         gc.freeze()  # large and lasting: the collector needn't walk it again
@@ -90,8 +102,7 @@ def unload() -> None:
     if _held:
         _held.clear()
         gc.unfreeze()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        _trim()
 
 
 def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 512, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:

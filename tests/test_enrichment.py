@@ -2,9 +2,11 @@
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
+from siftwell.functions import profile, reviews
 from siftwell.operators import enrichment
 
 NAMES = [("Acme", "org"), ("Acme Corp", "org"), ("Corp of X", "org"), ("New York", "place"), ("York", "place"), ("Ann Doe", "person"), ("Doe Inc.", "org"), ("Élise", "person"), ("X", "org"), ("Ann", "person")]
@@ -56,3 +58,14 @@ def test_profiles_are_filled_where_null(spark):
     assert all(got[3][c] is None for c in ("team_leaders", "reviews", "founded_year", "certifications", "locations", "orgs_mentioned"))
     totals = enrichment.list_totals(spark.createDataFrame([(1, ["a", "b"]), (1, None), (2, None)], "g int, xs array<string>"), ["g"], "xs").orderBy("g").collect()
     assert [tuple(r) for r in totals] == [(1, 2), (2, 0)]
+
+
+def test_long_lists_are_made_distinct_in_little_time(spark):
+    lists = spark.createDataFrame([(["b", "a", None, "B", "c", "A", "C"],), ([],), (None,)], "xs array<string>")
+    got = [r.d for r in lists.select(profile.distinct_by(F.col("xs"), F.upper).alias("d")).collect()]
+    assert got == [["b", "a", "c"], [], None]
+    said = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(10_000)), lambda k: F.format_string("\"We have worked with them for very many years %d\" ANN %s\n", k, F.translate((k % 500).cast("string"), "0123456789", "ABCDEFGHIJ"))), "")
+    names = F.transform(F.sequence(F.lit(1), F.lit(60_000)), lambda k: F.concat(F.lit("name"), (k % 30_000).cast("string")))
+    began = time.perf_counter()
+    r = spark.range(1).select(F.size(profile.distinct_by(names, F.upper)).alias("n"), F.size(profile.organisations(names, F.lit("x"))).alias("m"), F.size(reviews.quotations(said, F.lit("x"))).alias("q")).first()
+    assert (r.n, r.m, r.q) == (30_000, 25, 8) and time.perf_counter() - began < 20

@@ -8,9 +8,10 @@ import operator
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siftwell.functions import company, profile, structure
-from siftwell.functions.shredding import shred
+from siftwell.functions.shredding import shred_variant
 from siftwell.functions.text import blank, squeeze_or_null
 from siftwell.operators import records
+from siftwell.shared import written
 
 # A row's label holds all words of an entry; the first entry counts.
 LABELS = [
@@ -107,9 +108,10 @@ def history(answers: DataFrame, tables: DataFrame, contexts: DataFrame) -> DataF
     contexts."""
     every = [f(x).withColumn("rank", F.lit(k)) for k, (f, x) in enumerate([(of_answers, answers), (of_tables, tables), (of_contexts, contexts)])]
     rows = every[0].unionByName(every[1]).unionByName(every[2])
-    best = rows.groupBy("company_id").agg(F.min("rank").alias("rank"))
+    # a company's rows are few, a figure each; a join with the best ranks would read all sources twice
     names = F.array(*[F.lit(s) for s in SOURCES])
-    return rows.join(best, ["company_id", "rank"]).select("company_id", F.get(names, F.col("rank")).alias("source"), "year", "field", "value")
+    best = rows.withColumn("best", F.min("rank").over(Window.partitionBy("company_id"))).where("rank = best and company_id is not null")
+    return best.select("company_id", F.get(names, F.col("rank")).alias("source"), "year", "field", "value")
 
 
 def by_year(rows: DataFrame) -> DataFrame:
@@ -172,7 +174,8 @@ def raw_of_records(landed: DataFrame) -> DataFrame:
     """landed(company_id, json) -> the raw frame that ``composed`` takes; ``rejected`` names what of a
     record couldn't be read, the rest of it counts."""
     answers = F.from_json(F.get_json_object("json", "$.xhr_finances"), "map<string,string>")
-    rows = landed.select("company_id", shred(F.col("json"), {k: v for k, v in RECORD.items() if k != "answers"}).alias("r"), F.map_values(answers).alias("answers")).select("company_id", "r.*", "answers")
+    parsed = landed.select("company_id", F.try_parse_json("json").alias("v"), F.col("json").isNotNull().alias("given"), F.map_values(answers).alias("answers"))
+    rows = parsed.select("company_id", shred_variant(F.col("v"), F.col("given"), {k: v for k, v in RECORD.items() if k != "answers"}).alias("r"), "answers").select("company_id", "r.*", "answers")
     people = F.transform("people", lambda p: p["parts_raw"])
     return rows.withColumns({"people": people, "tables": F.transform("tables", lambda t: t["rows"])}).select(*_RAW)
 
@@ -182,6 +185,7 @@ def composed(raw: DataFrame, as_of: int) -> DataFrame:
     identity, place, activity, head count, leaders, the latest year's figures, growth, and a prospect's
     score.  ``as_of`` is the year in which ages are counted."""
     once = records.keep_first(raw.withColumn("_order", F.xxhash64(*[F.to_json(F.struct(c)) for c in _RAW if c != "company_id"])), ["company_id"], ["_order"]).drop("_order")
+    once = written(once, "raw")  # read five times; a page is parsed once
     told = lambda c, label: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.try_element_at("pairs", F.lit(label)))
     founded = company.year(told("founded", "Création"))
     people = F.coalesce(profile.leaders(F.coalesce("people", F.array().cast("array<array<string>>"))), F.array().cast("array<struct<name:string,title:string,age:int,born:string,is_chair:boolean,is_chief:boolean>>"))
@@ -195,7 +199,7 @@ def composed(raw: DataFrame, as_of: int) -> DataFrame:
     ).withColumn("age", company.age(F.col("founded"), as_of))
     nested = lambda column, nth, alias: once.select("company_id", F.posexplode(column).alias(nth, alias))
     contexts = nested("contexts", "position", "c").select("company_id", "position", "c.year", "c.context")
-    figures = history(nested("answers", "position", "json"), nested("tables", "table_no", "rows"), contexts)
+    figures = written(history(nested("answers", "position", "json"), nested("tables", "table_no", "rows"), contexts), "figures")
     out = known.join(indicators(figures), "company_id", "left")
     score = company.sales_score(F.col("siren"), F.col("vat"), F.col("sector"), F.col("headcount.low"), F.size("leaders"), F.col("headcount.label"), F.col("growth_pct"), F.col("margin_pct"), F.col("age"))
     return out.withColumn("sales", score)

@@ -1,4 +1,4 @@
-"""Tables written to the folder that the driver and all executors share, to cut lineage."""
+"""Tables written to the folder that the driver and all executors share, to cut lineage; rows dealt over the cluster."""
 
 from __future__ import annotations
 
@@ -25,3 +25,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores.  A table of few bytes comes as one file with one row group, so that one
+    task would read it and do all that is computed from its rows; call it while rows are still narrow."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))

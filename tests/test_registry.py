@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siftwell.functions import shredding, structure
 from siftwell.functions.dom import parsed
 from siftwell.operators import registry
+from siftwell.plans import catalog, sites
 
 
 @pytest.mark.parametrize("html,want", [
@@ -70,3 +71,19 @@ def test_composition(spark):
     assert r.sales.label == "A" and r.sales.priority == "haute"
     assert got[2].rejected == ["$"] and got[2].sales.score == 0 and got[2].leaders == [] and got[3].rejected == [] and len(got) == 3
     assert registry.composed(registry.raw_of_records(landed.limit(0)), 2026).count() == 0
+
+
+def test_rows_of_one_file_are_dealt_and_pages_parsed_once(spark, tmp_path):
+    """All rows of a table of one row group would be one task's; what is read from a page is written once."""
+    spark.range(1, 41).selectExpr("id AS c_custkey", "concat('Customer', id) AS c_name", "CAST(id AS DOUBLE) AS c_acctbal").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    assert catalog._t(spark, str(tmp_path), "customer").rdd.getNumPartitions() == 1 and sites.registry_pages(spark, str(tmp_path)).rdd.getNumPartitions() >= 8
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(html):
+        calls.add(1)
+        return html
+
+    pages = sites.registry_pages(spark, str(tmp_path)).withColumn("html", counted.asNondeterministic()("html"))
+    assert registry.composed(registry.raw_of_pages(pages), 2026).count() == 40
+    assert calls.value == 40

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siftwell.functions.text import blank
+from siftwell.functions.text import blank, let
 
 
 def json_of(raw: Column) -> Column:
     """The JSON text of an answer: all of it, or from its first to its last brace; null if neither is JSON."""
     inner = F.regexp_extract(blank(raw), r"(?s)\{.*\}", 0)
-    valid = lambda c: F.try_parse_json(c).isNotNull() & (F.trim(c) != "")
+    valid = lambda c: (F.trim(c) != "") & F.try_parse_json(c).isNotNull()
     return F.when(valid(blank(raw)), raw).when(valid(inner), inner)
 
 
@@ -28,8 +28,11 @@ def _texts(answer: Column, name: str, least: int) -> Column:
 
 
 def fields_of(raw: Column) -> Column:
-    """struct of the fields of a company profile that an answer holds."""
-    answer = json_of(raw)
+    """struct of the fields of a company profile that an answer holds; its JSON is looked for once."""
+    return let(json_of(raw), _fields)
+
+
+def _fields(answer: Column) -> Column:
     listed = F.from_json(_value(answer, "description"), "array<string>")
     is_list = F.coalesce(_value(answer, "description"), F.lit("")).startswith("[")
     described = F.when(is_list, F.array_join(F.filter(F.transform(listed, lambda x: F.trim(x)), lambda x: x != ""), " ")).otherwise(F.trim(_value(answer, "description")))

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from siftwell.functions import articles, company, profile, responses, reviews, text, urls
 from siftwell.operators import bundles, market, navigation, records, registry
-from siftwell.plans.catalog import _t, query
+from siftwell.plans.catalog import _dealt, _t, query
 from siftwell.sources import landed
 
 
 def _html(spark, sf_dir, expr: str):
-    return _t(spark, sf_dir, "customer").selectExpr("c_custkey AS k", f"{expr} AS x")
+    return _dealt(spark, sf_dir, "customer", "c_custkey").selectExpr("c_custkey AS k", f"{expr} AS x")
 
 
 @query("""
@@ -64,7 +64,7 @@ def answers_fill(spark, sf_dir):
     described = "CASE WHEN c_custkey % 5 IN (0, 1) THEN '[\"one \", \"\", \"two\"]' ELSE '\" plain \"' END"
     answer = f"""concat(IF(c_custkey % 5 = 1, 'Here it is: ', ''), '{{"company_name": "', c_name, '", "description": ', {described}, ', "services": ["consulting", "x", 5, " cloud "], "founded_year": "', 1990 + c_custkey % 30, '"',
         IF(c_custkey % 2 = 0, ', "team_leaders": [{{"name": "Ann", "title": "CEO"}}, {{"title": "none"}}]', ''), IF(c_custkey % 5 = 4, '', '}}'), IF(c_custkey % 5 = 2, ' done', ''))"""
-    c = _t(spark, sf_dir, "customer")
+    c = _dealt(spark, sf_dir, "customer", "c_custkey", "c_name")
     found = c.selectExpr("c_custkey AS company_id", f"{answer} AS a").select("company_id", responses.fields_of(F.col("a")).alias("f")).select("company_id", "f.*")
     known = c.selectExpr("c_custkey AS company_id", "IF(c_custkey % 3 = 0, 'known', null) AS company_name", "CAST(null AS STRING) AS description", "CAST(null AS array<string>) AS services", "CAST(null AS INT) AS founded_year", "CAST(null AS array<struct<name:string,title:string>>) AS team_leaders")
     out = responses.fill(known, found, "company_id")
@@ -99,7 +99,7 @@ SELECT company_id, CAST(year AS INTEGER) AS year, 'ca_estimate' AS field, CAST(v
 def history_of_contexts(spark, sf_dir):
     """Years with amounts beside them, the last source of a history; the first amount of a year counts."""
     said = "CASE c_custkey % 4 WHEN 0 THEN concat('environ ', c_custkey % 900 + 100, ' 000 € de ventes') WHEN 1 THEN concat('total: ', c_custkey % 90 + 10, ' k€') WHEN 2 THEN concat('de ', c_custkey % 900 + 100, ' €') ELSE 'rien' END"
-    c = _t(spark, sf_dir, "customer").selectExpr("c_custkey AS company_id", "CAST(2018 + c_custkey % 6 AS STRING) AS year", f"explode(array(named_struct('position', 1, 'context', '5 555 €'), named_struct('position', 0, 'context', {said}))) AS p").where("p.position = 0 or company_id % 4 <> 3").select("company_id", "p.position", "year", "p.context")
+    c = _dealt(spark, sf_dir, "customer", "c_custkey").selectExpr("c_custkey AS company_id", "CAST(2018 + c_custkey % 6 AS STRING) AS year", f"explode(array(named_struct('position', 1, 'context', '5 555 €'), named_struct('position', 0, 'context', {said}))) AS p").where("p.position = 0 or company_id % 4 <> 3").select("company_id", "p.position", "year", "p.context")
     nothing = spark.createDataFrame([], "company_id long, position int, json string"), spark.createDataFrame([], "company_id long, table_no int, rows array<array<string>>")
     return registry.history(*nothing, c).select("company_id", "year", "field", "value", "source")
 
@@ -111,7 +111,7 @@ SELECT c_custkey AS k, CASE WHEN c_custkey % 3 <> 0 THEN '123456' || lpad(CAST(c
 FROM customer""")
 def company_identifiers(spark, sf_dir):
     k = F.col("k")
-    c = _t(spark, sf_dir, "customer").selectExpr(
+    c = _dealt(spark, sf_dir, "customer", "c_custkey", "c_mktsegment").selectExpr(
         "c_custkey AS k", "IF(c_custkey % 3 = 0, '12 34', concat('123 456 ', lpad(c_custkey % 1000, 3, '0'))) AS siren", "concat('le 1er mai ', 1950 + c_custkey % 70) AS founded", "concat('code 62', lpad(c_custkey % 100, 2, '0'), 'z') AS naf",
         "concat('SAS  ', c_mktsegment, ' Capital de 10') AS form", "concat(c_mktsegment, ' & Co') AS words", "concat(c_mktsegment, ' Holding S') AS x", "concat(c_mktsegment, ' SARL') AS name",
         "element_at(array('https://www.acme.com/x', 'acme.com.tn', 'acme.fr', 'other.org'), CAST(c_custkey % 4 + 1 AS INT)) AS site", "element_at(array('PAR', 'NYQ', 'LSE', ''), CAST(c_custkey % 4 + 1 AS INT)) AS exchange",
@@ -130,7 +130,7 @@ SELECT c_custkey AS k, lpad(CAST(c_custkey % 90000 + 10000 AS VARCHAR), 5, '0')
     CAST(CASE WHEN c_custkey % 2 = 0 THEN 0.725 ELSE 0.865 END AS DOUBLE) AS score, CASE WHEN c_custkey % 2 = 0 THEN 'bon' ELSE 'excellent' END AS level
 FROM customer""")
 def addresses_read(spark, sf_dir):
-    c = _t(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "concat('1 rue X ', c_custkey % 90000 + 10000, ' Ville') AS address", "element_at(array('France', 'Maroc', 'Mars'), CAST(c_custkey % 3 + 1 AS INT)) AS country", "IF(c_custkey % 2 = 0, '3 rue X, 75001, Ville, France', '3 rue de la Ville France') AS place", "IF(c_custkey % 2 = 0, 0.0, 1.0) AS d")
+    c = _dealt(spark, sf_dir, "customer", "c_custkey").selectExpr("c_custkey AS k", "concat('1 rue X ', c_custkey % 90000 + 10000, ' Ville') AS address", "element_at(array('France', 'Maroc', 'Mars'), CAST(c_custkey % 3 + 1 AS INT)) AS country", "IF(c_custkey % 2 = 0, '3 rue X, 75001, Ville, France', '3 rue de la Ville France') AS place", "IF(c_custkey % 2 = 0, 0.0, 1.0) AS d")
     score = market.match_score(F.col("d"), F.when(F.col("k") % 2 == 0, 1.0).otherwise(0.9), F.lit(0.3), F.when(F.col("k") % 2 == 0, 0.5667).otherwise(1.0))
     rounded = F.round(score, 3)
     return c.select("k", market.postcode(F.col("address")).alias("postcode"), market.town(F.col("address")).alias("town"), market.iso2(F.col("country")).alias("iso"), market.city(F.col("place"), F.lit("France")).alias("city"), rounded.alias("score"), market.level(rounded).alias("level"))
@@ -165,7 +165,7 @@ def markdown_fields(spark, sf_dir):
     site = "concat('https://www.acme', c_custkey, '.com')"
     md = f"""concat('[In](https://linkedin.com/x) [F](https://first.org/a) ![hero](https://cdn.x/hero-logo.png) ', IF(c_custkey % 2 = 0, concat('![l](https://cdn.x/logo', c_custkey, '.png) '), ''), IF(c_custkey % 3 = 0, concat('[Home](', {site}, '/home) '), ''), IF(c_custkey % 3 = 1, concat({site}, '/bare '), ''),
         '[A](', {site}, '/about-us) [Again](', {site}, '/about) ', IF(c_custkey % 4 = 0, concat('[T](', {site}, '/team/x "title")'), ''))"""
-    c = _t(spark, sf_dir, "customer").selectExpr("c_custkey AS k", f"{md} AS md", f"{site} AS site")
+    c = _dealt(spark, sf_dir, "customer", "c_custkey").selectExpr("c_custkey AS k", f"{md} AS md", f"{site} AS site")
     hint = F.when(F.col("k") % 3 == 2, "nothing").otherwise(F.concat(F.lit("acme"), F.col("k").cast("string")))
     inner = profile.inner_urls(F.col("md"), F.col("site"))
     return c.select("k", profile.website(F.col("md"), hint).alias("website"), profile.logo(F.col("md")).alias("logo"), F.try_element_at(inner, F.lit("about")).alias("about"), F.try_element_at(inner, F.lit("team")).alias("team"))
@@ -176,7 +176,7 @@ SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN 'Ann Doe/Présidente direc
     CASE WHEN c_custkey % 2 = 0 THEN 'Jane DOE: CEO|Max Power: Head of Sales' ELSE 'Max Power: Head of Sales' END AS team, CASE WHEN c_custkey % 2 = 0 THEN 'This product has changed the way we all work/JOHN SMITH/Director at Globex' ELSE '' END AS quotes
 FROM customer""")
 def people_and_places(spark, sf_dir):
-    c = _t(spark, sf_dir, "customer").selectExpr(
+    c = _dealt(spark, sf_dir, "customer", "c_custkey").selectExpr(
         "c_custkey AS k",
         "CASE c_custkey % 3 WHEN 0 THEN array(array('Ann  Doe', 'Présidente directrice', '50 ans'), array('Ann Doe', 'présidente directrice'), array('KPMG SA', 'Gérant')) WHEN 1 THEN array(array('Bob Roe', 'Gérant', 'x'), array('Old Man', 'Ancien gérant')) ELSE array(array('One')) END AS people",
         "IF(c_custkey % 2 = 0, array('Globex', 'GLOBEX', '3M Corp', 'Acme Labs', 'Initech', 'abc'), array('Globex', 'A & B & C')) AS orgs", "array('Lyon', null, '') AS cities", "array('lyon', 'Paris') AS named",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions import articles, text, urls
 from siftwell.operators import enrichment, market, navigation, records, registry
-from siftwell.plans.catalog import _list, _t, query
+from siftwell.plans.catalog import _dealt, _list, _t, query
 
 _names = [*navigation.CATEGORIES]
 _least = ", ".join(f"('{n}', {k}, {t})" for k, (n, t) in enumerate(navigation.CATEGORIES.items()))
@@ -67,7 +67,7 @@ SELECT k AS company_id, CAST(2023 AS INTEGER) AS year, CAST(growth AS DOUBLE) AS
 FROM i""")
 def registry_indicators(spark, sf_dir):
     years = F.explode(F.array(*[F.lit(y) for y in (2020, 2022, 2023)])).alias("year")
-    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"), years)
+    c = _dealt(spark, sf_dir, "customer", "c_custkey").select(F.col("c_custkey").alias("company_id"), years)
     k, y = F.col("company_id"), F.col("year")
     ca = 1000 + k % 40 + F.when(y == 2023, (k % 11 - 5) * 32).when(y == 2022, 0).otherwise(-64)
     last = lambda v: F.when(y == 2023, v)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -96,6 +97,7 @@ def page(c: Column) -> Column:
 
 #: A bracket, or one that closes a link's text with the address that follows.
 _mark = re.compile(r"\[|\](?:\((https?://[^)\s]+)\))?")
+_ARROW = [pa.field("start", pa.int32()), pa.field("size", pa.int32()), *[pa.field(x, pa.string()) for x in ("text", "url", "near")]]
 _LINK = ArrayType(StructType([StructField("start", IntegerType()), StructField("size", IntegerType()), *[StructField(x, StringType()) for x in ("text", "url", "near")]]))
 
 
@@ -118,8 +120,12 @@ def scan_links(markdown: str, window: int = 80) -> list[tuple[int, int, str, str
     return sorted(found)
 
 
-@F.pandas_udf(_LINK)
-def links(markdown: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(_LINK)
+def links(markdown: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """The links of markdown texts; none for null."""
     for batch in markdown:
-        yield batch.map(lambda text: [dict(zip(("start", "size", "text", "url", "near"), x)) for x in scan_links(text or "")])
+        found = [scan_links(text or "") for text in batch.to_pylist()]
+        columns = [*zip(*(x for of_text in found for x in of_text))] or [()] * len(_ARROW)
+        offsets = [0, *itertools.accumulate(map(len, found))]
+        values = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], fields=_ARROW)
+        yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)

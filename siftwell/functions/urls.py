@@ -133,11 +133,7 @@ def is_web(url: Column) -> Column:
 
 def external(url: Column) -> Column:
     """A social network, shop or the like."""
-    found = [F.lower(blank(url)).contains(d) for d in EXTERNAL]
-    out = found[0]
-    for f in found[1:]:
-        out = out | f
-    return out
+    return F.lower(blank(url)).rlike("|".join(d.replace(".", r"\.") for d in EXTERNAL))
 
 
 def of_file_name(name: Column) -> Column:

@@ -120,10 +120,15 @@ def markdown_links(pages: DataFrame, internal_only: bool = True) -> DataFrame:
     """
     found = pages.select("page_id", "url", F.posexplode(markdown.links("markdown")).alias("position", "l"))
     found = found.select("page_id", "url", "position", "l.start", "l.size", F.trim(F.regexp_replace("l.text", r"!?\[([^\[\]]*)\](?:\([^)]*\))?", "$1")).alias("text"), "l.near", urls.normalized(F.regexp_replace("l.url", r"[) ]+$", "")).alias("href"))
-    slug = urls.slug(F.col("href"))
-    ok = ~urls.asset(F.col("href")) & ~urls.external(F.col("href")) & ~urls.locale_only(F.col("href")) & ((F.col("text") != "") | (slug != "")) & ~urls.unwanted(F.col("text"), slug)
-    is_internal = urls.internal(F.col("href"), F.col("url"))
-    kept = found.where(ok & is_internal if internal_only else ok)
+
+    def ok(x: Column) -> Column:
+        href, text, slug = x["l"]["href"], x["l"]["text"], x["slug"]
+        good = ~urls.asset(href) & ~urls.external(href) & ~urls.locale_only(href) & ((text != "") | (slug != "")) & ~urls.unwanted(text, slug)
+        return good & urls.internal(href, x["l"]["url"]) if internal_only else good
+
+    # bound once: a filter moves below the columns that it names and would make each of them anew wherever it does
+    kept = found.where(let(F.struct("href", "text", "url"), lambda l: let(F.struct(l.alias("l"), urls.slug(l["href"]).alias("slug")), ok)))
+    slug, is_internal = urls.slug(F.col("href")), urls.internal(F.col("href"), F.col("url"))
     first = kept.groupBy("page_id", "href").agg(F.min_by(F.struct("url", "text", slug.alias("slug"), "near", "start", "size", "position", is_internal.alias("is_internal")), "start").alias("l"))
     return first.select("page_id", "href", "l.*").withColumn("near", plain_context(F.col("near")))
 

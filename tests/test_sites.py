@@ -386,3 +386,11 @@ def test_hot_words_do_not_meet_alone(spark):
         sets = spark.range(n).select(F.array_sort(F.array(F.concat(F.lit("own"), F.col("id").cast("string")), F.lit("energy"), F.lit("group"), F.lit("holding"))).alias("s"))
         extra = spark.createDataFrame([(["energy"],), (["energy", "group"],)], "s array<string>")
         assert names.met(sets.unionAll(extra), sets).count() <= 5 * n
+
+
+def test_an_address_is_not_made_anew_for_each_check(spark, capsys):
+    pages = spark.createDataFrame([(1, "https://s.com/", "[a](https://s.com/a)")], "page_id int, url string, markdown string")
+    navigation.markdown_links(pages).explain("extended")
+    told = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    filters = [line for line in told.split("\n") if "Filter" in line]
+    assert filters and sum(line.count("([^:])//+") for line in filters) <= 1

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siftwell.functions import articles, structure, urls
-from siftwell.functions.text import any_of, squeeze
+from siftwell.functions.text import any_of, let, squeeze
 from siftwell.operators import matching, navigation, records
 from siftwell.shared import written
 
@@ -59,7 +59,8 @@ def sitemap_closure(entries: DataFrame, roots: DataFrame, keywords: list[str] =
     Each round joins the entries with the maps that the round before found first (anti-join with all
     that are known), so cycles end and no map is read twice for a root.
     """
-    followed = entries.where((F.col("kind") == "sitemap") & any_of(F.lower("url"), keywords)).select("parent", F.col("url").alias("map"))
+    followed = entries.where((F.col("kind") == "sitemap") & let(F.lower("url"), lambda u: any_of(u, keywords))).select("parent", F.col("url").alias("map"))
+    followed = written(followed, "followed")  # read in each round
     known = new = written(roots.select("root", F.col("root").alias("map")).where("root is not null").distinct(), "maps")
     while not new.isEmpty():
         below = new.withColumnRenamed("map", "parent").join(followed, "parent").select("root", "map").distinct()

@@ -185,7 +185,7 @@ def composed(raw: DataFrame, as_of: int) -> DataFrame:
     identity, place, activity, head count, leaders, the latest year's figures, growth, and a prospect's
     score.  ``as_of`` is the year in which ages are counted."""
     once = records.keep_first(raw.withColumn("_order", F.xxhash64(*[F.to_json(F.struct(c)) for c in _RAW if c != "company_id"])), ["company_id"], ["_order"]).drop("_order")
-    once = written(once, "raw")  # read five times; a page is parsed once
+    once = written(once, "raw")  # read four times; a page is parsed once
     told = lambda c, label: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.try_element_at("pairs", F.lit(label)))
     founded = company.year(told("founded", "Création"))
     people = F.coalesce(profile.leaders(F.coalesce("people", F.array().cast("array<array<string>>"))), F.array().cast("array<struct<name:string,title:string,age:int,born:string,is_chair:boolean,is_chief:boolean>>"))

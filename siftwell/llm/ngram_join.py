@@ -54,6 +54,12 @@ BROADCAST = 2_000_000
 SMALLEST, SEEDS = 6, 6  # smaller sets link only when equal
 #: Bytes of text that are hashed at once.
 BLOCK = 1 << 20
+#: Edges that one task ties at once.
+FOREST = 100_000
+#: Spanning forests that a tile tells in the first round, and how many times as many in each next one.
+FORESTS, MORE = 16, 16
+#: Rows that a task gathers before it gives them back.
+ROWS = 8192
 #: Parts that the rows of one class are dealt into when they get their component.
 SALTS = 64
 
@@ -266,10 +272,40 @@ class Ties:
         return a != b
 
 
+def _tied(edges: DataFrame, parts: int) -> DataFrame:
+    """edges(u, v) -> (u, v): what each FOREST edges of a task tie, as u with the smallest v of its kind."""
+
+    def tied(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ties, least = Ties(), {}
+        for batch in rows:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ties.tie(u, v)
+        nodes = list(ties.up)
+        for x in nodes:
+            r = ties.root(x)
+            least[r] = min(x, least.get(r, x))
+        found = np.array([(x, m) for x in nodes if (m := least[ties.root(x)]) != x], np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for batch in small_batches(batches, FOREST):
+            if rows and size + batch.num_rows > FOREST:
+                yield tied(rows)
+                rows, size = [], 0
+            rows.append(batch)
+            size += batch.num_rows
+        if rows:
+            yield tied(rows)
+
+    return edges.coalesce(parts).mapInArrow(run, "u long, v long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have edges (a, b): the smallest node reachable.
 
-    Alternating stars: every node's larger neighbours, then its smaller ones, are tied to the
+    Tasks first tie the edges they have, FOREST at a time, which leaves a star for each part of what they
+    hold; so few edges are done at once.  Then alternating stars: every node's larger neighbours, then its smaller ones, are tied to the
     smallest one known, until nothing changes; the number of rounds is logarithmic.  Smallest
     neighbours are pre-aggregated, so a node with very many edges is no hot group there; edges are
     then joined with them, which Spark splits where a key is skewed.
@@ -283,9 +319,11 @@ def components(edges: DataFrame) -> DataFrame:
             return e.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         return e.select(F.col("v").alias("u"), F.col("m").alias("v")).union(e.select("u", F.col("m").alias("v"))).where("u > v").distinct()
 
-    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
+    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v"), "edges")
+    n = now.count()
+    now = stored(_tied(now, max(1, -(-n // FOREST))), "stars")
     before = None
-    while True:
+    while n > FOREST:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         now = stored(star(star(both, True), False), "stars")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -390,6 +428,7 @@ def _hub_links(sets: DataFrame) -> DataFrame:
     """(a, b): links that tie together what links within each hub's blocks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: list[tuple[int, int]] = []
         for rows in _groups(batches):
             known = {name: np.frombuffer(tokens, np.uint64) for _, name, tokens in rows}
             names, own = [*known], [*known.values()]
@@ -398,8 +437,12 @@ def _hub_links(sets: DataFrame) -> DataFrame:
                 if ties.root(i) != ties.root(j) and links(own[i], own[j]):
                     ties.tie(i, j)
                     found.append((names[i], names[j]))
-            if found:
-                yield _edges(found)
+            told += found
+            if len(told) >= ROWS:
+                yield _edges(told)
+                told = []
+        if told:
+            yield _edges(told)
 
     block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     as_member = F.when(F.col("hub").isNotNull(), F.array(F.xxhash64("hub", block))).otherwise(F.array().cast("array<bigint>"))
@@ -448,28 +491,64 @@ def _tiles(members: DataFrame, large: bool) -> DataFrame:
     return small.unionByName(rest.join(stored(pairs, "tiles"), ["key", "block"]).select("tile", "key", *what))
 
 
-def _tree_pairs(tiles: DataFrame, forests: int) -> DataFrame:
+def _forests(pairs: np.ndarray, component: np.ndarray, forests: int) -> tuple[np.ndarray, bool]:
+    """The pairs (i, j), first ones first, that lie in ``forests`` spanning forests of the components, each
+    of what the forests before it left; and whether some are left.  All, if they are no more than such
+    forests can hold.  What a forest ties is tied in those before it too, so a pair's forest is found by halving."""
+    names, own = np.unique(component, return_inverse=True)
+    most = forests * (len(names) - 1)
+    if len(pairs) <= most:
+        return pairs, False
+    levels: list[Ties] = []
+    chosen = []
+    for nth, (x, y) in enumerate(own[pairs].tolist()):
+        low, high = 0, len(levels)
+        while low < high:
+            mid = (low + high) // 2
+            if levels[mid].root(x) == levels[mid].root(y):
+                low = mid + 1
+            else:
+                high = mid
+        if low == forests:
+            continue
+        if low == len(levels):
+            levels.append(Ties())
+        levels[low].tie(x, y)
+        chosen.append(nth)
+        if len(chosen) == most:
+            break
+    return pairs[chosen], len(chosen) < len(pairs)
+
+
+def _tree_pairs(tiles: DataFrame, forests: int, rows: int) -> DataFrame:
     """(key, a, b, rest): pairs of different components in one tile that the count vectors don't rule
-    out, as many as ``forests`` spanning forests of its components hold; rest says that the tile has more."""
+    out, as many as ``forests`` spanning forests of its components can hold; rest says that the tile has
+    more.  Points are few bytes but much work, so the number of tasks follows from the ``rows``."""
+
+    def batch(told: list[tuple]) -> pa.RecordBatch:
+        ab = np.concatenate([a for _, a, _ in told])
+        size = [len(a) for _, a, _ in told]
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat([k for k, _, _ in told], size), pa.int64()), pa.array(ab[:, 0]), pa.array(ab[:, 1]), pa.array(np.repeat([r for _, _, r in told], size), pa.bool_())], ["key", "a", "b", "rest"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches):
-            _, key, names, component, points, sizes = zip(*rows)
+        told, n = [], 0
+        for group in _groups(batches):
+            _, key, names, component, points, sizes = zip(*group)
             points = np.frombuffer(b"".join(points), np.uint8).reshape(-1, DIMS).astype(np.int64)
             points[points == FULL] = 1 << 40  # counts that didn't fit may be any
-            left, chosen = RTree(points, np.array(sizes), np.array(component)).by_room().tolist(), []
-            for _ in range(forests):
-                ties, rest = Ties(), []
-                for i, j in left:
-                    (chosen if ties.tie(component[i], component[j]) else rest).append((i, j))
-                left = rest
-                if not left:
-                    break
-            if chosen:
-                a = np.sort(np.array([(names[i], names[j]) for i, j in chosen], np.int64), 1)
-                yield pa.RecordBatch.from_arrays([pa.array([key[0]] * len(a), pa.int64()), pa.array(a[:, 0]), pa.array(a[:, 1]), pa.array([bool(left)] * len(a), pa.bool_())], ["key", "a", "b", "rest"])
+            component = np.array(component)
+            chosen, rest = _forests(RTree(points, np.array(sizes), component).by_room(), component, forests)
+            if len(chosen):
+                told.append((key[0], np.sort(np.array(names, np.int64)[chosen], 1), rest))
+                n += len(chosen)
+            if n >= ROWS:
+                yield batch(told)
+                told, n = [], 0
+        if told:
+            yield batch(told)
 
-    return tiles.select("tile", "key", "class", "component", "point", "size").repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "key long, a long, b long, rest boolean")
+    parts = max(4 * tiles.sparkSession.sparkContext.defaultParallelism, rows // ROWS)
+    return tiles.select("tile", "key", "class", "component", "point", "size").repartition(parts, "tile").sortWithinPartitions("tile").mapInArrow(run, "key long, a long, b long, rest boolean")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -506,7 +585,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     final = components(edges)
 
     points = sets.select("class", "point", "size").dropDuplicates(["class"])
-    judged, forests = None, 2
+    judged, forests = None, FORESTS
     while True:
         spread = Window.partitionBy("key")
         mixed = _named(met, final).withColumn("low", F.min("component").over(spread)).withColumn("high", F.max("component").over(spread)).where("low < high").select("key", "class", "component")
@@ -514,11 +593,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         mixed = stored(mixed, "mixed")
         content = mixed.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("xor"))
         once = stored(content.groupBy("n", "sum", "xor").agg(F.min("key").alias("key")).select("key", "n"), "once")
-        most = once.agg(F.max("n")).first()[0] or 0
+        most, rows = once.agg(F.coalesce(F.max("n"), F.lit(0)), F.sum("n")).first()
         if not most:
             break
         tiles = _tiles(mixed.join(once, "key").join(points, "class"), most > TILE)
-        pairs = stored(_tree_pairs(tiles, forests), "pairs")
+        pairs = stored(_tree_pairs(tiles, forests, rows), "pairs")
         asked = pairs.select("a", "b").distinct()
         asked = stored(asked if judged is None else asked.join(judged, ["a", "b"], "left_anti"), "asked")
         more = stored(_verified(asked, sets), "judged")
@@ -532,7 +611,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             final = components(edges)
         if met.isEmpty():
             break
-        forests *= 8
+        forests *= MORE
 
     # the component of a class is the smallest id of all its classes
     names = classes.join(final.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -177,6 +177,39 @@ def test_buckets_are_streamed(spark):
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_ngram_join_ties_few_edges_at_once(spark, monkeypatch):
+    chain = list(range(300))
+    random.Random(8).shuffle(chain)
+    edges = spark.createDataFrame([*zip(chain, chain[1:]), (1000, 1001), (1001, 1000), (2000, 2000)], "a long, b long").repartition(7)
+    plain, kept = ngram_join.stored, []
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name: kept.append(name) or plain(df, name))
+    right = {(x, 0) for x in range(300)} | {(1000, 1000), (1001, 1000)}
+    assert {tuple(x) for x in ngram_join.components(edges).collect()} == right
+    assert len(kept) == 2  # a write of each step was up to 20 of them
+    monkeypatch.setattr(ngram_join, "FOREST", 10)
+    assert {tuple(x) for x in ngram_join.components(edges).collect()} == right
+    assert ngram_join.components(edges.limit(0)).count() == 0
+
+
+def test_ngram_join_tells_small_tiles_at_once():
+    r = random.Random(9)
+    for n, forests in itertools.product([2, 6, 40], [1, 3, 16]):
+        component = np.array([r.choice([7, 8, 9, 100 + k]) for k in range(n)])
+        pairs = np.array([(i, j) for i, j in itertools.combinations(range(n), 2) if component[i] != component[j] and r.random() < 0.8], np.int64).reshape(-1, 2)
+        left, plain = pairs.tolist(), []
+        for _ in range(forests):  # forest by forest
+            ties, rest = ngram_join.Ties(), []
+            for i, j in left:
+                (plain if ties.tie(component[i], component[j]) else rest).append((i, j))
+            left = rest
+        chosen, more = ngram_join._forests(pairs, component, forests)
+        most = forests * (len(set(component.tolist())) - 1)
+        if len(pairs) <= most:
+            assert chosen.tolist() == pairs.tolist() and not more
+        else:
+            assert sorted(map(tuple, chosen.tolist())) == sorted(plain) and more == bool(left) and len(chosen) <= most
+
+
 def test_ngram_join_ties_the_texts_of_an_id(spark):
     r = random.Random(9)
     x, y, z = (" ".join(r.choice("abcdefghijklmnop") * 3 + str(r.randint(0, 99)) for _ in range(30)) for _ in range(3))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siftwell.functions import text, urls
 from siftwell.functions.profile import first, meta
-from siftwell.functions.text import blank, squeeze
+from siftwell.functions.text import blank, let, squeeze
 
 # Fixed values.
 DATE_META = [("property", "article:published_time"), ("name", "pubdate"), ("name", "date"), ("name", "publish-date")]
@@ -36,8 +36,8 @@ def iso_date(raw: Column) -> Column:
 def metadata(html: Column, url: Column, body: Column) -> Column:
     """struct of what a page says about its article; ``body`` is its main text."""
     og = meta(html, "property", "og:title")
-    title = F.when(og != "", og).otherwise(squeeze(first(html, r"(?is)<title[^>]*>(.*?)</title>")))
-    any_meta = lambda pairs: F.coalesce(*[F.nullif(meta(html, *p), F.lit("")) for p in pairs], F.lit(""))
+    title = let(og, lambda o: F.when(o != "", o).otherwise(squeeze(first(html, r"(?is)<title[^>]*>(.*?)</title>"))))
+    any_meta = lambda pairs: F.coalesce(*[let(meta(html, *p), lambda v: F.nullif(v, F.lit(""))) for p in pairs], F.lit(""))
     described = any_meta([("name", "description"), ("property", "og:description")])
     short = F.when(F.char_length(body) > 300, F.concat(F.left(body, F.lit(300)), F.lit("..."))).otherwise(body)
     words = F.filter(F.transform(F.split(meta(html, "name", "keywords"), ","), lambda k: F.trim(k)), lambda k: k != "")
@@ -47,7 +47,7 @@ def metadata(html: Column, url: Column, body: Column) -> Column:
         any_meta(DATE_META).alias("published"),
         text.language(F.when(blank(body) != "", body).otherwise(title)).alias("language"),
         any_meta([("name", "author"), ("property", "article:author")]).alias("author"),
-        F.when(described != "", described).otherwise(blank(short)).alias("excerpt"),
+        let(described, lambda d: F.when(d != "", d).otherwise(blank(short))).alias("excerpt"),
         words.alias("keywords"),
         text.subjects(body).alias("subjects"),
         text.article_type(body).alias("article_type"),

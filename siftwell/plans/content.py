@@ -52,7 +52,9 @@ def article_metadata(spark, sf_dir):
     head = ", ".join(f"IF({w}, concat('<meta {a}=\"{n}\" content=\"', {v}, '\">'), '')" for w, a, n, v in metas)
     pages = d.selectExpr("doc_id", "url", "body", f"concat('<html><head><title>Title ', doc_id, '</title>', {head}, '</head></html>') AS html")
     m = articles.metadata(F.col("html"), F.col("url"), F.col("body"))
-    return pages.select("doc_id", m.alias("m"), articles.is_article(F.col("html"), F.col("url"), F.col("body"), ["/careers"]).alias("is_article")).select("doc_id", "m.title", "m.source", "m.published", "m.author", "m.excerpt", F.array_join("m.keywords", "|").alias("keywords"), "is_article")
+    # fields are taken from the struct itself, so that those of the text that aren't asked for aren't made
+    fields = [m[f].alias(f) for f in ("title", "source", "published", "author", "excerpt")]
+    return pages.select("doc_id", *fields, F.array_join(m["keywords"], "|").alias("keywords"), articles.is_article(F.col("html"), F.col("url"), F.col("body"), ["/careers"]).alias("is_article"))
 
 
 @query("""

@@ -394,3 +394,17 @@ def test_an_address_is_not_made_anew_for_each_check(spark, capsys):
     told = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     filters = [line for line in told.split("\n") if "Filter" in line]
     assert filters and sum(line.count("([^:])//+") for line in filters) <= 1
+
+
+def test_texts_of_articles_are_lowered_once(spark):
+    from siftwell.functions import text
+    from siftwell.plans import catalog, content  # noqa: F401
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    rows = spark.createDataFrame([(1, "Une LEVEE de fonds pour la startup est dans les comptes"), (2, ""), (3, None)], "k long, x string")
+    for f, none in ((text.language, "en"), (text.article_type, "general"), (text.subjects, ["autre"])):
+        df = rows.select("k", f(F.col("x")).alias("y"))
+        assert plan(df).count("lower(") == 1
+        assert [r.y for r in df.orderBy("k").collect()][1:] == [none, none]
+    # the query returns nothing of the language, subjects and type, so it needs no lowered text
+    assert "lower(coalesce(body" not in plan(catalog.QUERIES["article_metadata"](spark, "/root/testdata/sf0.001"))
